@@ -1,0 +1,43 @@
+"""Consecutive row numbers inside groups of any size."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+_PIECE = "_piece"
+_BEFORE = "_before"
+
+
+def number_rows(
+    df: DataFrame, group: str, order: Sequence[str], slice_of: Column, name: str
+) -> DataFrame:
+    """Adds ``name``: the row's 1-based position in its group.
+
+    ``slice_of`` cuts a group into pieces that respect the order (the hour of
+    a timestamp, an id divided by a constant). Rows are numbered per piece and
+    shifted by the sizes of the pieces before it, so a task sorts one piece,
+    not a group. The order must be total within a group.
+    """
+    # One struct as the key of window, count and join: they share one shuffle,
+    # and a null group equals itself.
+    rows = df.withColumn(_PIECE, F.struct(F.col(group).alias("g"), slice_of.alias("s")))
+    earlier = (
+        Window.partitionBy(f"{_PIECE}.g")
+        .orderBy(f"{_PIECE}.s")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    shifts = (
+        rows.groupBy(_PIECE)
+        .agg(F.count("*").alias("rows"))
+        .select(_PIECE, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(_BEFORE))
+    )
+    in_piece = F.row_number().over(Window.partitionBy(_PIECE).orderBy(*order))
+    return (
+        rows.withColumn(name, in_piece)
+        .join(shifts, _PIECE)
+        .withColumn(name, (F.col(name) + F.col(_BEFORE)).cast("long"))
+        .drop(_PIECE, _BEFORE)
+    )

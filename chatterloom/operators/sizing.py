@@ -1,0 +1,18 @@
+"""Joins with a side that is expected, but not known, to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``side`` with a broadcast hint if it has at most ``max_rows`` rows.
+
+    Counting stops one row past the bound. A larger side keeps the shuffle
+    join that adaptive execution can split on skew.
+    """
+    rows = side.limit(max_rows + 1).count()
+    return F.broadcast(side) if rows <= max_rows else side
