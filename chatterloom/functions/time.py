@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_FIRST_MONDAY = date(1970, 1, 5)
 GRAINS = ("hour", "day", "week")
 
 
@@ -16,9 +19,26 @@ def bucket_start(grain: str, time: Column) -> Column:
 
 
 def chunk_start(time: Column, days: int) -> Column:
-    """First day of the ``days``-long chunk, counted from 1970-01-01."""
-    day_number = F.unix_date(F.to_date(time))
-    return F.date_from_unix_date((F.floor(day_number / days) * days).cast("int"))
+    """First day of the ``days``-long chunk that holds ``time``.
+
+    Chunks count from a Monday, so that chunks of seven days are ISO weeks.
+    """
+    number = F.datediff(F.to_date(time), F.lit(_FIRST_MONDAY))
+    return F.date_add(F.lit(_FIRST_MONDAY), (F.floor(number / days) * days).cast("int"))
+
+
+def chunk_bounds(
+    since: date | None, until: date | None, days: int
+) -> tuple[date | None, date | None]:
+    """``since <= day < until`` widened to whole chunks."""
+    def shifted(day: date, extra: int) -> date:
+        number = (day - _FIRST_MONDAY).days + extra
+        return _FIRST_MONDAY + timedelta(days=number // days * days)
+
+    return (
+        None if since is None else shifted(since, 0),
+        None if until is None else shifted(until, days - 1),
+    )
 
 
 def iso_text(time: Column) -> Column:

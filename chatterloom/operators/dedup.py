@@ -11,18 +11,20 @@ from chatterloom.operators.ranking import first_per_group
 
 
 def dedup_latest(
-    df: DataFrame, keys: Sequence[str] = ("event_id",), time: str = "timestamp"
+    df: DataFrame,
+    keys: Sequence[str] = ("event_id",),
+    newest_first: Sequence[str] = ("timestamp",),
 ) -> DataFrame:
     """The latest row per key.
 
-    Copies with equal time are ordered by their remaining columns, largest
-    first, so the survivor never depends on row order. Select the columns you
-    need before this call: all of them take part in the shuffle. Copies of one
-    key are thinned before the shuffle, so a key with very many copies costs
-    one row per task.
+    Copies that agree in ``newest_first`` are ordered by their remaining
+    columns, largest first, so the survivor never depends on row order. Select
+    the columns you need before this call: all of them take part in the
+    shuffle. Copies of one key are thinned before the shuffle, so a key with
+    very many copies costs one row per task.
     """
-    rest = [c for c in df.columns if c not in keys and c != time]
-    order = [F.desc_nulls_last(c) for c in (time, *rest)]
+    rest = [c for c in df.columns if c not in keys and c not in newest_first]
+    order = [F.desc_nulls_last(c) for c in (*newest_first, *rest)]
     return first_per_group(df, list(keys), order, 1)
 
 

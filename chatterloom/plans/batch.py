@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chatterloom.functions.time import chunk_bounds
 from chatterloom.operators.dedup import dedup_latest
 from chatterloom.operators.ranking import top_posts
 from chatterloom.operators.sentiment import (
@@ -17,10 +18,22 @@ from chatterloom.operators.sentiment import (
 )
 from chatterloom.schemas import TABLES, require_columns
 from chatterloom.session import scratch_path
-from chatterloom.sinks.tables import replace_table
+from chatterloom.sinks.tables import CHUNK_DAYS, replace_table
 from chatterloom.sources.lake import read_lake
 
 
+# Decides between copies of an event, the same way in every job.
+_NEWEST_FIRST = ("timestamp", "score", "enrichment_sentiment")
+
+
+def unique_events(events: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The latest copy of every event, with just the given columns."""
+    columns = list(columns)
+    needed = list(dict.fromkeys((*columns, *_NEWEST_FIRST)))
+    rows = require_columns(events, needed).select(*needed)
+    return dedup_latest(rows, newest_first=_NEWEST_FIRST).select(*columns)
+
+
 @dataclass(frozen=True)
 class BatchJob:
     """A result table, the lake columns it needs and how it is computed."""
@@ -31,8 +44,7 @@ class BatchJob:
 
     def result(self, events: DataFrame) -> DataFrame:
         """The job's rows from lake events that may hold copies."""
-        needed = require_columns(events, self.columns).select(*self.columns)
-        return self.compute(dedup_latest(needed))
+        return self.compute(unique_events(events, self.columns))
 
 
 _SENTIMENT = ("event_id", "timestamp", "score", "enrichment_sentiment", "posted_in_subreddit")
@@ -68,10 +80,11 @@ def run_job(
 ) -> None:
     """Runs one job over the lake (or some days of it) into ``output/<table>``.
 
-    With bounds, only the chunks of the computed days are replaced; bounds
-    must then fall on chunk borders.
+    Bounds are widened to whole chunks of the result table, and only those
+    chunks are replaced.
     """
     job = JOBS[name]
+    since, until = chunk_bounds(since, until, CHUNK_DAYS)
     events = read_lake(spark, lake, since=since, until=until)
     whole = since is None and until is None
     replace_table(job.result(events), TABLES[job.table], f"{output}/{job.table}", whole=whole)
@@ -93,10 +106,11 @@ def run_jobs(
     instead of a recomputation.
     """
     jobs = [JOBS[name] for name in names]
-    columns = list(dict.fromkeys(c for job in jobs for c in job.columns))
+    columns = dict.fromkeys(c for job in jobs for c in job.columns)
+    since, until = chunk_bounds(since, until, CHUNK_DAYS)
     events = read_lake(spark, lake, since=since, until=until)
     staged = scratch_path(spark, "deduplicated")
-    dedup_latest(events.select(*columns)).write.parquet(staged)
+    unique_events(events, columns).write.parquet(staged)
     unique = spark.read.parquet(staged)
     whole = since is None and until is None
     for job in jobs:

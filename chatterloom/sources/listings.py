@@ -14,13 +14,14 @@ ENDPOINT_EVENT_TYPE = {"new": "POST", "comments": "COMMENT"}
 def read_listings(
     spark: SparkSession, root: str, *, streaming: bool = False, **options: str
 ) -> DataFrame:
-    """Pages under ``root/endpoint=<name>/*.json`` with their endpoint.
+    """Pages under ``root/endpoint=<name>/`` with their endpoint, one per line.
 
-    As a stream, the checkpoint remembers which pages were read.
+    Pretty-printed pages need the option ``multiLine``. As a stream, the
+    checkpoint remembers which files were read.
     """
     reader = spark.readStream if streaming else spark.read
     schema = ddl({**LISTING_PAGE, "endpoint": "string"})
-    return reader.schema(schema).options(multiLine="true", **options).json(root)
+    return reader.schema(schema).options(**options).json(root)
 
 
 def items(pages: DataFrame) -> DataFrame:
