@@ -13,6 +13,15 @@ from chatterloom.schemas import ENRICHMENT, RAW_EVENT, ddl
 CORRUPT = "_corrupt"
 
 
+def parse_once(payload: Column, schema: str, options: Mapping[str, str] | None = None) -> Column:
+    """``from_json`` as a generator of exactly one row.
+
+    A filter on parsed fields stays above a generator. It would otherwise move
+    below the projection and parse every message once per field it names.
+    """
+    return F.explode(F.array(F.from_json(payload, schema, dict(options or {}))))
+
+
 def decode(
     log: DataFrame,
     layout: Mapping[str, str] = RAW_EVENT,
@@ -23,7 +32,7 @@ def decode(
     A field that does not fit its type is null. Naming few fields keeps the
     JSON parser from building the rest.
     """
-    return log.select(F.from_json("payload", ddl(layout, fields)).alias("data"))
+    return log.select(parse_once(F.col("payload"), ddl(layout, fields)).alias("data"))
 
 
 def _wire_layout(layout: Mapping[str, str]) -> dict[str, str]:
@@ -52,8 +61,8 @@ def decode_tolerant(log: DataFrame, layout: Mapping[str, str] = RAW_EVENT) -> Da
         wire["enrichment"] = f"struct<{nested}>"
     parsed = log.select(
         "payload",
-        F.from_json(
-            "payload",
+        parse_once(
+            F.col("payload"),
             f"{ddl(wire)}, {CORRUPT} string",
             {"columnNameOfCorruptRecord": CORRUPT},
         ).alias("wire"),

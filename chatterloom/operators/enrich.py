@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from chatterloom.functions.casts import TOLERANT
 from chatterloom.functions.text import prompt_text
+from chatterloom.operators.decode import CORRUPT, parse_once
 from chatterloom.operators.numbering import number_rows
 from chatterloom.schemas import ENRICHMENT, LANGUAGES, ddl, struct_type
 
@@ -178,20 +179,15 @@ def enrich(
     asked = events.withColumn(
         "_asked", _replies(factory, chunk, attempts)(prompt_text(F.col("title"), F.col("content")))
     )
-    parsed = asked.withColumn(
-        "_reply",
-        F.from_json(
-            F.col("_asked.reply"),
-            f"{ddl(wire)}, _corrupt string",
-            {"columnNameOfCorruptRecord": "_corrupt"},
-        ),
-    )
+    schema = f"{ddl(wire)}, {CORRUPT} string"
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = asked.withColumn("_reply", parse_once(F.col("_asked.reply"), schema, options))
     reply = F.col("_reply")
     typed = {n: TOLERANT[t](reply[n]) if t in TOLERANT else reply[n] for n, t in ENRICHMENT.items()}
     reason = (
         F.when(F.col("_asked.error").isNotNull(), F.concat(F.lit("provider:"), "_asked.error"))
         .when(F.col("_asked.reply").isNull(), "reply:missing")
-        .when(reply.isNull() | reply["_corrupt"].isNotNull(), "reply:shape")
+        .when(reply.isNull() | reply[CORRUPT].isNotNull(), "reply:shape")
         .when(~F.forall(reply["languages"], lambda c: c.isin(*LANGUAGES)), "languages:unknown")
         .when(reply["sentiment_score"].isNotNull() & typed["sentiment_score"].isNull(), "sentiment_score:type")
         .when(F.exists(reply["entities"], lambda e: e["name"].isNull() | e["type"].isNull()), "entities:shape")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 
 
 def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key of ``batch`` that ``target`` lacks.
+    """The rows of ``batch`` whose key ``target`` lacks.
 
-    Copies collapse on the map side first, so the anti join sees each key once.
+    Deduplicate the batch by key first: a key with very many copies would
+    otherwise meet in one task of the join.
     """
     keys = list(keys)
-    return batch.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    return batch.join(target.select(*keys), keys, "left_anti")

@@ -1,4 +1,4 @@
-"""Joins with a side that is expected, but not known, to be small."""
+"""Decisions that depend on the size of a table."""
 
 from __future__ import annotations
 
@@ -16,3 +16,13 @@ def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataF
     """
     rows = side.limit(max_rows + 1).count()
     return F.broadcast(side) if rows <= max_rows else side
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """The scan's rows over all cores, if its files alone would leave cores idle.
+
+    A Parquet file with a single row group is read by one task. A scan with as
+    many tasks as cores, as every large one has, is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

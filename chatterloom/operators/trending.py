@@ -67,7 +67,7 @@ def trending_topics(events: DataFrame, **windowing: str) -> DataFrame:
     return windowed_count(trend_topics(events), "topic", **windowing)
 
 
-def unique_events(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def drop_redelivered(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Drops redelivered events of a stream before they are counted."""
     return events.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["event_id"])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,47 +52,58 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _same_chunks(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """The part of ``target`` in the chunks that ``batch`` touches.
+def _chunks_of(rows: DataFrame) -> list[date]:
+    """The chunks in ``rows``, or just some of them if they are very many."""
+    return [r[0] for r in rows.select(CHUNK).distinct().limit(_NAMED_CHUNKS + 1).collect()]
+
+
+def _same_chunks(target: DataFrame, rows: DataFrame, chunks: list[date]) -> DataFrame:
+    """The part of ``target`` in the chunks that ``rows`` touch.
 
     Keys hold the time column, so a row can only repeat inside its own chunk.
     """
-    chunks = [r[0] for r in batch.select(CHUNK).distinct().limit(_NAMED_CHUNKS + 1).collect()]
     if len(chunks) <= _NAMED_CHUNKS:
         return target.filter(F.col(CHUNK).isin(chunks))
-    low, high = batch.agg(F.min(CHUNK), F.max(CHUNK)).first()
+    low, high = rows.agg(F.min(CHUNK), F.max(CHUNK)).first()
     return target.filter(F.col(CHUNK).between(low, high))
 
 
 def insert_ignore(
-    batch: DataFrame, table: Table, path: str, *, chunk_days: int = CHUNK_DAYS
+    batch: DataFrame,
+    table: Table,
+    path: str,
+    *,
+    keys_unique: bool = False,
+    chunk_days: int = CHUNK_DAYS,
 ) -> None:
     """Appends the rows whose key the table lacks; repeats change nothing.
 
-    Reads back only the keys in the chunks the batch touches. Safe against
-    replays by one writer; two writers must not share a table.
+    Reads back only the keys in the chunks the batch touches. ``keys_unique``
+    says that no key repeats inside the batch, as after an aggregation. Safe
+    against replays by one writer; two writers must not share a table.
     """
     spark = batch.sparkSession
+    # Kept, so that a streaming batch is evaluated once.
     rows = _chunked(batch, table, chunk_days).persist()
     try:
-        if rows.isEmpty():
+        chunks = _chunks_of(rows)
+        if not chunks:
             return
+        fresh = rows if keys_unique else rows.dropDuplicates(list(table.keys))
         if _exists(spark, path):
-            stored = _same_chunks(read_table(spark, table, path), rows)
-            fresh = new_rows(rows, stored, table.keys)
-        else:
-            fresh = rows.dropDuplicates(list(table.keys))
+            stored = _same_chunks(read_table(spark, table, path), rows, chunks)
+            fresh = new_rows(fresh, stored, table.keys)
         fresh.hint("rebalance", CHUNK).write.mode("append").partitionBy(CHUNK).parquet(path)
     finally:
         rows.unpersist()
 
 
 def insert_ignore_batches(
-    table: Table, path: str, *, chunk_days: int = CHUNK_DAYS
+    table: Table, path: str, *, keys_unique: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """``insert_ignore`` as a ``foreachBatch`` function."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        insert_ignore(batch, table, path, chunk_days=chunk_days)
+        insert_ignore(batch, table, path, keys_unique=keys_unique)
 
     return write
 
@@ -137,7 +149,7 @@ def insert_ignore_jdbc(
             return
         reader = spark.read.format("jdbc").options(**_jdbc(url, table_name, credentials))
         stored = reader.load().filter(F.col(table.time).between(low, high))
-        fresh = new_rows(rows, stored, table.keys)
+        fresh = new_rows(rows.dropDuplicates(list(table.keys)), stored, table.keys)
         write_jdbc(fresh, table, url, table_name, credentials=credentials)
     finally:
         rows.unpersist()

@@ -23,13 +23,19 @@ from chatterloom.sources.listings import items
 
 
 def stream_to_table(
-    rows: DataFrame, table: str, path: str, checkpoint: str, *, trigger: dict
+    rows: DataFrame,
+    table: str,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    keys_unique: bool = False,
 ) -> StreamingQuery:
     """Streams rows into a result table; keys already there are left alone."""
     return (
         rows.writeStream.queryName(table)
         .outputMode("append")
-        .foreachBatch(insert_ignore_batches(TABLES[table], path))
+        .foreachBatch(insert_ignore_batches(TABLES[table], path, keys_unique=keys_unique))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -56,7 +62,14 @@ def save_trending_words(
 ) -> StreamingQuery:
     events = decode(log, RAW_EVENT, ["timestamp", "title", "content"]).select("data.*")
     counts = trending_words(events, **windowing)
-    return stream_to_table(counts, "trending_words_metrics", path, checkpoint, trigger=trigger)
+    return stream_to_table(
+        counts,
+        "trending_words_metrics",
+        path,
+        checkpoint,
+        trigger=trigger,
+        keys_unique=True,
+    )
 
 
 def save_trending_topics(
@@ -65,7 +78,14 @@ def save_trending_topics(
     wanted = {"timestamp": "timestamp", "enrichment": "struct<topics:array<string>>"}
     events = decode(log, wanted).select("data.timestamp", "data.enrichment.topics")
     counts = trending_topics(events, **windowing)
-    return stream_to_table(counts, "trending_topics_metrics", path, checkpoint, trigger=trigger)
+    return stream_to_table(
+        counts,
+        "trending_topics_metrics",
+        path,
+        checkpoint,
+        trigger=trigger,
+        keys_unique=True,
+    )
 
 
 @dataclass(frozen=True)

@@ -375,7 +375,8 @@ def _reposts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def insert_ignore_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = TABLES["raw_events"]
-    fresh = new_rows(_reposts(spark, sf_dir), frames.raw_events(spark, sf_dir), table.keys)
+    reposts = _reposts(spark, sf_dir).dropDuplicates(list(table.keys))
+    fresh = new_rows(reposts, frames.raw_events(spark, sf_dir), table.keys)
     return fresh.select("event_id", "timestamp", "score")
 
 
