@@ -8,10 +8,12 @@ come back as JSON and are checked and typed by Spark.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ from chatterloom.schemas import ENRICHMENT, LANGUAGES, ddl, struct_type
 CHUNK = 5
 MAX_ATTEMPTS = 3
 
+# Tasks get this code with the query; executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class Provider(Protocol):
     def enrich(self, texts: list[str]) -> list[Mapping[str, Any] | None]: ...

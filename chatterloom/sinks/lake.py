@@ -1,8 +1,8 @@
-"""Writing, compacting and ageing the event lake."""
+"""Writing and compacting the event lake."""
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,22 +73,3 @@ def compact_lake(
         .partitionBy(*_LAYOUT)
         .parquet(target)
     )
-
-
-def drop_days_before(spark: SparkSession, root: str, keep_days: int, as_of: date) -> list[str]:
-    """Deletes the day folders older than ``keep_days`` before ``as_of``.
-
-    Works on folder names alone and returns the deleted ones; no data is read.
-    """
-    oldest = as_of - timedelta(days=keep_days)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(root, "year=*/month=*/day=*")
-    dropped = []
-    for status in files.globStatus(pattern):
-        path = status.getPath()
-        names = (path.getParent().getParent(), path.getParent(), path)
-        year, month, day = (int(p.getName().split("=")[1]) for p in names)
-        if date(year, month, day) < oldest and files.delete(path, True):
-            dropped.append(f"{year:04d}-{month:02d}-{day:02d}")
-    return sorted(dropped)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,6 +22,13 @@ from chatterloom.sinks.logs import publish
 from chatterloom.sinks.tables import insert_ignore_batches
 from chatterloom.sources.listings import items
 
+Report = Callable[[dict[str, int]], None]
+_log = logging.getLogger(__name__)
+
+
+def _log_counts(counts: dict[str, int]) -> None:
+    _log.info("%s", counts)
+
 
 def stream_to_table(
     rows: DataFrame,
@@ -122,10 +130,12 @@ def enrich_log(
     trigger: dict,
     chunk: int = CHUNK,
     attempts: int = MAX_ATTEMPTS,
+    report: Report = _log_counts,
 ) -> StreamingQuery:
     """Enriches a log of raw events and routes every message to one output.
 
     Offsets are committed after all three outputs of a batch are written.
+    ``report`` gets the message counts of every batch.
     """
     def route(batch: DataFrame, batch_id: int) -> None:
         usable, rejected = split_valid(decode_tolerant(batch, RAW_EVENT))
@@ -134,11 +144,15 @@ def enrich_log(
         asked = asked.select(*RAW_EVENT, "enrichment").persist()
         try:
             enriched, failed = split_enriched(asked)
-            outputs.send(enriched, outputs.enriched, batch_id)
-            outputs.send(failed, outputs.dead_letter, batch_id)
-            outputs.send(rejected, outputs.quarantine, batch_id)
+            counts = {
+                "batch": batch_id,
+                "enriched": outputs.send(enriched, outputs.enriched, batch_id),
+                "failed": outputs.send(failed, outputs.dead_letter, batch_id),
+                "quarantined": outputs.send(rejected, outputs.quarantine, batch_id),
+            }
         finally:
             asked.unpersist()
+        report(counts)
 
     return (
         log.writeStream.queryName("enrich")
@@ -163,11 +177,18 @@ def ingest_listings(
     trigger: dict,
     format: str = "kafka",
     servers: str | None = None,
+    report: Report = _log_counts,
 ) -> StreamingQuery:
-    """Publishes the events on newly landed listing pages to the raw log."""
+    """Publishes the events on newly landed listing pages to the raw log.
+
+    ``report`` gets the events of every batch and how many of them have media.
+    """
     def send(batch: DataFrame, batch_id: int) -> None:
+        media = Observation()
+        batch = batch.observe(media, F.count_if("has_media").alias("with_media"))
         where = target if format == "kafka" else f"{target}/batch_id={batch_id}"
-        publish(batch, where, format=format, servers=servers, mode="overwrite")
+        sent = publish(batch, where, format=format, servers=servers, mode="overwrite")
+        report({"batch": batch_id, "sent": sent, "with_media": media.get["with_media"]})
 
     return (
         to_events(items(pages))

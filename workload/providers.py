@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from typing import Any
 
+from pyspark import cloudpickle
+
+# Shipped to the tasks with the query.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class LengthProvider:
     """Answers by text length, so that SQL can tell the outcome of each text.
