@@ -17,7 +17,7 @@ from chatterloom.operators.sentiment import (
     weekly_topics,
 )
 from chatterloom.schemas import TABLES, require_columns
-from chatterloom.session import scratch_path
+from chatterloom.session import stored
 from chatterloom.sinks.tables import CHUNK_DAYS, replace_table
 from chatterloom.sources.lake import read_lake
 
@@ -109,10 +109,8 @@ def run_jobs(
     columns = dict.fromkeys(c for job in jobs for c in job.columns)
     since, until = chunk_bounds(since, until, CHUNK_DAYS)
     events = read_lake(spark, lake, since=since, until=until)
-    staged = scratch_path(spark, "deduplicated")
-    unique_events(events, columns).write.parquet(staged)
-    unique = spark.read.parquet(staged)
     whole = since is None and until is None
-    for job in jobs:
-        rows = job.compute(unique.select(*job.columns))
-        replace_table(rows, TABLES[job.table], f"{output}/{job.table}", whole=whole)
+    with stored(unique_events(events, columns), "deduplicated") as unique:
+        for job in jobs:
+            rows = job.compute(unique.select(*job.columns))
+            replace_table(rows, TABLES[job.table], f"{output}/{job.table}", whole=whole)

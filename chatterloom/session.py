@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Day and hour buckets must not depend on where a job runs.
@@ -73,3 +74,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="chatterloom-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` as a table in the scratch folder, deleted when the block ends.
+
+    What is read from it stays the same when an executor is lost, which a
+    cached frame with outside calls in it would not.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,20 +51,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _chunks_of(rows: DataFrame) -> list[date]:
-    """The chunks in ``rows``, or just some of them if they are very many."""
-    return [r[0] for r in rows.select(CHUNK).distinct().limit(_NAMED_CHUNKS + 1).collect()]
+def _overlapping(target: DataFrame, rows: DataFrame, time: str) -> DataFrame | None:
+    """The part of ``target`` that may hold keys of ``rows``; None without rows.
 
-
-def _same_chunks(target: DataFrame, rows: DataFrame, chunks: list[date]) -> DataFrame:
-    """The part of ``target`` in the chunks that ``rows`` touch.
-
-    Keys hold the time column, so a row can only repeat inside its own chunk.
+    Keys hold the time column, so only the same chunks and times can repeat
+    them. The chunks prune folders; the times skip row groups, since a file
+    holds the times of the batches it came from.
     """
-    if len(chunks) <= _NAMED_CHUNKS:
-        return target.filter(F.col(CHUNK).isin(chunks))
-    low, high = rows.agg(F.min(CHUNK), F.max(CHUNK)).first()
-    return target.filter(F.col(CHUNK).between(low, high))
+    spans = rows.groupBy(CHUNK).agg(F.min(time).alias("low"), F.max(time).alias("high"))
+    named = spans.orderBy(F.asc_nulls_first(CHUNK)).limit(_NAMED_CHUNKS + 1).collect()
+    if not named:
+        return None
+    if named[0][CHUNK] is None:
+        raise ValueError(f"rows without {time} have no key")
+    if len(named) <= _NAMED_CHUNKS:
+        low, high = min(s.low for s in named), max(s.high for s in named)
+        same_chunk = F.col(CHUNK).isin([s[CHUNK] for s in named])
+    else:
+        first, last, low, high = rows.agg(
+            F.min(CHUNK), F.max(CHUNK), F.min(time), F.max(time)
+        ).first()
+        same_chunk = F.col(CHUNK).between(first, last)
+    return target.filter(same_chunk & F.col(time).between(low, high))
 
 
 def insert_ignore(
@@ -78,21 +85,21 @@ def insert_ignore(
 ) -> None:
     """Appends the rows whose key the table lacks; repeats change nothing.
 
-    Reads back only the keys in the chunks the batch touches. ``keys_unique``
-    says that no key repeats inside the batch, as after an aggregation. Safe
-    against replays by one writer; two writers must not share a table.
+    Reads back only keys in the chunks and the time span of the batch.
+    ``keys_unique`` says that no key repeats inside the batch, as after an
+    aggregation. Rows without a time have no key and are refused. Safe against
+    replays by one writer; two writers must not share a table.
     """
     spark = batch.sparkSession
     # Kept, so that a streaming batch is evaluated once.
     rows = _chunked(batch, table, chunk_days).persist()
     try:
-        chunks = _chunks_of(rows)
-        if not chunks:
+        target = read_table(spark, table, path) if _exists(spark, path) else rows.limit(0)
+        stored = _overlapping(target, rows, table.time)
+        if stored is None:
             return
         fresh = rows if keys_unique else rows.dropDuplicates(list(table.keys))
-        if _exists(spark, path):
-            stored = _same_chunks(read_table(spark, table, path), rows, chunks)
-            fresh = new_rows(fresh, stored, table.keys)
+        fresh = new_rows(fresh, stored, table.keys)
         fresh.hint("rebalance", CHUNK).write.mode("append").partitionBy(CHUNK).parquet(path)
     finally:
         rows.unpersist()

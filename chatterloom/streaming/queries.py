@@ -17,6 +17,7 @@ from chatterloom.operators.normalize import to_events
 from chatterloom.operators.trending import trending_topics, trending_words
 from chatterloom.operators.validate import split_valid
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
+from chatterloom.session import stored
 from chatterloom.sinks.lake import stream_to_lake
 from chatterloom.sinks.logs import publish
 from chatterloom.sinks.tables import insert_ignore_batches
@@ -140,18 +141,15 @@ def enrich_log(
     def route(batch: DataFrame, batch_id: int) -> None:
         usable, rejected = split_valid(decode_tolerant(batch, RAW_EVENT))
         asked = enrich(usable, factory, chunk=chunk, attempts=attempts)
-        # Asked once: both outputs read the kept replies.
-        asked = asked.select(*RAW_EVENT, "enrichment").persist()
-        try:
-            enriched, failed = split_enriched(asked)
+        # Asked once: both outputs read the same kept replies.
+        with stored(asked.select(*RAW_EVENT, "enrichment"), "replies") as kept:
+            enriched, failed = split_enriched(kept)
             counts = {
                 "batch": batch_id,
                 "enriched": outputs.send(enriched, outputs.enriched, batch_id),
                 "failed": outputs.send(failed, outputs.dead_letter, batch_id),
                 "quarantined": outputs.send(rejected, outputs.quarantine, batch_id),
             }
-        finally:
-            asked.unpersist()
         report(counts)
 
     return (

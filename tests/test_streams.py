@@ -232,6 +232,12 @@ def test_table_writes(spark, path):
     assert ids() == [("z",)]
 
 
+def test_rows_without_time_are_refused(spark, path):
+    timeless = _events(spark, ("a", 0)).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    with pytest.raises(ValueError, match="timestamp"):
+        insert_ignore(timeless, TABLES["raw_events"], path("t"))
+
+
 def test_merge_over_very_many_chunks(spark, path):
     table, week = TABLES["raw_events"], 7 * 86400
     many = [(str(i), i * week) for i in range(230)]
