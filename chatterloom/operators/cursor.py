@@ -12,9 +12,14 @@ FETCH_LIMIT = 100
 
 
 def high_water_marks(events: DataFrame, group: str) -> DataFrame:
-    """Newest (timestamp, event_id) already stored, one row per group."""
-    newest = F.max(F.struct("timestamp", "event_id"))
-    return events.groupBy(group).agg(newest.alias("mark"))
+    """Newest (timestamp, event_id) already stored, one row per group.
+
+    The newest times come first, by a hash aggregation; only rows with these
+    times then compete by id. One maximum over both would sort every row.
+    """
+    newest = events.groupBy(group).agg(F.max("timestamp").alias("timestamp"))
+    last = events.join(broadcast_if_small(newest), [group, "timestamp"], "left_semi")
+    return last.groupBy(group).agg(F.max(F.struct("timestamp", "event_id")).alias("mark"))
 
 
 def after_marks(events: DataFrame, marks: DataFrame, group: str) -> DataFrame:

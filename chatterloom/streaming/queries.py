@@ -14,7 +14,7 @@ from chatterloom.operators.decode import decode, decode_tolerant
 from chatterloom.operators.enrich import CHUNK, MAX_ATTEMPTS, Provider, enrich, split_enriched
 from chatterloom.operators.flatten import flatten_enriched, flatten_raw, to_lake_rows
 from chatterloom.operators.normalize import to_events
-from chatterloom.operators.trending import trending_topics, trending_words
+from chatterloom.operators.trending import drop_redelivered, trending_topics, trending_words
 from chatterloom.operators.validate import split_valid
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
 from chatterloom.session import stored
@@ -67,33 +67,50 @@ def save_enriched(log: DataFrame, path: str, checkpoint: str, *, trigger: dict)
 
 
 def save_trending_words(
-    log: DataFrame, path: str, checkpoint: str, *, trigger: dict, **windowing: str
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    unique: bool = False,
+    **windowing: str | None,
 ) -> StreamingQuery:
-    events = decode(log, RAW_EVENT, ["timestamp", "title", "content"]).select("data.*")
+    """Counts words per window; ``unique`` counts a redelivered event once."""
+    wanted = ["event_id", "timestamp", "title", "content"]
+    events = decode(log, RAW_EVENT, wanted if unique else wanted[1:]).select("data.*")
+    if unique:
+        events = drop_redelivered(events)
+        windowing["watermark"] = None
     counts = trending_words(events, **windowing)
     return stream_to_table(
-        counts,
-        "trending_words_metrics",
-        path,
-        checkpoint,
-        trigger=trigger,
-        keys_unique=True,
+        counts, "trending_words_metrics", path, checkpoint, trigger=trigger, keys_unique=True
     )
 
 
 def save_trending_topics(
-    log: DataFrame, path: str, checkpoint: str, *, trigger: dict, **windowing: str
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    unique: bool = False,
+    **windowing: str | None,
 ) -> StreamingQuery:
-    wanted = {"timestamp": "timestamp", "enrichment": "struct<topics:array<string>>"}
-    events = decode(log, wanted).select("data.timestamp", "data.enrichment.topics")
-    counts = trending_topics(events, **windowing)
+    """Counts topics per window; ``unique`` counts a redelivered event once."""
+    wanted = {
+        "event_id": "string",
+        "timestamp": "timestamp",
+        "enrichment": "struct<topics:array<string>>",
+    }
+    fields = list(wanted) if unique else ["timestamp", "enrichment"]
+    events = decode(log, wanted, fields).select("data.*")
+    if unique:
+        events = drop_redelivered(events)
+        windowing["watermark"] = None
+    topics = events.select("timestamp", F.col("enrichment.topics").alias("topics"))
+    counts = trending_topics(topics, **windowing)
     return stream_to_table(
-        counts,
-        "trending_topics_metrics",
-        path,
-        checkpoint,
-        trigger=trigger,
-        keys_unique=True,
+        counts, "trending_topics_metrics", path, checkpoint, trigger=trigger, keys_unique=True
     )
 
 
@@ -139,6 +156,7 @@ def enrich_log(
     ``report`` gets the message counts of every batch.
     """
     def route(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         usable, rejected = split_valid(decode_tolerant(batch, RAW_EVENT))
         asked = enrich(usable, factory, chunk=chunk, attempts=attempts)
         # Asked once: both outputs read the same kept replies.
@@ -150,6 +168,7 @@ def enrich_log(
                 "failed": outputs.send(failed, outputs.dead_letter, batch_id),
                 "quarantined": outputs.send(rejected, outputs.quarantine, batch_id),
             }
+        batch.unpersist()
         report(counts)
 
     return (

@@ -259,6 +259,13 @@ rows AS (
   SELECT timestamp, lower(unnest([kind, 'k' || k])) AS topic
   FROM enr WHERE has_enrichment AND k >= 40),
 {_windows('topic', 30, 15)} SELECT * FROM counted {_CLOSED}""",
+    "trending_topics_unique_stream": f"""
+WITH {_ENRICHED},
+rows AS (
+  SELECT timestamp, lower(unnest([kind, 'k' || k])) AS topic
+  FROM enr WHERE has_enrichment AND k >= 40),
+{_windows('topic', 30, 15)} SELECT * FROM counted
+WHERE window_end <= (SELECT max(timestamp) - INTERVAL 30 SECOND FROM src)""",
     "save_raw_stream": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
     "save_enriched_stream": _FLAT_ENRICHED,
     "tumbling_counts_batch": f"""
@@ -315,6 +322,12 @@ marks AS (
                              ORDER BY score DESC, timestamp DESC, event_id DESC) = 1)
 SELECT posted_in_subreddit, timestamp, event_id, score FROM ev JOIN marks USING (posted_in_subreddit)
 WHERE timestamp > t OR (timestamp = t AND event_id > i)""",
+    "poll_since_mark": f"""
+WITH {_LAKE},
+marks AS (
+  SELECT posted_in_subreddit, max(timestamp) - INTERVAL 10 DAY AS t FROM ev GROUP BY ALL)
+SELECT posted_in_subreddit, timestamp, event_id FROM ev JOIN marks USING (posted_in_subreddit)
+WHERE timestamp > t""",
     "poll_newest": f"""
 WITH {_LAKE}
 SELECT posted_in_subreddit, timestamp, event_id FROM ev

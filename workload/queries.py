@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,6 +144,14 @@ def trending_topics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, events, streams.save_trending_topics, "trending_topics_metrics")
 
 
+@_query
+def trending_topics_unique_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice and counted once."""
+    events = frames.enriched_events(spark, sf_dir)
+    start = partial(streams.save_trending_topics, unique=True)
+    return _streamed(spark, events.unionByName(events), start, "trending_topics_metrics")
+
+
 @_query
 def save_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, frames.raw_events(spark, sf_dir), streams.save_raw, "raw_events")
@@ -303,6 +312,15 @@ def incremental_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cursor.after_marks(events, _reading_marks(events), "posted_in_subreddit")
 
 
+@_query
+def poll_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A poll on top of a store that holds everything ten days earlier."""
+    events = frames.lake_events(spark, sf_dir).select("posted_in_subreddit", "timestamp", "event_id")
+    stored = events.withColumn("timestamp", F.col("timestamp") - F.expr("interval 10 days"))
+    marks = cursor.high_water_marks(stored, "posted_in_subreddit")
+    return cursor.after_marks(events, marks, "posted_in_subreddit")
+
+
 @_query
 def poll_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.lake_events(spark, sf_dir).select("posted_in_subreddit", "timestamp", "event_id")
