@@ -10,7 +10,7 @@ from chatterloom.schemas import ENRICHMENT, LAKE_EVENT, struct_type
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -26,9 +26,13 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with its counter ``k`` and a zoned timestamp."""
-    return _table(spark, sf_dir, "events").select(
+def source_events(spark: SparkSession, sf_dir: str, *, heavy: bool = False) -> DataFrame:
+    """``events`` with its counter ``k`` and a zoned timestamp.
+
+    ``heavy`` says that much work follows per row, such as writing JSON.
+    """
+    events = _table(spark, sf_dir, "events")
+    return (spread(events) if heavy else events).select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         "user_id",
@@ -103,7 +107,7 @@ def _raw_columns() -> list[Column]:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete raw events."""
-    return source_events(spark, sf_dir).select(*_raw_columns())
+    return source_events(spark, sf_dir, heavy=True).select(*_raw_columns())
 
 
 def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,14 +124,14 @@ def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.concat(F.lit("n"), k).alias("name"), F.lit("Location").alias("type")),
         ).alias("entities"),
     ).cast(struct_type(ENRICHMENT))
-    return source_events(spark, sf_dir).select(
+    return source_events(spark, sf_dir, heavy=True).select(
         *_raw_columns(), F.when(k < 90, enrichment).alias("enrichment")
     )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as posts, seven seconds apart."""
-    return _table(spark, sf_dir, "documents").select(
+    return spread(_table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.col("source").alias("title"),
         F.col("text").alias("content"),
@@ -180,7 +184,7 @@ def listing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("data")
         ).alias("child"),
     )
-    comments = _table(spark, sf_dir, "conversations").select(
+    comments = spread(_table(spark, sf_dir, "conversations")).select(
         F.col("conv_id").alias("page"),
         F.struct(
             F.struct(
@@ -228,4 +232,4 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("image").alias("post_hint"),
     )
     kind = F.when(url.contains(".org"), "COMMENT").otherwise("POST")
-    return _table(spark, sf_dir, "pages").select("page_id", kind.alias("event_type"), item.alias("item"))
+    return spread(_table(spark, sf_dir, "pages")).select("page_id", kind.alias("event_type"), item.alias("item"))

@@ -230,7 +230,7 @@ def _doubtful_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     message = F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
     payload = F.when(k < 10, F.concat(F.lit("not json "), "event_id")).otherwise(message)
-    return frames.source_events(spark, sf_dir).select(payload.alias("payload"))
+    return frames.source_events(spark, sf_dir, heavy=True).select(payload.alias("payload"))
 
 
 @_query
