@@ -6,7 +6,7 @@ watermark has passed the window's end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterloom.functions.text import STOP_WORDS, clean_topic, is_trend_word, words
@@ -99,3 +99,27 @@ def first_per_window(
     start = F.window("timestamp", window)["start"]
     order = [F.asc("timestamp"), F.asc("event_id")]
     return first_per_group(events.withColumn("window_start", start), ["window_start"], order, n)
+
+
+def within_cap(
+    events: DataFrame,
+    admitted: DataFrame,
+    n: int = MAX_PER_WINDOW,
+    *,
+    window: str = TUMBLING_WINDOW,
+) -> DataFrame:
+    """The events that still fit when a window takes ``n`` and holds ``admitted``.
+
+    At most ``n`` events per window remain to be numbered after the first step.
+    """
+    candidates = first_per_window(events, n, window=window)
+    start = F.window("timestamp", window)["start"].alias("window_start")
+    taken = admitted.groupBy(start).agg(F.count("*").alias("_taken"))
+    order = Window.partitionBy("window_start").orderBy("timestamp", "event_id")
+    place = F.row_number().over(order) + F.coalesce("_taken", F.lit(0))
+    return (
+        candidates.join(taken, "window_start", "left")
+        .withColumn("_place", place)
+        .filter(F.col("_place") <= n)
+        .drop("window_start", "_taken", "_place")
+    )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import timedelta
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +53,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _overlapping(target: DataFrame, rows: DataFrame, time: str) -> DataFrame | None:
+def _overlapping(
+    target: DataFrame, rows: DataFrame, time: str, chunk_days: int, margin: timedelta
+) -> DataFrame | None:
     """The part of ``target`` that may hold keys of ``rows``; None without rows.
 
-    Keys hold the time column, so only the same chunks and times can repeat
-    them. The chunks prune folders; the times skip row groups, since a file
-    holds the times of the batches it came from.
+    Keys hold the time column, so only the same times (give or take
+    ``margin``) can repeat them. The chunks prune folders; the times skip row
+    groups, since a file holds the times of the batches it came from.
     """
     spans = rows.groupBy(CHUNK).agg(F.min(time).alias("low"), F.max(time).alias("high"))
     named = spans.orderBy(F.asc_nulls_first(CHUNK)).limit(_NAMED_CHUNKS + 1).collect()
@@ -66,13 +70,16 @@ def _overlapping(target: DataFrame, rows: DataFrame, time: str) -> DataFrame | N
         raise ValueError(f"rows without {time} have no key")
     if len(named) <= _NAMED_CHUNKS:
         low, high = min(s.low for s in named), max(s.high for s in named)
-        same_chunk = F.col(CHUNK).isin([s[CHUNK] for s in named])
+        starts = [s[CHUNK] for s in named]
     else:
-        first, last, low, high = rows.agg(
-            F.min(CHUNK), F.max(CHUNK), F.min(time), F.max(time)
-        ).first()
-        same_chunk = F.col(CHUNK).between(first, last)
-    return target.filter(same_chunk & F.col(time).between(low, high))
+        low, high = rows.agg(F.min(time), F.max(time)).first()
+        starts = []
+    low, high = low - margin, high + margin
+    near = F.col(time).between(low, high)
+    if starts and not margin:
+        return target.filter(near & F.col(CHUNK).isin(starts))
+    first, last = (chunk_start(F.lit(edge), chunk_days) for edge in (low, high))
+    return target.filter(near & F.col(CHUNK).between(first, last))
 
 
 def insert_ignore(
@@ -82,35 +89,41 @@ def insert_ignore(
     *,
     keys_unique: bool = False,
     chunk_days: int = CHUNK_DAYS,
+    admit: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    margin: timedelta = timedelta(),
 ) -> None:
     """Appends the rows whose key the table lacks; repeats change nothing.
 
     Reads back only keys in the chunks and the time span of the batch.
     ``keys_unique`` says that no key repeats inside the batch, as after an
-    aggregation. Rows without a time have no key and are refused. Safe against
-    replays by one writer; two writers must not share a table.
+    aggregation. ``admit`` may select among the new rows, given those stored
+    in the batch's time span and ``margin`` around it. Rows without a time have
+    no key and are refused. Safe against replays by one writer; two writers
+    must not share a table.
     """
     spark = batch.sparkSession
     # Kept, so that a streaming batch is evaluated once.
     rows = _chunked(batch, table, chunk_days).persist()
     try:
         target = read_table(spark, table, path) if _exists(spark, path) else rows.limit(0)
-        stored = _overlapping(target, rows, table.time)
+        stored = _overlapping(target, rows, table.time, chunk_days, margin)
         if stored is None:
             return
         fresh = rows if keys_unique else rows.dropDuplicates(list(table.keys))
         fresh = new_rows(fresh, stored, table.keys)
+        if admit is not None:
+            fresh = admit(fresh, stored)
         fresh.hint("rebalance", CHUNK).write.mode("append").partitionBy(CHUNK).parquet(path)
     finally:
         rows.unpersist()
 
 
 def insert_ignore_batches(
-    table: Table, path: str, *, keys_unique: bool = False
+    table: Table, path: str, **options: Any
 ) -> Callable[[DataFrame, int], None]:
     """``insert_ignore`` as a ``foreachBatch`` function."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        insert_ignore(batch, table, path, keys_unique=keys_unique)
+        insert_ignore(batch, table, path, **options)
 
     return write
 

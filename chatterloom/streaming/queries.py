@@ -5,6 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import timedelta
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -14,7 +16,13 @@ from chatterloom.operators.decode import decode, decode_tolerant
 from chatterloom.operators.enrich import CHUNK, MAX_ATTEMPTS, Provider, enrich, split_enriched
 from chatterloom.operators.flatten import flatten_enriched, flatten_raw, to_lake_rows
 from chatterloom.operators.normalize import to_events
-from chatterloom.operators.trending import drop_redelivered, trending_topics, trending_words
+from chatterloom.operators.trending import (
+    MAX_PER_WINDOW,
+    drop_redelivered,
+    trending_topics,
+    trending_words,
+    within_cap,
+)
 from chatterloom.operators.validate import split_valid
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
 from chatterloom.session import stored
@@ -38,13 +46,16 @@ def stream_to_table(
     checkpoint: str,
     *,
     trigger: dict,
-    keys_unique: bool = False,
+    **options: Any,
 ) -> StreamingQuery:
-    """Streams rows into a result table; keys already there are left alone."""
+    """Streams rows into a result table; keys already there are left alone.
+
+    ``options`` are those of ``insert_ignore``.
+    """
     return (
         rows.writeStream.queryName(table)
         .outputMode("append")
-        .foreachBatch(insert_ignore_batches(TABLES[table], path, keys_unique=keys_unique))
+        .foreachBatch(insert_ignore_batches(TABLES[table], path, **options))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -61,6 +72,33 @@ def save_raw(log: DataFrame, path: str, checkpoint: str, *, trigger: dict) -> St
     return stream_to_table(rows, "raw_events", path, checkpoint, trigger=trigger)
 
 
+def save_raw_capped(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    per_window: int = MAX_PER_WINDOW,
+    window_seconds: int = 60,
+) -> StreamingQuery:
+    """``save_raw`` that keeps the first ``per_window`` events of every window.
+
+    What the table holds counts, so a window is never filled past the cap,
+    however many batches bring its events.
+    """
+    rows = _keyed(flatten_raw(decode(log, RAW_EVENT)))
+    window = f"{window_seconds} seconds"
+    return stream_to_table(
+        rows,
+        "raw_events",
+        path,
+        checkpoint,
+        trigger=trigger,
+        admit=lambda new, stored: within_cap(new, stored, per_window, window=window),
+        margin=timedelta(seconds=window_seconds),
+    )
+
+
 def save_enriched(log: DataFrame, path: str, checkpoint: str, *, trigger: dict) -> StreamingQuery:
     rows = _keyed(flatten_enriched(decode(log, ENRICHED_EVENT)))
     return stream_to_table(rows, "enriched_events", path, checkpoint, trigger=trigger)

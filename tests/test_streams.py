@@ -123,6 +123,19 @@ def test_replay_leaves_the_table_unchanged(spark, path):
     assert rows(read_table(spark, table, path("t")).select("event_id")) == [("a",), ("b",), ("d",)]
 
 
+def test_cap_counts_what_earlier_batches_stored(spark, path):
+    """Windows of a minute, three events each; the last one crosses a chunk border."""
+    border = 7 * 86400
+    land(path("log"), *[message(f"a{i}", i) for i in (5, 3)], *[message(f"b{i}", 60 + i) for i in range(5)])
+    land(path("log"), message("a3", 3), *[message(f"a{i}", i) for i in (59, 58, 57)])
+    land(path("log"), message("a1", 1), *[message(f"c{i}", border - 1 + i) for i in range(5)])
+    for checkpoint in ("c1", "c2"):
+        log = text_log(spark, path("log"), maxFilesPerTrigger="1")
+        run_for(streams.save_raw_capped(log, path("t"), path(checkpoint), trigger=DRAIN, per_window=3))
+        stored = rows(read_table(spark, TABLES["raw_events"], path("t")).select("event_id"))
+        assert [r[0] for r in stored] == ["a3", "a5", "a57", "b0", "b1", "b2", "c0", "c1", "c2", "c3"]
+
+
 def test_save_enriched_flattens(spark, path):
     land(path("log"), message("a", enrichment={"topics": ["x"], "entities": [{"name": "n", "type": "t"}]}))
     run_for(streams.save_enriched(text_log(spark, path("log")), path("t"), path("c"), trigger=DRAIN))

@@ -276,6 +276,10 @@ FROM rows GROUP BY ALL""",
     "window_cap": f"""
 WITH {_LAKE}
 SELECT event_id, timestamp, date_trunc('hour', timestamp) AS window_start FROM ev
+QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) <= 3""",
+    "window_cap_stream": f"""
+WITH {_LAKE}
+SELECT event_id, timestamp FROM ev
 QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) <= 3""",
     "raw_roundtrip": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
     "enriched_flatten": _FLAT_ENRICHED,

@@ -157,6 +157,13 @@ def save_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, frames.raw_events(spark, sf_dir), streams.save_raw, "raw_events")
 
 
+@_query
+def window_cap_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = frames.raw_events(spark, sf_dir)
+    start = partial(streams.save_raw_capped, per_window=3, window_seconds=3600)
+    return _streamed(spark, events, start, "raw_events").select("event_id", "timestamp")
+
+
 @_query
 def save_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.enriched_events(spark, sf_dir)
