@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterloom.functions.casts import TOLERANT
-from chatterloom.schemas import ENRICHMENT, RAW_EVENT, ddl
+from chatterloom.schemas import ENRICHMENT, RAW_EVENT, ddl, struct_type
 
 CORRUPT = "_corrupt"
 
@@ -35,15 +35,30 @@ def decode(
     return log.select(parse_once(F.col("payload"), ddl(layout, fields)).alias("data"))
 
 
+# What a message means by leaving these fields out, in SQL.
+_DEFAULTS = {
+    "has_media": "false",
+    "media_urls": "cast(array() as array<string>)",
+    "is_crosspost": "false",
+}
+
+
 def _wire_layout(layout: Mapping[str, str]) -> dict[str, str]:
     """The layout with every tolerant scalar taken from the message as text."""
     return {n: "string" if t in TOLERANT else t for n, t in layout.items()}
 
 
-def _tolerant_fields(source: Column, layout: Mapping[str, str]) -> list[Column]:
+def _typed(source: Column, layout: Mapping[str, str]) -> dict[str, Column]:
+    return {n: TOLERANT[t](source[n]) if t in TOLERANT else source[n] for n, t in layout.items()}
+
+
+def _unusable(source: Column, layout: Mapping[str, str], prefix: str = "") -> list[Column]:
+    """Names of the fields whose text is there but does not fit the type."""
+    typed = _typed(source, layout)
     return [
-        (TOLERANT[t](source[n]) if t in TOLERANT else source[n]).alias(n)
+        F.when(source[n].isNotNull() & typed[n].isNull(), F.lit(prefix + n))
         for n, t in layout.items()
+        if t in TOLERANT
     ]
 
 
@@ -54,41 +69,29 @@ def decode_tolerant(log: DataFrame, layout: Mapping[str, str] = RAW_EVENT) -> Da
     JSON object or has a field of the wrong shape) and ``_miscast``, the names
     of the fields whose value was present but unusable.
     """
-    wire = _wire_layout(layout)
     enriched = "enrichment" in layout
-    if enriched:
-        nested = ", ".join(f"`{n}`:{t}" for n, t in _wire_layout(ENRICHMENT).items())
-        wire["enrichment"] = f"struct<{nested}>"
-    parsed = log.select(
-        "payload",
-        parse_once(
-            F.col("payload"),
-            f"{ddl(wire)}, {CORRUPT} string",
-            {"columnNameOfCorruptRecord": CORRUPT},
-        ).alias("wire"),
-    )
     scalars = {n: t for n, t in layout.items() if n != "enrichment"}
-    columns = _tolerant_fields(F.col("wire"), scalars)
-    checked = [(n, F.col(f"wire.{n}"), F.col(n)) for n, t in scalars.items() if t in TOLERANT]
+    wire = _wire_layout(scalars)
     if enriched:
-        inner = F.col("wire.enrichment")
-        typed = F.struct(*_tolerant_fields(inner, ENRICHMENT))
-        columns.append(F.when(inner.isNotNull(), typed).alias("enrichment"))
-        checked += [
-            (f"enrichment.{n}", inner[n], F.col(f"enrichment.{n}"))
-            for n, t in ENRICHMENT.items()
-            if t in TOLERANT
-        ]
-    typed_rows = parsed.select(
+        wire["enrichment"] = struct_type(_wire_layout(ENRICHMENT))
+    schema, options = f"{ddl(wire)}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = log.select("payload", parse_once(F.col("payload"), schema, options).alias("wire"))
+
+    source, inner = F.col("wire"), F.col("wire.enrichment")
+    columns = {
+        n: F.coalesce(value, F.expr(_DEFAULTS[n])) if n in _DEFAULTS else value
+        for n, value in _typed(source, scalars).items()
+    }
+    unusable = _unusable(source, scalars)
+    if enriched:
+        fields = [value.alias(n) for n, value in _typed(inner, ENRICHMENT).items()]
+        columns["enrichment"] = F.when(inner.isNotNull(), F.struct(*fields))
+        unusable += _unusable(inner, ENRICHMENT, "enrichment.")
+    # A payload without any usable column comes back as a null struct.
+    corrupt = F.when(source.isNull(), F.col("payload")).otherwise(source[CORRUPT])
+    return parsed.select(
         "payload",
-        "wire",
-        # A payload without any usable column comes back as a null struct.
-        F.when(F.col("wire").isNull(), F.col("payload"))
-        .otherwise(F.col(f"wire.{CORRUPT}"))
-        .alias(CORRUPT),
-        *columns,
-    )
-    miscast = F.array_compact(
-        F.array(*[F.when(text.isNotNull() & value.isNull(), F.lit(n)) for n, text, value in checked])
+        corrupt.alias(CORRUPT),
+        F.array_compact(F.array(*unusable)).alias("_miscast"),
+        *[value.alias(n) for n, value in columns.items()],
     )
-    return typed_rows.withColumn("_miscast", miscast).drop("wire")

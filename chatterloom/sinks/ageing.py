@@ -9,11 +9,17 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
+from chatterloom.sinks.lake import is_streamed
 from chatterloom.sinks.tables import CHUNK, CHUNK_DAYS
 
 
 def drop_days_before(spark: SparkSession, root: str, keep_days: int, as_of: date) -> list[date]:
-    """Deletes the lake's days older than ``keep_days`` before ``as_of``."""
+    """Deletes the lake's days older than ``keep_days`` before ``as_of``.
+
+    Not for a lake that a stream writes: that one has its own ``retention``.
+    """
+    if is_streamed(spark, root):
+        raise ValueError(f"{root} is written by a stream; set its retention instead")
     oldest = as_of - timedelta(days=keep_days)
 
     def is_old(parts: dict[str, str]) -> date | None:

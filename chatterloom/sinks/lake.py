@@ -21,16 +21,25 @@ def _partitioned(rows: DataFrame) -> DataFrame:
     return typed.withColumns(day_partitions(F.col("timestamp")))
 
 
+def is_streamed(spark: SparkSession, root: str) -> bool:
+    """Whether a stream writes this lake. Its readers see only the stream's files."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(root, "_spark_metadata")
+    return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
+
+
 def write_lake(rows: DataFrame, root: str, *, mode: str = "append") -> None:
-    """Adds lake rows to the folders of their days.
+    """Adds lake rows to the folders of their days, or overwrites these days.
 
     Rows are rebalanced by day first: few files per day, while a day that
-    outgrows one task is split.
+    outgrows one task is split. A lake written by a stream takes no other rows.
     """
+    if is_streamed(rows.sparkSession, root):
+        raise ValueError(f"{root} is written by a stream; compact it into another lake first")
     (
         _partitioned(rows)
         .hint("rebalance", *_LAYOUT)
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*_LAYOUT)
         .parquet(root)
@@ -38,9 +47,12 @@ def write_lake(rows: DataFrame, root: str, *, mode: str = "append") -> None:
 
 
 def stream_to_lake(
-    rows: DataFrame, root: str, checkpoint: str, *, trigger: dict | None = None
+    rows: DataFrame, root: str, checkpoint: str, *, trigger: dict, retention: str | None = None
 ) -> StreamingQuery:
-    """Streams lake rows into the folders of their days, each row exactly once."""
+    """Streams lake rows into the folders of their days, each row exactly once.
+
+    The file log behind this forgets files after ``retention`` ("90 days").
+    """
     return (
         _partitioned(rows)
         .writeStream.format("parquet")
@@ -48,7 +60,8 @@ def stream_to_lake(
         .partitionBy(*_LAYOUT)
         .option("compression", "snappy")
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
+        .options(**({"retention": retention} if retention else {}))
+        .trigger(**trigger)
         .start(root)
     )
 
@@ -63,13 +76,4 @@ def compact_lake(
 ) -> None:
     """Rewrites days of one lake as few large files into another lake."""
     days = read_lake(spark, root, since=since, until=until)
-    (
-        days.select(*LAKE_EVENT)
-        .transform(_partitioned)
-        .hint("rebalance", *_LAYOUT)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*_LAYOUT)
-        .parquet(target)
-    )
+    write_lake(days.select(*LAKE_EVENT), target, mode="overwrite")

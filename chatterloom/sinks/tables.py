@@ -31,7 +31,9 @@ def read_table(spark: SparkSession, table: Table, path: str) -> DataFrame:
 def replace_table(
     df: DataFrame, table: Table, path: str, *, chunk_days: int = CHUNK_DAYS, whole: bool = True
 ) -> None:
-    """Snapshot write. With ``whole=False`` only the chunks in ``df`` are replaced."""
+    """Snapshot write. With ``whole=False`` only the chunks in ``df`` are replaced;
+    a chunk without rows keeps what it has.
+    """
     (
         _chunked(df, table, chunk_days)
         .hint("rebalance", CHUNK)

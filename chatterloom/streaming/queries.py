@@ -195,18 +195,20 @@ def enrich_log(
     """
     def route(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        usable, rejected = split_valid(decode_tolerant(batch, RAW_EVENT))
-        asked = enrich(usable, factory, chunk=chunk, attempts=attempts)
-        # Asked once: both outputs read the same kept replies.
-        with stored(asked.select(*RAW_EVENT, "enrichment"), "replies") as kept:
-            enriched, failed = split_enriched(kept)
-            counts = {
-                "batch": batch_id,
-                "enriched": outputs.send(enriched, outputs.enriched, batch_id),
-                "failed": outputs.send(failed, outputs.dead_letter, batch_id),
-                "quarantined": outputs.send(rejected, outputs.quarantine, batch_id),
-            }
-        batch.unpersist()
+        try:
+            usable, rejected = split_valid(decode_tolerant(batch, RAW_EVENT))
+            asked = enrich(usable, factory, chunk=chunk, attempts=attempts)
+            # Asked once: both outputs read the same kept replies.
+            with stored(asked.select(*RAW_EVENT, "enrichment"), "replies") as kept:
+                enriched, failed = split_enriched(kept)
+                counts = {
+                    "batch": batch_id,
+                    "enriched": outputs.send(enriched, outputs.enriched, batch_id),
+                    "failed": outputs.send(failed, outputs.dead_letter, batch_id),
+                    "quarantined": outputs.send(rejected, outputs.quarantine, batch_id),
+                }
+        finally:
+            batch.unpersist()
         report(counts)
 
     return (
@@ -218,10 +220,13 @@ def enrich_log(
     )
 
 
-def store_log(log: DataFrame, root: str, checkpoint: str, *, trigger: dict) -> StreamingQuery:
+def store_log(
+    log: DataFrame, root: str, checkpoint: str, *, trigger: dict, retention: str | None = None
+) -> StreamingQuery:
     """Stores the enriched, valid events of a log in the lake."""
     usable, _ = split_valid(decode_tolerant(log, ENRICHED_EVENT))
-    return stream_to_lake(to_lake_rows(usable), root, checkpoint, trigger=trigger)
+    rows = to_lake_rows(usable)
+    return stream_to_lake(rows, root, checkpoint, trigger=trigger, retention=retention)
 
 
 def ingest_listings(

@@ -65,6 +65,14 @@ def test_tolerant_numbers_times_and_flags(spark):
     assert got["day"].timestamp == datetime(2024, 1, 1)
 
 
+def test_left_out_fields_have_defaults(spark):
+    usable, _ = split_valid(decode_tolerant(log(spark, GOOD)))
+    row = usable.first()
+    assert (row.has_media, row.media_urls, row.is_crosspost) == (False, [], False)
+    assert row.score == 5 and row.title is None and row.num_comments is None
+    assert reasons(spark, {**GOOD, "has_media": "maybe"}) == ["has_media:type"]
+
+
 def test_each_rule_names_itself(spark):
     assert reasons(spark, GOOD) == []
     assert reasons(spark, "not json") == ["corrupt"]

@@ -13,7 +13,8 @@ from chatterloom.operators.decode import decode
 from chatterloom.operators.enrich import provider_factory
 from chatterloom.operators.trending import drop_redelivered, trending_words
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
-from chatterloom.sinks.ageing import drop_chunks_before
+from chatterloom.sinks.ageing import drop_chunks_before, drop_days_before
+from chatterloom.sinks.lake import compact_lake, write_lake
 from chatterloom.sinks.logs import publish
 from chatterloom.sinks.tables import append_table, insert_ignore, read_table, replace_table
 from chatterloom.sources.lake import read_lake
@@ -197,6 +198,14 @@ def test_only_valid_enriched_events_reach_the_lake(spark, path):
     )
     run_for(streams.store_log(text_log(spark, path("log")), path("lake"), path("c"), trigger=DRAIN))
     assert rows(read_lake(spark, path("lake")).select("event_id")) == [("a",)]
+    with pytest.raises(ValueError, match="stream"):
+        write_lake(read_lake(spark, path("lake")), path("lake"))
+    with pytest.raises(ValueError, match="stream"):
+        drop_days_before(spark, path("lake"), 1, date(2030, 1, 1))
+    compact_lake(spark, path("lake"), path("archive"))
+    compact_lake(spark, path("lake"), path("archive"))
+    assert rows(read_lake(spark, path("archive")).select("event_id")) == [("a",)]
+    assert drop_days_before(spark, path("archive"), 1, date(2030, 1, 1)) == [date(2024, 1, 1)]
 
 
 def test_bounded_run_list_and_stop(spark, path):
