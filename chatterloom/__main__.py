@@ -30,7 +30,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--lake", help="event lake that batch jobs read")
     parser.add_argument("--dead-letter", help="topic or folder for events without enrichment")
     parser.add_argument("--quarantine", help="topic or folder for unusable messages")
-    parser.add_argument("--format", default="kafka", help="kafka, or text for folders of JSON lines")
+    parser.add_argument("--format", default="kafka", help="kafka, or text for JSON-lines folders")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--checkpoints", help="base folder of the streams' checkpoints")
     parser.add_argument("--provider", default="dummy", help="registered enrichment provider")

@@ -168,6 +168,10 @@ def _replies(factory: Callable[[], Provider], size: int, attempts: int):
     return ask.asNondeterministic()
 
 
+def _incomplete(entity: Column) -> Column:
+    return entity["name"].isNull() | entity["type"].isNull()
+
+
 def enrich(
     events: DataFrame,
     factory: Callable[[], Provider],
@@ -189,13 +193,14 @@ def enrich(
     parsed = asked.withColumn("_reply", parse_once(F.col("_asked.reply"), schema, options))
     reply = F.col("_reply")
     typed = {n: TOLERANT[t](reply[n]) if t in TOLERANT else reply[n] for n, t in ENRICHMENT.items()}
+    unscored = reply["sentiment_score"].isNotNull() & typed["sentiment_score"].isNull()
     reason = (
         F.when(F.col("_asked.error").isNotNull(), F.concat(F.lit("provider:"), "_asked.error"))
         .when(F.col("_asked.reply").isNull(), "reply:missing")
         .when(reply.isNull() | reply[CORRUPT].isNotNull(), "reply:shape")
         .when(~F.forall(reply["languages"], lambda c: c.isin(*LANGUAGES)), "languages:unknown")
-        .when(reply["sentiment_score"].isNotNull() & typed["sentiment_score"].isNull(), "sentiment_score:type")
-        .when(F.exists(reply["entities"], lambda e: e["name"].isNull() | e["type"].isNull()), "entities:shape")
+        .when(unscored, "sentiment_score:type")
+        .when(F.exists(reply["entities"], _incomplete), "entities:shape")
     )
     enrichment = F.struct(*[value.alias(n) for n, value in typed.items()])
     checked = parsed.withColumn("reason", reason)

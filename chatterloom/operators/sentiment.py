@@ -38,8 +38,9 @@ def sentiment_by_group(events: DataFrame, grain: str) -> DataFrame:
         F.min("enrichment_sentiment").alias("sentiment_min"),
         F.max("enrichment_sentiment").alias("sentiment_max"),
     )
+    ids = rows.select("bucket", "event_id")
     samples = (
-        first_per_group(rows.select("bucket", "event_id"), ["bucket"], [F.asc_nulls_last("event_id")], SAMPLE_IDS)
+        first_per_group(ids, ["bucket"], [F.asc_nulls_last("event_id")], SAMPLE_IDS)
         .groupBy("bucket")
         .agg(F.array_sort(F.collect_list("event_id")).alias("sample_event_ids"))
     )

@@ -60,11 +60,17 @@ def _overlapping(
 ) -> DataFrame | None:
     """The part of ``target`` that may hold keys of ``rows``; None without rows.
 
-    Keys hold the time column, so only the same times (give or take
-    ``margin``) can repeat them. The chunks prune folders; the times skip row
-    groups, since a file holds the times of the batches it came from.
+    Keys hold the time column, so only the same times, give or take ``margin``
+    (at most a chunk), can repeat them. The chunks prune folders; the times
+    skip row groups, since a file holds the times of the batches it came from.
     """
-    spans = rows.groupBy(CHUNK).agg(F.min(time).alias("low"), F.max(time).alias("high"))
+    around = margin // timedelta(microseconds=1)
+    spans = rows.groupBy(CHUNK).agg(
+        (F.min(F.unix_micros(time)) - around).alias("low"),
+        (F.max(F.unix_micros(time)) + around).alias("high"),
+    )
+    edges = [chunk_start(F.timestamp_micros(edge), chunk_days) for edge in ("low", "high")]
+    spans = spans.withColumn("chunks", F.array(F.col(CHUNK), *edges))
     named = spans.orderBy(F.asc_nulls_first(CHUNK)).limit(_NAMED_CHUNKS + 1).collect()
     if not named:
         return None
@@ -72,16 +78,13 @@ def _overlapping(
         raise ValueError(f"rows without {time} have no key")
     if len(named) <= _NAMED_CHUNKS:
         low, high = min(s.low for s in named), max(s.high for s in named)
-        starts = [s[CHUNK] for s in named]
+        same_chunk = F.col(CHUNK).isin(sorted({c for s in named for c in s.chunks}))
     else:
-        low, high = rows.agg(F.min(time), F.max(time)).first()
-        starts = []
-    low, high = low - margin, high + margin
-    near = F.col(time).between(low, high)
-    if starts and not margin:
-        return target.filter(near & F.col(CHUNK).isin(starts))
-    first, last = (chunk_start(F.lit(edge), chunk_days) for edge in (low, high))
-    return target.filter(near & F.col(CHUNK).between(first, last))
+        low, high = spans.agg(F.min("low"), F.max("high")).first()
+        first, last = (chunk_start(F.timestamp_micros(F.lit(t)), chunk_days) for t in (low, high))
+        same_chunk = F.col(CHUNK).between(first, last)
+    near = F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+    return target.filter(same_chunk & near)
 
 
 def insert_ignore(
@@ -166,9 +169,11 @@ def insert_ignore_jdbc(
     spark = batch.sparkSession
     rows = table.conform(batch).persist()
     try:
-        low, high = rows.agg(F.min(table.time), F.max(table.time)).first()
+        micros = F.unix_micros(table.time)
+        low, high = rows.agg(F.min(micros), F.max(micros)).first()
         if low is None:
             return
+        low, high = (F.timestamp_micros(F.lit(edge)) for edge in (low, high))
         reader = spark.read.format("jdbc").options(**_jdbc(url, table_name, credentials))
         stored = reader.load().filter(F.col(table.time).between(low, high))
         fresh = new_rows(rows.dropDuplicates(list(table.keys)), stored, table.keys)

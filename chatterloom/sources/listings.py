@@ -31,6 +31,7 @@ def items(pages: DataFrame) -> DataFrame:
         event_type = F.when(F.col("endpoint") == endpoint, kind).otherwise(event_type)
     return (
         pages.filter(F.col("endpoint").isin(*ENDPOINT_EVENT_TYPE))
-        .select("endpoint", event_type.alias("event_type"), F.explode("data.children").alias("child"))
+        .withColumn("event_type", event_type)
+        .select("endpoint", "event_type", F.explode("data.children").alias("child"))
         .select("endpoint", "event_type", F.col("child.data").alias("item"))
     )

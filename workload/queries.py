@@ -27,7 +27,7 @@ from chatterloom.operators.trending import (
 from chatterloom.operators.validate import split_valid, with_quality_flags
 from chatterloom.plans.batch import JOBS, run_jobs
 from chatterloom.schemas import ENRICHED_EVENT, LAKE_EVENT, LISTING_PAGE, RAW_EVENT, TABLES, ddl
-from chatterloom.session import scratch_path
+from chatterloom.session import SETTINGS, scratch_path
 from chatterloom.sinks.lake import compact_lake, write_lake
 from chatterloom.sinks.logs import publish
 from chatterloom.sinks.tables import append_table, insert_ignore, read_table, replace_table
@@ -45,7 +45,11 @@ _DRAIN = trigger(once=True)
 
 
 def _query(function: Query) -> Query:
-    _QUERIES[function.__name__] = lambda spark, sf_dir: frames.plain(function(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", SETTINGS["spark.sql.session.timeZone"])
+        return frames.plain(function(spark, sf_dir))
+
+    _QUERIES[function.__name__] = run
     return function
 
 
