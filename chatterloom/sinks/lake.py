@@ -15,10 +15,14 @@ from chatterloom.sources.lake import read_lake
 _LAYOUT = list(LAKE_PARTITIONS)
 
 
-def _partitioned(rows: DataFrame) -> DataFrame:
-    """Lake rows in their fixed types, each with its own day."""
+def _by_day(rows: DataFrame) -> DataFrame:
+    """Lake rows in their fixed types, each with its own day, ready to write.
+
+    Rebalanced by day: few files per day, while a day that outgrows one task
+    is split. Adaptive execution does this for stateless streams, too.
+    """
     typed = rows.select([F.col(n).cast(t).alias(n) for n, t in LAKE_EVENT.items()])
-    return typed.withColumns(day_partitions(F.col("timestamp")))
+    return typed.withColumns(day_partitions(F.col("timestamp"))).hint("rebalance", *_LAYOUT)
 
 
 def is_streamed(spark: SparkSession, root: str) -> bool:
@@ -30,14 +34,12 @@ def is_streamed(spark: SparkSession, root: str) -> bool:
 def write_lake(rows: DataFrame, root: str, *, mode: str = "append") -> None:
     """Adds lake rows to the folders of their days, or overwrites these days.
 
-    Rows are rebalanced by day first: few files per day, while a day that
-    outgrows one task is split. A lake written by a stream takes no other rows.
+    A lake written by a stream takes no other rows.
     """
     if is_streamed(rows.sparkSession, root):
         raise ValueError(f"{root} is written by a stream; compact it into another lake first")
     (
-        _partitioned(rows)
-        .hint("rebalance", *_LAYOUT)
+        _by_day(rows)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -54,7 +56,7 @@ def stream_to_lake(
     The file log behind this forgets files after ``retention`` ("90 days").
     """
     return (
-        _partitioned(rows)
+        _by_day(rows)
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*_LAYOUT)

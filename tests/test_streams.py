@@ -208,6 +208,15 @@ def test_only_valid_enriched_events_reach_the_lake(spark, path):
     assert drop_days_before(spark, path("archive"), 1, date(2030, 1, 1)) == [date(2024, 1, 1)]
 
 
+def test_streamed_lake_gets_few_files(spark, path):
+    events = [message(str(i), 3600 * i, enrichment={"languages": ["en"]}) for i in range(48)]
+    for i in range(0, 48, 8):
+        land(path("log"), *events[i : i + 8])
+    run_for(streams.store_log(text_log(spark, path("log")), path("lake"), path("c"), trigger=DRAIN))
+    lake = read_lake(spark, path("lake"))
+    assert lake.count() == 48 and len(lake.inputFiles()) == 2
+
+
 def test_bounded_run_list_and_stop(spark, path):
     land(path("log"), message("a"))
     log = text_log(spark, path("log"))
