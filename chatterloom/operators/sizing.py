@@ -9,13 +9,15 @@ BROADCAST_ROWS = 100_000
 
 
 def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``side`` with a broadcast hint if it has at most ``max_rows`` rows.
+    """``side``, evaluated and marked for broadcast if it has at most ``max_rows`` rows.
 
-    Counting stops one row past the bound. A larger side keeps the shuffle
+    Evaluation stops one row past the bound. A larger side keeps the shuffle
     join that adaptive execution can split on skew.
     """
-    rows = side.limit(max_rows + 1).count()
-    return F.broadcast(side) if rows <= max_rows else side
+    head = side.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return side
+    return F.broadcast(side.sparkSession.createDataFrame(head, side.schema))
 
 
 def spread(scan: DataFrame) -> DataFrame:
