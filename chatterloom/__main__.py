@@ -29,7 +29,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--output", required=True, help="topic, lake or folder of result tables")
     parser.add_argument("--lake", help="event lake that batch jobs read")
     parser.add_argument("--dead-letter", help="topic or folder for events without enrichment")
-    parser.add_argument("--quarantine", help="topic or folder for unusable messages")
+    parser.add_argument(
+        "--quarantine", help="topic or folder for unusable messages (a folder for the save jobs)"
+    )
     parser.add_argument("--format", default="kafka", help="kafka, or text for JSON-lines folders")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--checkpoints", help="base folder of the streams' checkpoints")
@@ -63,7 +65,8 @@ def _start(spark, args: argparse.Namespace):
         return streams.store_log(log, args.output, checkpoint, trigger=when)
     save, table = TABLE_STREAMS[args.job]
     checkpoint = checkpoint_path(args.checkpoints, table, args.job)
-    return save(log, f"{args.output}/{table}", checkpoint, trigger=when)
+    extra = {"quarantine": args.quarantine} if args.job.startswith("save_") else {}
+    return save(log, f"{args.output}/{table}", checkpoint, trigger=when, **extra)
 
 
 def main(argv: list[str] | None = None) -> None:

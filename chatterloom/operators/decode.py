@@ -26,13 +26,15 @@ def decode(
     log: DataFrame,
     layout: Mapping[str, str] = RAW_EVENT,
     fields: Iterable[str] | None = None,
+    *,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """The payload as struct ``data`` that holds just ``fields`` of the layout.
 
     A field that does not fit its type is null. Naming few fields keeps the
-    JSON parser from building the rest.
+    JSON parser from building the rest. Columns of the log in ``keep`` stay.
     """
-    return log.select(parse_once(F.col("payload"), ddl(layout, fields)).alias("data"))
+    return log.select(*keep, parse_once(F.col("payload"), ddl(layout, fields)).alias("data"))
 
 
 # What a message means by leaving these fields out, in SQL.

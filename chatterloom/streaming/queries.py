@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import timedelta
 from typing import Any
@@ -28,7 +28,7 @@ from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
 from chatterloom.session import stored
 from chatterloom.sinks.lake import stream_to_lake
 from chatterloom.sinks.logs import publish
-from chatterloom.sinks.tables import insert_ignore_batches
+from chatterloom.sinks.tables import insert_ignore, insert_ignore_batches
 from chatterloom.sources.listings import items
 
 Report = Callable[[dict[str, int]], None]
@@ -62,14 +62,57 @@ def stream_to_table(
     )
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    """Rows that have a key; a message that is no event would have none."""
-    return rows.filter(F.col("event_id").isNotNull() & F.col("timestamp").isNotNull())
+def _save_events(
+    log: DataFrame,
+    layout: Mapping[str, str],
+    flatten: Callable[[DataFrame], DataFrame],
+    table: str,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    quarantine: str | None,
+    **options: Any,
+) -> StreamingQuery:
+    """Streams the messages that have a key into a table of events.
+
+    The others are no events; their payloads go to the ``quarantine`` folder.
+    """
+    has_key = F.col("data.event_id").isNotNull() & F.col("data.timestamp").isNotNull()
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            decoded = decode(batch, layout, keep=["payload"])
+            insert_ignore(flatten(decoded.filter(has_key)), TABLES[table], path, **options)
+            if quarantine:
+                rejected = decoded.filter(~has_key).select("payload")
+                rejected.write.mode("overwrite").text(f"{quarantine}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
-def save_raw(log: DataFrame, path: str, checkpoint: str, *, trigger: dict) -> StreamingQuery:
-    rows = _keyed(flatten_raw(decode(log, RAW_EVENT)))
-    return stream_to_table(rows, "raw_events", path, checkpoint, trigger=trigger)
+    return (
+        log.writeStream.queryName(table)
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def save_raw(
+    log: DataFrame, path: str, checkpoint: str, *, trigger: dict, quarantine: str | None = None
+) -> StreamingQuery:
+    return _save_events(
+        log,
+        RAW_EVENT,
+        flatten_raw,
+        "raw_events",
+        path,
+        checkpoint,
+        trigger=trigger,
+        quarantine=quarantine,
+    )
 
 
 def save_raw_capped(
@@ -78,6 +121,7 @@ def save_raw_capped(
     checkpoint: str,
     *,
     trigger: dict,
+    quarantine: str | None = None,
     per_window: int = MAX_PER_WINDOW,
     window_seconds: int = 60,
 ) -> StreamingQuery:
@@ -86,22 +130,34 @@ def save_raw_capped(
     What the table holds counts, so a window is never filled past the cap,
     however many batches bring its events.
     """
-    rows = _keyed(flatten_raw(decode(log, RAW_EVENT)))
     window = f"{window_seconds} seconds"
-    return stream_to_table(
-        rows,
+    return _save_events(
+        log,
+        RAW_EVENT,
+        flatten_raw,
         "raw_events",
         path,
         checkpoint,
         trigger=trigger,
-        admit=lambda new, stored: within_cap(new, stored, per_window, window=window),
+        quarantine=quarantine,
+        admit=lambda new, kept: within_cap(new, kept, per_window, window=window),
         margin=timedelta(seconds=window_seconds),
     )
 
 
-def save_enriched(log: DataFrame, path: str, checkpoint: str, *, trigger: dict) -> StreamingQuery:
-    rows = _keyed(flatten_enriched(decode(log, ENRICHED_EVENT)))
-    return stream_to_table(rows, "enriched_events", path, checkpoint, trigger=trigger)
+def save_enriched(
+    log: DataFrame, path: str, checkpoint: str, *, trigger: dict, quarantine: str | None = None
+) -> StreamingQuery:
+    return _save_events(
+        log,
+        ENRICHED_EVENT,
+        flatten_enriched,
+        "enriched_events",
+        path,
+        checkpoint,
+        trigger=trigger,
+        quarantine=quarantine,
+    )
 
 
 def save_trending_words(
@@ -229,6 +285,18 @@ def store_log(
     return stream_to_lake(rows, root, checkpoint, trigger=trigger, retention=retention)
 
 
+def quarantine_log(log: DataFrame, path: str, checkpoint: str, *, trigger: dict) -> StreamingQuery:
+    """Keeps what ``store_log`` has to leave out as unusable, with its reasons."""
+    _, rejected = split_valid(decode_tolerant(log, ENRICHED_EVENT))
+    return (
+        rejected.writeStream.queryName("quarantine")
+        .format("json")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start(path)
+    )
+
+
 def ingest_listings(
     pages: DataFrame,
     target: str,

@@ -124,6 +124,16 @@ def test_replay_leaves_the_table_unchanged(spark, path):
     assert rows(read_table(spark, table, path("t")).select("event_id")) == [("a",), ("b",), ("d",)]
 
 
+def test_messages_without_key_are_quarantined(spark, path):
+    land(path("log"), message("a"), "junk", {"event_id": "b"}, message("c", timestamp="never"))
+    log = text_log(spark, path("log"))
+    query = streams.save_raw(log, path("t"), path("c"), trigger=DRAIN, quarantine=path("bad"))
+    run_for(query)
+    assert rows(read_table(spark, TABLES["raw_events"], path("t")).select("event_id")) == [("a",)]
+    bad = [r.value for r in spark.read.text(path("bad")).collect()]
+    assert len(bad) == 3 and "junk" in bad
+
+
 def test_cap_counts_what_earlier_batches_stored(spark, path):
     """Windows of a minute, three events each; the last one crosses a chunk border."""
     border = 7 * 86400
@@ -198,6 +208,9 @@ def test_only_valid_enriched_events_reach_the_lake(spark, path):
     )
     run_for(streams.store_log(text_log(spark, path("log")), path("lake"), path("c"), trigger=DRAIN))
     assert rows(read_lake(spark, path("lake")).select("event_id")) == [("a",)]
+    run_for(streams.quarantine_log(text_log(spark, path("log")), path("bad"), path("c2"), trigger=DRAIN))
+    reasons = {tuple(r.reasons) for r in spark.read.json(path("bad")).collect()}
+    assert reasons == {("enrichment.languages:unknown",), ("event_id:missing",), ("corrupt",)}
     with pytest.raises(ValueError, match="stream"):
         write_lake(read_lake(spark, path("lake")), path("lake"))
     with pytest.raises(ValueError, match="stream"):
