@@ -165,10 +165,10 @@ def document_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and conversations as JSON listing pages (``endpoint``, ``body``).
 
-    A page holds a hundred documents or one conversation.
+    A page holds a hundred documents or up to a hundred turns of a conversation.
     """
     posts = documents(spark, sf_dir).select(
-        F.floor(F.col("doc_id") / 100).alias("page"),
+        F.floor(F.col("doc_id") / 100).cast("string").alias("page"),
         F.struct(
             F.struct(
                 F.concat(F.lit("t3_"), "doc_id").alias("name"),
@@ -185,7 +185,7 @@ def listing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("child"),
     )
     comments = spread(_table(spark, sf_dir, "conversations")).select(
-        F.col("conv_id").alias("page"),
+        F.concat_ws("_", "conv_id", F.floor(F.col("turn") / 100)).alias("page"),
         F.struct(
             F.struct(
                 F.concat_ws("_", "conv_id", "turn").alias("id"),
