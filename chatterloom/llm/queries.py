@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import exact_dedup
+from chatterloom.llm import exact_dedup, simhash
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -41,3 +41,11 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
   text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
+
+
+@_query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
+    rows = simhash.fingerprints(table(spark, sf_dir, "documents"), simhash.EXACT)
+    found = simhash.near_components(rows, simhash.EXACT)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
