@@ -65,3 +65,15 @@ def file_system(path: str):
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes too, as a row can be a very long text."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return df.mapInArrow(function, schema)
+
+
+def map_pandas(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInPandas``, bounded likewise."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return df.mapInPandas(function, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import exact_dedup, simhash
+from chatterloom.llm import exact_dedup, mixing, sharding, simhash
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -49,3 +49,30 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.fingerprints(table(spark, sf_dir, "documents"), simhash.EXACT)
     found = simhash.near_components(rows, simhash.EXACT)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of all sources takes from each document."""
+    docs = table(spark, sf_dir, "documents")
+    narrow = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    stored, found, row = mixing.allot(narrow)
+    taken = F.col("copies") * F.col("size") + F.col("part")
+    joined = stored.select("doc_id", row).join(found, row)
+    return joined.select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
+
+
+@_query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents shuffled into eight shards, as read back from the shards' files."""
+    path = sharding.write_shards(table(spark, sf_dir, "documents"), 8)
+    text = F.coalesce("text", F.lit(""))
+    return spark.read.parquet(path).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
