@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import exact_dedup, mixing, sharding, simhash
+from chatterloom.llm import contamination, exact_dedup, mixing, sharding, simhash
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -76,3 +76,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hit words of every document, with the items they come from."""
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = contamination.judge(docs, benchmark, keep=["doc_id"])
+    digest = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated", "longest_match")
