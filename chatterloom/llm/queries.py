@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import contamination, exact_dedup, mixing, sharding, simhash
+from chatterloom.llm import contamination, exact_dedup, language, mixing, sharding, simhash
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -85,3 +85,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.judge(docs, benchmark, keep=["doc_id"])
     digest = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated", "longest_match")
+
+
+@_query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for all documents by a network trained on those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs)
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
