@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import contamination, exact_dedup, language, mixing, sharding, simhash
+from chatterloom.llm import contamination, exact_dedup, language, mixing, sharding, simhash, warc
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -94,3 +94,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs)
     found = language.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records into ZIP packages and read back from them."""
+    manifest = warc.write_packages(table(spark, sf_dir, "pages"), package_bytes=8 << 20)
+    found = warc.read_packages(spark, manifest)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
