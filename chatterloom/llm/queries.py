@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import contamination, exact_dedup, language, mixing, sharding, simhash, warc
+from chatterloom.llm import contamination, exact_dedup, language, mixing, sharding, simhash, suffix_dedup, warc
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -102,3 +102,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_packages(table(spark, sf_dir, "pages"), package_bytes=8 << 20)
     found = warc.read_packages(spark, manifest)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings of 50 bytes that a document with a smaller id has."""
+    return suffix_dedup.repeats_digest(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
