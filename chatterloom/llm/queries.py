@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import contamination, exact_dedup, language, mixing, sharding, simhash, suffix_dedup, warc
+from chatterloom.llm import contamination, exact_dedup, language, line_dedup, mixing, sharding, simhash, suffix_dedup, warc
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -108,3 +108,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the strings of 50 bytes that a document with a smaller id has."""
     return suffix_dedup.repeats_digest(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences that stood in an earlier place are removed from every document; runs under five words are spared."""
+    found = line_dedup.deduplicate_units(table(spark, sf_dir, "documents"), unit="sentence", least_words=5)
+    return found.select(F.col("id").alias("doc_id"), "text", "n_units", "n_removed", "removed")
