@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm.common import file_system, map_arrow, map_pandas, store
+from chatterloom.llm.common import file_system, map_arrow, map_pandas, shuffle_partitions, store
 from chatterloom.session import scratch_path
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
@@ -261,10 +261,13 @@ def locate_records(packages: DataFrame) -> DataFrame:
 _RECORD = "page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, path string, offset bigint"
 
 
-def read_records(places: DataFrame, *, payload: bool = False, block_bytes: int = 8 << 20) -> DataFrame:
-    """The records at ``places``, range-read; a package is read in blocks by different tasks. ``payload``: with payloads."""
-    block = F.floor(F.col("offset") / block_bytes)
-    dealt = places.withColumn("block", block).repartition("path", "block").sortWithinPartitions("path", "offset")
+def read_records(places: DataFrame, *, payload: bool = False, block_bytes: int = 1 << 20) -> DataFrame:
+    """The records at ``places``, range-read; a package is read in blocks by different tasks. ``payload``: with payloads.
+
+    The places are small beside what is read for them, so the number of tasks is given, not left to their size.
+    """
+    block, tasks = F.floor(F.col("offset") / block_bytes), shuffle_partitions(places.sparkSession)
+    dealt = places.withColumn("block", block).repartition(tasks, "path", "block").sortWithinPartitions("path", "offset")
 
     def fetch(rows: list[tuple[str, int, int]]) -> Iterator[dict]:
         path, start, _ = rows[0]
