@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.llm import contamination, exact_dedup, language, line_dedup, mixing, sharding, simhash, suffix_dedup, warc
+from chatterloom.llm import (
+    contamination, exact_dedup, html_text, language, line_dedup, mixing, sharding, simhash, suffix_dedup, warc,
+)
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
 
@@ -115,3 +117,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences that stood in an earlier place are removed from every document; runs under five words are spared."""
     found = line_dedup.deduplicate_units(table(spark, sf_dir, "documents"), unit="sentence", least_words=5)
     return found.select(F.col("id").alias("doc_id"), "text", "n_units", "n_removed", "removed")
+
+
+@_query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages, by weights trained on layouts around the words of some."""
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
