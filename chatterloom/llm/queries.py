@@ -124,3 +124,11 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages, by weights trained on layouts around the words of some."""
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages))
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
