@@ -142,7 +142,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     parts = [len(arrays[0][0] if isinstance(arrays[0], tuple) else arrays[0]).to_bytes(8, "little")]
     for array in arrays:
         array, width = array if isinstance(array, tuple) else (array, array.dtype.itemsize)
-        planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), -1)
+        planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.dtype.itemsize)
         parts.append(planes[:, :width].T.tobytes())
     return b"".join(parts)
 
