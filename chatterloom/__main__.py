@@ -5,8 +5,10 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from pyspark.sql.streaming import StreamingQuery
+
 from chatterloom.operators.enrich import provider_factory
-from chatterloom.plans.batch import JOBS, run_job, run_jobs
+from chatterloom.plans.batch import JOBS, run_job, run_jobs, run_rates
 from chatterloom.session import build_session
 from chatterloom.sources.listings import read_listings
 from chatterloom.sources.logs import read_log
@@ -18,62 +20,102 @@ TABLE_STREAMS = {
     "save_enriched": (streams.save_enriched, "enriched_events"),
     "trending_words": (streams.save_trending_words, "trending_words_metrics"),
     "trending_topics": (streams.save_trending_topics, "trending_topics_metrics"),
+    "tumbling_counts": (streams.save_tumbling_counts, "tumbling_counts_metrics"),
 }
+# Bounds of a micro-batch, so that a first run over an old topic is no single batch.
+BATCH_MESSAGES = 100_000
+BATCH_FILES = 100
 STREAMS = ("ingestion", "processing", "storage", *TABLE_STREAMS)
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="chatterloom", description=__doc__)
-    parser.add_argument("job", choices=[*STREAMS, *JOBS, "all_batch"])
+    parser.add_argument("job", choices=[*STREAMS, *JOBS, "all_batch", "event_rates"])
     parser.add_argument("--source", help="topic, log folder, or landed listing pages")
     parser.add_argument("--output", required=True, help="topic, lake or folder of result tables")
-    parser.add_argument("--lake", help="event lake that batch jobs read")
+    parser.add_argument("--lake", help="event lake (or, for event_rates, folder of event tables) to read")
     parser.add_argument("--dead-letter", help="topic or folder for events without enrichment")
     parser.add_argument(
-        "--quarantine", help="topic or folder for unusable messages (a folder for the save jobs)"
+        "--quarantine",
+        help="topic or folder for unusable messages (a folder for the save and storage jobs)",
     )
     parser.add_argument("--format", default="kafka", help="kafka, or text for JSON-lines folders")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--checkpoints", help="base folder of the streams' checkpoints")
-    parser.add_argument("--provider", default="dummy", help="registered enrichment provider")
+    parser.add_argument(
+        "--provider", default="dummy", help="registered provider, or package.module:factory"
+    )
+    parser.add_argument(
+        "--batch-limit", type=int, help=f"messages of a micro-batch (default {BATCH_MESSAGES}), or files of a folder (default {BATCH_FILES})"
+    )
+    parser.add_argument(
+        "--allow-data-loss", action="store_true", help="go on when a topic no longer has offsets"
+    )
     parser.add_argument("--max-seconds", type=float, help="stop the stream after this time")
     parser.add_argument("--poll-seconds", type=int, default=POLL_SECONDS)
     parser.add_argument("--once", action="store_true", help="process what is there, then stop")
     parser.add_argument("--since", type=date.fromisoformat, help="first day, for batch jobs")
     parser.add_argument("--until", type=date.fromisoformat, help="day after the last one")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    lacking = [f"--{n.replace('_', '-')}" for n in _required(args.job) if not getattr(args, n)]
+    if lacking:
+        parser.error(f"{args.job} needs {', '.join(lacking)}")
+    return args
 
 
-def _start(spark, args: argparse.Namespace):
+def _required(job: str) -> list[str]:
+    if job not in STREAMS:
+        return ["lake"] if job in (*JOBS, "all_batch", "event_rates") else []
+    needed = ["source", "checkpoints"]
+    if job in ("ingestion", "processing", "storage", "save_raw", "save_enriched"):
+        needed.append("quarantine")
+    return [*needed, "dead_letter"] if job == "processing" else needed
+
+
+def _start(spark, args: argparse.Namespace) -> list[StreamingQuery]:
     when = trigger(once=args.once, seconds=args.poll_seconds)
+    where = {"format": args.format, "servers": args.servers}
+
+    def checkpoint(table: str) -> str:
+        return checkpoint_path(args.checkpoints, table, args.job)
+
     if args.job == "ingestion":
-        pages = read_listings(spark, args.source, streaming=True)
-        checkpoint = checkpoint_path(args.checkpoints, "raw_log", args.job)
-        return streams.ingest_listings(
-            pages, args.output, checkpoint, trigger=when, format=args.format, servers=args.servers
+        limit = str(args.batch_limit or BATCH_FILES)
+        pages = read_listings(spark, args.source, streaming=True, maxFilesPerTrigger=limit)
+        query = streams.ingest_listings(
+            pages, args.output, checkpoint("raw_log"), trigger=when, quarantine=args.quarantine, **where
         )
-    log = read_log(spark, args.source, format=args.format, servers=args.servers)
+        return [query]
+    default = BATCH_MESSAGES if args.format == "kafka" else BATCH_FILES
+    log = read_log(
+        spark,
+        args.source,
+        batch_limit=args.batch_limit or default,
+        fail_on_data_loss=not args.allow_data_loss,
+        **where,
+    )
     if args.job == "processing":
-        outputs = streams.Outputs(
-            args.output, args.dead_letter, args.quarantine, args.format, args.servers
-        )
-        checkpoint = checkpoint_path(args.checkpoints, "enriched_log", args.job)
+        outputs = streams.Outputs(args.output, args.dead_letter, args.quarantine, **where)
         factory = provider_factory(args.provider)
-        return streams.enrich_log(log, factory, outputs, checkpoint, trigger=when)
+        return [streams.enrich_log(log, factory, outputs, checkpoint("enriched_log"), trigger=when)]
     if args.job == "storage":
-        checkpoint = checkpoint_path(args.checkpoints, "lake", args.job)
-        return streams.store_log(log, args.output, checkpoint, trigger=when)
+        return [
+            streams.store_log(log, args.output, checkpoint("lake"), trigger=when),
+            streams.quarantine_log(log, args.quarantine, checkpoint("quarantine"), trigger=when),
+        ]
     save, table = TABLE_STREAMS[args.job]
-    checkpoint = checkpoint_path(args.checkpoints, table, args.job)
     extra = {"quarantine": args.quarantine} if args.job.startswith("save_") else {}
-    return save(log, f"{args.output}/{table}", checkpoint, trigger=when, **extra)
+    return [save(log, f"{args.output}/{table}", checkpoint(table), trigger=when, **extra)]
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = build_session(f"chatterloom-{args.job}")
     if args.job in STREAMS:
-        run_for(_start(spark, args), args.max_seconds)
+        for query in _start(spark, args):
+            run_for(query, args.max_seconds)
+    elif args.job == "event_rates":
+        run_rates(spark, args.lake, args.output)
     elif args.job == "all_batch":
         run_jobs(spark, args.lake, args.output, since=args.since, until=args.until)
     else:

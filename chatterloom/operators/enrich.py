@@ -7,24 +7,30 @@ come back as JSON and are checked and typed by Spark.
 
 from __future__ import annotations
 
+import importlib
 import json
+import queue
 import sys
+import threading
+import time
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterloom.functions.casts import TOLERANT
 from chatterloom.functions.text import prompt_text
 from chatterloom.operators.decode import CORRUPT, parse_once
-from chatterloom.operators.numbering import number_rows
 from chatterloom.schemas import ENRICHMENT, LANGUAGES, ddl, struct_type
 
 CHUNK = 5
 MAX_ATTEMPTS = 3
+PAUSE_SECONDS = 1.0
+# Of a call for a chunk, and of a call for a single text.
+TIME_LIMITS = (90.0, 30.0)
 
 # Tasks get this code with the query; executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -66,8 +72,17 @@ def register_provider(name: str, factory: Callable[[], Provider]) -> None:
 
 
 def provider_factory(name: str) -> Callable[[], Provider]:
+    """A registered provider, or ``package.module:factory``, shipped to the tasks with the query."""
+    module, _, attribute = name.partition(":")
+    if attribute:
+        found = importlib.import_module(module)
+        cloudpickle.register_pickle_by_value(found)
+        return getattr(found, attribute)
     if name not in _FACTORIES:
-        raise ValueError(f"unknown provider {name!r}, registered: {sorted(_FACTORIES)}")
+        raise ValueError(
+            f"unknown provider {name!r}: registered are {sorted(_FACTORIES)}, "
+            "others are named package.module:factory"
+        )
     return _FACTORIES[name]
 
 
@@ -91,76 +106,141 @@ def fixed_enrichment(position: Column) -> Column:
 
 
 def chunk_columns(
-    events: DataFrame,
-    group: str,
-    order: list[str],
-    slice_of: Column,
-    size: int = CHUNK,
+    events: DataFrame, group: str, order: list[str], slice_of: Column, size: int = CHUNK
 ) -> DataFrame:
-    """Adds ``chunk`` (0-based in its group) and ``position`` (1-based in its chunk)."""
-    numbered = number_rows(events, group, order, slice_of, "_row")
-    before = F.col("_row") - 1
-    return numbered.withColumns(
-        {
-            "chunk": F.floor(before / size).cast("long"),
-            "position": (F.pmod(before, F.lit(size)) + 1).cast("int"),
-        }
-    ).drop("_row")
+    """Adds ``piece``, ``chunk`` (0-based in its piece) and ``position`` (1-based in its chunk).
+
+    Pieces cut a group into parts of bounded size; a chunk does not cross them,
+    so packing needs the one shuffle that numbering needs.
+    """
+    window = Window.partitionBy(group, "piece").orderBy(*order)
+    before = F.row_number().over(window) - 1
+    return (
+        events.withColumn("piece", slice_of.cast("long"))
+        .withColumn("_before", before)
+        .withColumn("chunk", F.floor(F.col("_before") / size).cast("long"))
+        .withColumn("position", (F.col("_before") % size + 1).cast("int"))
+        .drop("_before")
+    )
 
 
 def pack_prompts(chunked: DataFrame, group: str, text: str = "text") -> DataFrame:
     """One prompt per chunk: its texts, numbered and joined by blank lines."""
     item = F.concat(F.lit("Item "), F.col("position"), F.lit(":\n"), F.col(text))
-    packed = chunked.groupBy(group, "chunk").agg(
+    packed = chunked.groupBy(group, "piece", "chunk").agg(
         F.count("*").alias("items"),
         F.array_sort(F.collect_list(F.struct("position", item.alias("item")))).alias("parts"),
     )
     return packed.withColumn("prompt", F.concat_ws("\n\n", F.col("parts.item"))).drop("parts")
 
 
-def _one_by_one(provider: Provider, texts: list[str], attempts: int) -> Iterator[tuple]:
-    """Replies of single calls, each tried again while it fails or is empty."""
-    for text in texts:
+class _Caller:
+    """Calls a provider within a time limit, and again after a pause.
+
+    A call that does not return is left behind in its own thread.
+    """
+
+    def __init__(self, provider: Provider, attempts: int, pause: float, limits: tuple[float, float]):
+        self.provider, self.attempts, self.pause = provider, attempts, pause
+        self.chunk_limit, self.single_limit = limits
+
+    def _call(self, texts: list[str], limit: float) -> Any:
+        outcome: queue.Queue = queue.Queue()
+
+        def work() -> None:
+            try:
+                outcome.put((self.provider.enrich(texts), None))
+            except Exception as failure:
+                outcome.put((None, failure))
+
+        threading.Thread(target=work, daemon=True).start()
+        try:
+            replies, failure = outcome.get(timeout=limit)
+        except queue.Empty:
+            raise TimeoutError from None
+        if failure is not None:
+            raise failure
+        return replies
+
+    def single(self, text: str) -> tuple[Any, int, str | None]:
+        """Reply of a call of its own, tried again while it fails or is empty."""
         reply, error, tried = None, None, 0
-        while text and not reply and tried < attempts:
+        while text and not reply and tried < self.attempts:
+            if tried and self.pause:
+                time.sleep(self.pause * 2 ** (tried - 1))
             tried += 1
             try:
-                replies = provider.enrich([text])
-                reply, error = (replies[0] if replies else None), None
+                replies = self._call([text], self.single_limit)
+                reply = replies[0] if isinstance(replies, list) and replies else None
+                error = None
             except Exception as failure:
-                error = type(failure).__name__
-        yield reply, tried, error
-
-
-def _ask(provider: Provider, texts: list[str], attempts: int) -> Iterator[tuple]:
-    """(reply, attempts, error) per text; a failed chunk is asked one by one."""
+                reply, error = None, f"provider:{type(failure).__name__}"
+        return reply, tried, error
+
+    def ask(self, texts: list[str]) -> Iterator[tuple[Any, int, str | None]]:
+        """(reply, attempts, error) per text; a failed chunk is asked one by one."""
+        try:
+            replies = self._call(texts, self.chunk_limit)
+        except Exception:
+            yield from map(self.single, texts)
+            return
+        replies = replies if isinstance(replies, list) else []
+        missing = [None] * (len(texts) - len(replies))
+        for reply in [*replies, *missing][: len(texts)]:
+            yield reply, 1, None
+
+
+def _wrong_text(reply: Mapping[str, Any]) -> str | None:
+    """Reason if a field that holds text holds something else; JSON would lose the difference."""
+    for name in ("translation", "intent"):
+        if not isinstance(reply.get(name), str | None):
+            return f"{name}:type"
+    for name in ("languages", "topics"):
+        values = reply.get(name)
+        if isinstance(values, list | tuple) and not all(isinstance(v, str) for v in values):
+            return f"{name}:type"
+    for entity in reply.get("entities") or ():
+        if isinstance(entity, Mapping) and not all(
+            isinstance(entity.get(part), str | None) for part in ("name", "type")
+        ):
+            return "entities:type"
+    return None
+
+
+def _plain(value: Any) -> Any:
+    """Other mappings as dicts; what JSON has no form for stays an error."""
+    if isinstance(value, Mapping):
+        return dict(value)
+    raise TypeError(type(value).__name__)
+
+
+def _as_row(reply: Any, tried: int, error: str | None) -> tuple[str | None, int, str | None]:
+    """(reply as JSON, attempts, reason); no reply can raise here."""
+    if error is not None or not isinstance(reply, Mapping):
+        return None, tried, error
     try:
-        replies = provider.enrich(texts)
+        if not reply:
+            return None, tried, None
+        wrong = _wrong_text(reply)
+        return (None, tried, wrong) if wrong else (
+            json.dumps(dict(reply), default=_plain, allow_nan=False), tried, None
+        )
     except Exception:
-        yield from _one_by_one(provider, texts, attempts)
-        return
-    replies = replies if isinstance(replies, list) else []
-    missing = [None] * (len(texts) - len(replies))
-    for reply in [*replies, *missing][: len(texts)]:
-        yield reply, 1, None
-
-
-def _reply_text(reply: Any) -> str | None:
-    return json.dumps(reply) if reply and isinstance(reply, Mapping) else None
+        return None, tried, "reply:shape"
 
 
-def _replies(factory: Callable[[], Provider], size: int, attempts: int):
+def _replies(factory: Callable[[], Provider], size: int, attempts: int, pause: float, limits: tuple[float, float]):
     """Pandas UDF text -> (reply, attempts, error), ``size`` texts per call."""
 
     @F.pandas_udf("reply string, attempts int, error string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        provider = factory()
+        caller = _Caller(factory(), attempts, pause, limits)
         for batch in batches:
             texts = batch.tolist()
             rows = [
-                (_reply_text(reply), tried, error)
+                _as_row(*answer)
                 for at in range(0, len(texts), size)
-                for reply, tried, error in _ask(provider, texts[at : at + size], attempts)
+                for answer in caller.ask(texts[at : at + size])
             ]
             yield pd.DataFrame(rows, columns=["reply", "attempts", "error"])
 
@@ -168,8 +248,12 @@ def _replies(factory: Callable[[], Provider], size: int, attempts: int):
     return ask.asNondeterministic()
 
 
+def _unknown_language(code: Column) -> Column:
+    return ~F.coalesce(code.isin(*LANGUAGES), F.lit(False))
+
+
 def _incomplete(entity: Column) -> Column:
-    return entity["name"].isNull() | entity["type"].isNull()
+    return entity.isNull() | entity["name"].isNull() | entity["type"].isNull()
 
 
 def enrich(
@@ -178,15 +262,19 @@ def enrich(
     *,
     chunk: int = CHUNK,
     attempts: int = MAX_ATTEMPTS,
+    pause: float = PAUSE_SECONDS,
+    limits: tuple[float, float] = TIME_LIMITS,
 ) -> DataFrame:
     """Adds ``enrichment``, ``attempts``, ``status`` and ``reason`` to every event.
 
     A missing, empty or ill-formed reply fails its own event alone; no event is
-    lost. Any well-formed reply is a success, even one without any value.
+    lost. Any well-formed reply is a success, even one without any value. A
+    call ends after ``limits`` seconds (of a chunk, of a single text); between
+    attempts there is a ``pause``, twice as long each time.
     """
     wire = {n: "string" if t in TOLERANT else t for n, t in ENRICHMENT.items()}
     asked = events.withColumn(
-        "_asked", _replies(factory, chunk, attempts)(prompt_text(F.col("title"), F.col("content")))
+        "_asked", _replies(factory, chunk, attempts, pause, limits)(prompt_text(F.col("title"), F.col("content")))
     )
     schema = f"{ddl(wire)}, {CORRUPT} string"
     options = {"columnNameOfCorruptRecord": CORRUPT}
@@ -195,10 +283,11 @@ def enrich(
     typed = {n: TOLERANT[t](reply[n]) if t in TOLERANT else reply[n] for n, t in ENRICHMENT.items()}
     unscored = reply["sentiment_score"].isNotNull() & typed["sentiment_score"].isNull()
     reason = (
-        F.when(F.col("_asked.error").isNotNull(), F.concat(F.lit("provider:"), "_asked.error"))
+        F.when(F.col("_asked.error").isNotNull(), F.col("_asked.error"))
         .when(F.col("_asked.reply").isNull(), "reply:missing")
         .when(reply.isNull() | reply[CORRUPT].isNotNull(), "reply:shape")
-        .when(~F.forall(reply["languages"], lambda c: c.isin(*LANGUAGES)), "languages:unknown")
+        .when(F.exists(reply["languages"], _unknown_language), "languages:unknown")
+        .when(F.exists(reply["topics"], lambda t: t.isNull()), "topics:type")
         .when(unscored, "sentiment_score:type")
         .when(F.exists(reply["entities"], _incomplete), "entities:shape")
     )

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatterloom.functions.casts import TOLERANT
 from chatterloom.functions.media import media_urls
-from chatterloom.schemas import RAW_EVENT
+from chatterloom.schemas import LISTING_ITEM_TYPES, RAW_EVENT
+
+
+def typed_item(item: Column) -> Column:
+    """The item with its scalars in their types, cast as those of messages are."""
+    for name, kind in LISTING_ITEM_TYPES.items():
+        item = item.withField(name, TOLERANT[kind](item[name].cast("string")))
+    return item
 
 
 def to_events(items: DataFrame) -> DataFrame:
@@ -15,6 +23,7 @@ def to_events(items: DataFrame) -> DataFrame:
     Posts and comments keep link, title and text under different names. The
     group of the first crosspost parent is kept for crossposts.
     """
+    items = items.withColumn("item", typed_item(F.col("item")))
     item = F.col("item")
     is_post = F.col("event_type") == "POST"
 
@@ -32,7 +41,7 @@ def to_events(items: DataFrame) -> DataFrame:
         either("url", "link_url").alias("url"),
         either("title", "link_title").alias("title"),
         either("selftext", "body").alias("content"),
-        F.timestamp_seconds(F.coalesce(item["created_utc"], F.lit(0.0))).alias("timestamp"),
+        F.coalesce(item["created_utc"], F.timestamp_seconds(F.lit(0))).alias("timestamp"),
         media_urls(item, F.col("event_type")).alias("media_urls"),
         item["score"].alias("score"),
         item["upvote_ratio"].alias("upvote_ratio"),

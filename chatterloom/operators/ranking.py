@@ -15,26 +15,18 @@ from pyspark.sql import functions as F
 from chatterloom.functions.time import bucket_start
 
 _RANK = "_rank"
-_SALT = "_salt"
-_SALTS = 64
 
 
 def first_per_group(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
-    """The first ``n`` rows of every group in the given total order."""
-    def ranked(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        rank = F.row_number().over(window)
-        return rows.withColumn(_RANK, rank).filter(F.col(_RANK) <= n).drop(_RANK)
-
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > threshold:
-        # No map-side filter for an n this large: thin every group in salted
-        # parts before its rows meet in one task.
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(_SALTS))
-        df = ranked(df.withColumn(_SALT, salt), [*groups, _SALT]).drop(_SALT)
-    return ranked(df, groups)
+    """The first ``n`` rows of every group in the given total order.
+
+    Keep ``n`` within ``spark.sql.optimizer.windowGroupLimitThreshold``, the
+    bound up to which Spark ranks on the map side; ``build_session`` raises it.
+    """
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    return df.withColumn(_RANK, rank).filter(F.col(_RANK) <= n).drop(_RANK)
 
 
 def top_posts(events: DataFrame, n: int = 10) -> DataFrame:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatterloom.operators.trending import per_window
+
 _MINUTE = 60
 
 
 def event_rate(events: DataFrame, stream: str = "stream", time: str = "timestamp") -> DataFrame:
     """Events per stream and minute; minutes without events have no row."""
-    counted = events.groupBy(stream, F.window(time, "1 minute").alias("minute")).agg(
-        F.count("*").alias("events")
-    )
-    return counted.select(stream, F.col("minute.start").alias("minute_start"), "events")
+    counted = per_window(events, [stream], size="1 minute", time=time, into="events")
+    return counted.select(stream, F.col("window_start").alias("minute_start"), "events")
 
 
 def latest_rate(rates: DataFrame, stream: str = "stream") -> DataFrame:

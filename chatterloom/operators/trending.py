@@ -6,7 +6,9 @@ watermark has passed the window's end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatterloom.functions.text import STOP_WORDS, clean_topic, is_trend_word, words
@@ -18,30 +20,29 @@ WATERMARK = "30 seconds"
 
 TUMBLING_WINDOW = "60 seconds"
 TUMBLING_GRACE = "30 seconds"
-MAX_PER_WINDOW = 10_000
 
 
-def windowed_count(
+def per_window(
     rows: DataFrame,
-    key: str,
+    keys: Sequence[str] = (),
     *,
-    window: str = WINDOW,
-    slide: str = SLIDE,
-    watermark: str | None = WATERMARK,
+    size: str,
+    every: str | None = None,
+    grace: str | None = None,
+    time: str = "timestamp",
+    into: str = "count",
 ) -> DataFrame:
-    """Rows per window and ``key``; only the given rows advance the watermark.
+    """Rows in each window of ``size`` (one beginning ``every`` so often) and key.
 
-    Without ``watermark``, one that the rows already have applies.
+    ``grace`` sets how late rows of a stream may come; without it, a watermark
+    that the rows already have applies.
     """
-    marked = rows if watermark is None else rows.withWatermark("timestamp", watermark)
-    time_window = F.window("timestamp", window, slide).alias("time_window")
-    counted = marked.groupBy(time_window, key).count()
-    return counted.select(
-        F.col("time_window.start").alias("window_start"),
-        F.col("time_window.end").alias("window_end"),
-        key,
-        "count",
-    )
+    if grace is not None:
+        rows = rows.withWatermark(time, grace)
+    slot = F.window(time, size, every)
+    counts = rows.groupBy(slot.alias("slot"), *keys).agg(F.count(F.lit(1)).alias(into))
+    bounds = [F.col(f"slot.{edge}").alias(f"window_{edge}") for edge in ("start", "end")]
+    return counts.select(*bounds, *keys, into)
 
 
 def trend_words(events: DataFrame, stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
@@ -59,13 +60,25 @@ def trend_topics(events: DataFrame) -> DataFrame:
 
 
 def trending_words(
-    events: DataFrame, stop_words: tuple[str, ...] = STOP_WORDS, **windowing: str | None
+    events: DataFrame,
+    stop_words: tuple[str, ...] = STOP_WORDS,
+    *,
+    window: str = WINDOW,
+    slide: str = SLIDE,
+    watermark: str | None = WATERMARK,
 ) -> DataFrame:
-    return windowed_count(trend_words(events, stop_words), "word", **windowing)
+    spoken = trend_words(events, stop_words)
+    return per_window(spoken, ["word"], size=window, every=slide, grace=watermark)
 
 
-def trending_topics(events: DataFrame, **windowing: str | None) -> DataFrame:
-    return windowed_count(trend_topics(events), "topic", **windowing)
+def trending_topics(
+    events: DataFrame,
+    *,
+    window: str = WINDOW,
+    slide: str = SLIDE,
+    watermark: str | None = WATERMARK,
+) -> DataFrame:
+    return per_window(trend_topics(events), ["topic"], size=window, every=slide, grace=watermark)
 
 
 def drop_redelivered(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -77,43 +90,51 @@ def drop_redelivered(events: DataFrame, watermark: str = WATERMARK) -> DataFrame
 
 
 def tumbling_counts(
-    events: DataFrame, *, window: str = TUMBLING_WINDOW, grace: str = TUMBLING_GRACE
+    events: DataFrame, *, window: str = TUMBLING_WINDOW, grace: str | None = TUMBLING_GRACE
 ) -> DataFrame:
     """Events per tumbling window."""
-    counted = (
-        events.withWatermark("timestamp", grace)
-        .groupBy(F.window("timestamp", window).alias("time_window"))
-        .count()
-    )
-    return counted.select(
-        F.col("time_window.start").alias("window_start"),
-        F.col("time_window.end").alias("window_end"),
-        "count",
-    )
+    return per_window(events, size=window, grace=grace)
 
 
-def first_per_window(
-    events: DataFrame, n: int = MAX_PER_WINDOW, *, window: str = TUMBLING_WINDOW
-) -> DataFrame:
+def _window_start(window: str) -> Column:
+    return F.window("timestamp", window)["start"]
+
+
+def first_per_window(events: DataFrame, n: int, *, window: str = TUMBLING_WINDOW) -> DataFrame:
     """The first ``n`` events of every tumbling window by (timestamp, event_id)."""
-    start = F.window("timestamp", window)["start"]
     order = [F.asc("timestamp"), F.asc("event_id")]
-    return first_per_group(events.withColumn("window_start", start), ["window_start"], order, n)
+    started = events.withColumn("window_start", _window_start(window))
+    return first_per_group(started, ["window_start"], order, n)
+
+
+def mark_over_cap(events: DataFrame, n: int, *, window: str = TUMBLING_WINDOW) -> DataFrame:
+    """All events with their ``window_start`` and whether ``n`` others come before (``over_cap``).
+
+    Only the first ``n`` events of a window are ever sorted in one task; the
+    others are compared with the last of them. Events that repeat its time and
+    id stay with it.
+    """
+    position = F.struct("timestamp", "event_id")
+    last = (
+        first_per_window(events, n, window=window)
+        .groupBy("window_start")
+        .agg(F.max(position).alias("_last"))
+    )
+    started = events.withColumn("window_start", _window_start(window))
+    over = F.coalesce(position > F.col("_last"), F.lit(n <= 0))
+    return started.join(last, "window_start", "left").withColumn("over_cap", over).drop("_last")
 
 
 def within_cap(
-    events: DataFrame,
-    admitted: DataFrame,
-    n: int = MAX_PER_WINDOW,
-    *,
-    window: str = TUMBLING_WINDOW,
+    events: DataFrame, admitted: DataFrame, n: int, *, window: str = TUMBLING_WINDOW
 ) -> DataFrame:
     """The events that still fit when a window takes ``n`` and holds ``admitted``.
 
     At most ``n`` events per window remain to be numbered after the first step.
+    What does not fit is the caller's to keep (``save_raw_capped`` writes it).
     """
     candidates = first_per_window(events, n, window=window)
-    start = F.window("timestamp", window)["start"].alias("window_start")
+    start = _window_start(window).alias("window_start")
     taken = admitted.groupBy(start).agg(F.count("*").alias("_taken"))
     order = Window.partitionBy("window_start").orderBy("timestamp", "event_id")
     place = F.row_number().over(order) + F.coalesce("_taken", F.lit(0))

@@ -17,6 +17,11 @@ def _names_of(rules: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
 
 
+def _outside(value: Column, domain: tuple[str, ...]) -> Column:
+    """Whether a value is none of the domain; null is none."""
+    return ~F.coalesce(value.isin(*domain), F.lit(False))
+
+
 def with_violations(events: DataFrame) -> DataFrame:
     """Adds ``violations``: why a tolerantly decoded event is unusable, if it is."""
     corrupt = F.col(CORRUPT).isNotNull()
@@ -28,15 +33,21 @@ def with_violations(events: DataFrame) -> DataFrame:
         rules.append((f"{name}:missing", ~corrupt & missing))
     rules.append(("event_type:unknown", ~F.col("event_type").isin(*EVENT_TYPES)))
     if "enrichment" in events.columns:
-        unknown = ~F.forall("enrichment.languages", lambda code: code.isin(*LANGUAGES))
-        rules.append(("enrichment.languages:unknown", unknown))
+        languages = F.exists("enrichment.languages", lambda code: _outside(code, LANGUAGES))
+        rules.append(("enrichment.languages:unknown", languages))
+        topics = F.exists("enrichment.topics", lambda topic: topic.isNull())
+        rules.append(("enrichment.topics:null", topics))
     miscast = F.transform("_miscast", lambda name: F.concat(name, F.lit(":type")))
     return events.withColumn("violations", F.concat(_names_of(rules), miscast))
 
 
 def split_valid(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable events, quarantined payloads with their reasons)."""
-    checked = with_violations(events)
+    return split_checked(with_violations(events))
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``split_valid`` of events that have their violations."""
     helpers = ("payload", CORRUPT, "_miscast", "violations")
     usable = checked.filter(F.size("violations") == 0).drop(*helpers)
     rejected = checked.filter(F.size("violations") > 0).select(
@@ -52,10 +63,10 @@ def with_quality_flags(events: DataFrame) -> DataFrame:
     """
     e = F.col("enrichment")
     rules = [
-        ("languages", ~F.forall(e["languages"], lambda code: code.isin(*LANGUAGES))),
+        ("languages", F.exists(e["languages"], lambda code: _outside(code, LANGUAGES))),
         ("sentiment_score", ~e["sentiment_score"].between(-1.0, 1.0)),
         ("intent", ~e["intent"].isin(*INTENTS)),
         ("topics", ~F.size(e["topics"]).between(*TOPIC_COUNT)),
-        ("entities", ~F.forall(e["entities"], lambda x: x["type"].isin(*ENTITY_TYPES))),
+        ("entities", F.exists(e["entities"], lambda x: _outside(x["type"], ENTITY_TYPES))),
     ]
     return events.withColumn("quality_flags", _names_of(rules))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatterloom.functions.time import chunk_bounds
 from chatterloom.operators.dedup import dedup_latest
 from chatterloom.operators.ranking import top_posts
+from chatterloom.operators.rates import event_rate, rolling_average
 from chatterloom.operators.sentiment import (
     sentiment_by_group,
     sentiment_by_topic,
@@ -18,7 +20,7 @@ from chatterloom.operators.sentiment import (
 )
 from chatterloom.schemas import TABLES, require_columns
 from chatterloom.session import stored
-from chatterloom.sinks.tables import CHUNK_DAYS, replace_table
+from chatterloom.sinks.tables import CHUNK_DAYS, read_table, replace_table
 from chatterloom.sources.lake import read_lake
 
 
@@ -69,25 +71,13 @@ JOBS = {
 }
 
 
-def run_job(
-    spark: SparkSession,
-    name: str,
-    lake: str,
-    output: str,
-    *,
-    since: date | None = None,
-    until: date | None = None,
-) -> None:
-    """Runs one job over the lake (or some days of it) into ``output/<table>``.
+# How far apart the copies of one event may be in time.
+COPY_MARGIN = timedelta(days=1)
 
-    Bounds are widened to whole chunks of the result table, and only those
-    chunks are replaced.
-    """
-    job = JOBS[name]
-    since, until = chunk_bounds(since, until, CHUNK_DAYS)
-    events = read_lake(spark, lake, since=since, until=until)
-    whole = since is None and until is None
-    replace_table(job.result(events), TABLES[job.table], f"{output}/{job.table}", whole=whole)
+
+def run_job(spark: SparkSession, name: str, lake: str, output: str, **bounds: date | None) -> None:
+    """Runs one job over the lake (or some days of it) into ``output/<table>``."""
+    run_jobs(spark, lake, output, [name], **bounds)
 
 
 def run_jobs(
@@ -98,19 +88,47 @@ def run_jobs(
     *,
     since: date | None = None,
     until: date | None = None,
+    margin: timedelta = COPY_MARGIN,
 ) -> None:
-    """Runs several jobs on one deduplicated copy of the columns they share.
+    """Runs jobs over the lake, or some days of it, on one deduplicated copy.
 
     The copy is a table in the shared scratch folder: deduplication shuffles
     the lake once instead of once per job, and a lost executor costs a re-read
     instead of a recomputation.
+
+    Bounds are widened to whole chunks of the result tables, and only those
+    chunks are replaced. Events up to ``margin`` outside take part in the
+    deduplication, so an event whose copies lie on both sides of a bound is
+    counted where its latest copy is, as in a run over everything.
     """
     jobs = [JOBS[name] for name in names]
     columns = dict.fromkeys(c for job in jobs for c in job.columns)
     since, until = chunk_bounds(since, until, CHUNK_DAYS)
-    events = read_lake(spark, lake, since=since, until=until)
+    near = read_lake(
+        spark, lake, since=since and since - margin, until=until and until + margin
+    )
+    unique = unique_events(near, columns)
+    if since is not None:
+        unique = unique.filter(F.col("timestamp") >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        unique = unique.filter(F.col("timestamp") < F.lit(until).cast("timestamp"))
     whole = since is None and until is None
-    with stored(unique_events(events, columns), "deduplicated") as unique:
+    with stored(unique, "deduplicated") as events:
         for job in jobs:
-            rows = job.compute(unique.select(*job.columns))
-            replace_table(rows, TABLES[job.table], f"{output}/{job.table}", whole=whole)
+            rows = job.compute(events.select(*job.columns))
+            path = f"{output}/{job.table}"
+            replace_table(rows, TABLES[job.table], path, whole=whole, span=(since, until))
+
+
+def run_rates(spark: SparkSession, tables: str, output: str) -> None:
+    """Event rates of the stored raw and enriched events, per minute and over five minutes."""
+    streams = ("raw_events", "enriched_events")
+    times = None
+    for name in streams:
+        rows = read_table(spark, TABLES[name], f"{tables}/{name}")
+        one = rows.select("timestamp", F.lit(name).alias("stream"))
+        times = one if times is None else times.unionByName(one)
+    rates = event_rate(times)
+    averages = rolling_average(rates)
+    both = rates.join(averages, ["stream", "minute_start"])
+    replace_table(both, TABLES["event_rates"], f"{output}/event_rates")

@@ -69,29 +69,39 @@ LAKE_PARTITIONS = {"year": "int", "month": "int", "day": "int"}
 LAKE_EVENT = {**RAW_EVENT, **LAKE_ENRICHMENT}
 
 _MEDIA_SOURCE = struct_type({"s": struct_type({"u": "string", "gif": "string"})})
+# Read as text and cast tolerantly, as in messages: name -> the type meant.
+LISTING_ITEM_TYPES = {
+    "created_utc": "timestamp",
+    "score": "int",
+    "upvote_ratio": "double",
+    "num_comments": "int",
+    "is_video": "boolean",
+    "is_gallery": "boolean",
+    "is_crosspost": "boolean",
+}
 LISTING_ITEM = {
     "name": "string",
     "id": "string",
     "subreddit": "string",
     "author": "string",
-    "created_utc": "double",
+    "created_utc": "string",
     "url": "string",
     "link_url": "string",
     "title": "string",
     "link_title": "string",
     "selftext": "string",
     "body": "string",
-    "score": "int",
-    "upvote_ratio": "double",
-    "num_comments": "int",
-    "is_video": "boolean",
+    "score": "string",
+    "upvote_ratio": "string",
+    "num_comments": "string",
+    "is_video": "string",
     "secure_media": struct_type(
         {"reddit_video": struct_type({"fallback_url": "string"})}
     ),
-    "is_gallery": "boolean",
+    "is_gallery": "string",
     "media_metadata": f"map<string,{_MEDIA_SOURCE}>",
     "post_hint": "string",
-    "is_crosspost": "boolean",
+    "is_crosspost": "string",
     "crosspost_parent_list": f"array<{struct_type({'subreddit': 'string'})}>",
 }
 LISTING_PAGE = {
@@ -163,6 +173,14 @@ TABLES = {
         ("window_start", "window_end", "topic"),
         "window_start",
     ),
+    "tumbling_counts_metrics": Table(
+        {**_WINDOW, "count": "bigint"}, ("window_start", "window_end"), "window_start"
+    ),
+    "event_rates": Table(
+        {"stream": "string", "minute_start": "timestamp", "events": "bigint", "rolling_avg": "double"},
+        ("stream", "minute_start"),
+        "minute_start",
+    ),
     "batch_daily_sentiment": Table(
         {"day_start": "timestamp", "subreddit": "string", **_SENTIMENT_MEASURES},
         ("day_start", "subreddit"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -61,33 +64,68 @@ def object_store_settings(
     }
 
 
+_LOCAL_BASES: dict[str, str] = {}
+
+
+def _local_base(spark: SparkSession) -> str:
+    """One temporary folder per local session, deleted when Python ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_BASES:
+        folder = tempfile.mkdtemp(prefix="chatterloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _LOCAL_BASES[application] = folder
+    return _LOCAL_BASES[application]
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables in the cluster's shared folder.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local master
-    may do without one and gets a temporary folder instead.
+    The folder is the session's ``spark.checkpoint.dir``. Only a single-process
+    master may do without one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="chatterloom-")
+        base = _local_base(spark)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _file_system(spark, path)
+    return files.exists(folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder if it is there; a delete that fails raises."""
+    folder, files = _file_system(spark, path)
+    if files.exists(folder) and not files.delete(folder, True):
+        raise OSError(f"cannot delete {path}")
+
+
 @contextmanager
-def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``df`` as a table in the scratch folder, deleted when the block ends.
+def stored(df: DataFrame, label: str, path: str | None = None) -> Iterator[DataFrame]:
+    """``df`` as a table in the scratch folder, deleted when the block ends well.
 
     What is read from it stays the same when an executor is lost, which a
-    cached frame with outside calls in it would not.
+    cached frame with outside calls in it would not. With a ``path`` of the
+    caller's, a table that is complete there is used again: after a failure,
+    the same block finds the same rows.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
+    kept = path is not None
+    path = path or scratch_path(spark, label)
+    if not (kept and path_exists(spark, f"{path}/_SUCCESS")):
+        df.write.mode("overwrite").parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    except BaseException:
+        if not kept:
+            delete_path(spark, path)
+        raise
+    delete_path(spark, path)

@@ -55,6 +55,8 @@ def _drop(spark: SparkSession, root: str, pattern: str, is_old) -> list[date]:
         folder = status.getPath()
         levels = folder.toString().split("/")[-(pattern.count("/") + 1) :]
         partition = is_old(dict(level.split("=", 1) for level in levels))
-        if partition and files.delete(folder, True):
+        if partition:
+            if not files.delete(folder, True):
+                raise OSError(f"cannot delete {folder}")
             dropped.append(partition)
     return sorted(dropped)

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import timedelta
+from datetime import date, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterloom.functions.time import chunk_start
+from chatterloom.operators.dedup import dedup_latest
 from chatterloom.operators.merge import new_rows
 from chatterloom.schemas import Table, ddl
+from chatterloom.session import delete_path, path_exists
 
 CHUNK = "chunk_start"
 CHUNK_DAYS = 7
-# Up to this many chunks a merge names each one; beyond, it takes their range.
-_NAMED_CHUNKS = 200
 
 
 def _chunked(df: DataFrame, table: Table, chunk_days: int) -> DataFrame:
@@ -29,19 +29,44 @@ def read_table(spark: SparkSession, table: Table, path: str) -> DataFrame:
 
 
 def replace_table(
-    df: DataFrame, table: Table, path: str, *, chunk_days: int = CHUNK_DAYS, whole: bool = True
+    df: DataFrame,
+    table: Table,
+    path: str,
+    *,
+    chunk_days: int = CHUNK_DAYS,
+    whole: bool = True,
+    span: tuple[date | None, date | None] | None = None,
 ) -> None:
     """Snapshot write. With ``whole=False`` only the chunks in ``df`` are replaced;
-    a chunk without rows keeps what it has.
+    a chunk without rows keeps what it has, unless it lies in ``span`` (whole
+    chunks, first day and day after the last): then it is deleted.
     """
+    bounded = not whole and span is not None
+    rows = _chunked(df, table, chunk_days)
+    rows = rows.persist() if bounded else rows
     (
-        _chunked(df, table, chunk_days)
-        .hint("rebalance", CHUNK)
+        rows.hint("rebalance", CHUNK)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(CHUNK)
         .parquet(path)
     )
+    if bounded:
+        first, end = span
+        filled = {r[0] for r in rows.select(CHUNK).distinct().collect()}
+        for start in chunk_folders(df.sparkSession, path):
+            inside = (first is None or start >= first) and (end is None or start < end)
+            if inside and start not in filled:
+                delete_path(df.sparkSession, f"{path}/{CHUNK}={start.isoformat()}")
+        rows.unpersist()
+
+
+def chunk_folders(spark: SparkSession, path: str) -> list[date]:
+    """First days of the chunks a table has."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{CHUNK}=????-??-??")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.globStatus(folder) or ()]
+    return sorted(date.fromisoformat(name.partition("=")[2]) for name in names)
 
 
 def append_table(df: DataFrame, table: Table, path: str, *, chunk_days: int = CHUNK_DAYS) -> None:
@@ -50,11 +75,6 @@ def append_table(df: DataFrame, table: Table, path: str, *, chunk_days: int = CH
     rows.write.mode("append").partitionBy(CHUNK).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def _overlapping(
     target: DataFrame, rows: DataFrame, time: str, chunk_days: int, margin: timedelta
 ) -> DataFrame | None:
@@ -69,20 +89,15 @@ def _overlapping(
         (F.min(F.unix_micros(time)) - around).alias("low"),
         (F.max(F.unix_micros(time)) + around).alias("high"),
     )
-    edges = [chunk_start(F.timestamp_micros(edge), chunk_days) for edge in ("low", "high")]
-    spans = spans.withColumn("chunks", F.array(F.col(CHUNK), *edges))
-    named = spans.orderBy(F.asc_nulls_first(CHUNK)).limit(_NAMED_CHUNKS + 1).collect()
-    if not named:
-        return None
-    if named[0][CHUNK] is None:
+    low, high, timeless = spans.agg(
+        F.min("low"), F.max("high"), F.max(F.col(CHUNK).isNull())
+    ).first()
+    if timeless:
         raise ValueError(f"rows without {time} have no key")
-    if len(named) <= _NAMED_CHUNKS:
-        low, high = min(s.low for s in named), max(s.high for s in named)
-        same_chunk = F.col(CHUNK).isin(sorted({c for s in named for c in s.chunks}))
-    else:
-        low, high = spans.agg(F.min("low"), F.max("high")).first()
-        first, last = (chunk_start(F.timestamp_micros(F.lit(t)), chunk_days) for t in (low, high))
-        same_chunk = F.col(CHUNK).between(first, last)
+    if low is None:
+        return None
+    first, last = (chunk_start(F.timestamp_micros(F.lit(t)), chunk_days) for t in (low, high))
+    same_chunk = F.col(CHUNK).between(first, last)
     near = F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
     return target.filter(same_chunk & near)
 
@@ -95,6 +110,7 @@ def insert_ignore(
     keys_unique: bool = False,
     chunk_days: int = CHUNK_DAYS,
     admit: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    refused: Callable[[DataFrame], None] | None = None,
     margin: timedelta = timedelta(),
 ) -> None:
     """Appends the rows whose key the table lacks; repeats change nothing.
@@ -102,7 +118,9 @@ def insert_ignore(
     Reads back only keys in the chunks and the time span of the batch.
     ``keys_unique`` says that no key repeats inside the batch, as after an
     aggregation. ``admit`` may select among the new rows, given those stored
-    in the batch's time span and ``margin`` around it. Rows without a time have
+    in the batch's time span and ``margin`` around it; ``refused`` is given the
+    others, before the table changes. Of copies within a batch the first by the
+    other columns, largest values first, stays. Rows without a time have
     no key and are refused. Safe against replays by one writer; two writers
     must not share a table.
     """
@@ -110,14 +128,16 @@ def insert_ignore(
     # Kept, so that a streaming batch is evaluated once.
     rows = _chunked(batch, table, chunk_days).persist()
     try:
-        target = read_table(spark, table, path) if _exists(spark, path) else rows.limit(0)
+        target = read_table(spark, table, path) if path_exists(spark, path) else rows.limit(0)
         stored = _overlapping(target, rows, table.time, chunk_days, margin)
         if stored is None:
             return
-        fresh = rows if keys_unique else rows.dropDuplicates(list(table.keys))
+        fresh = rows if keys_unique else dedup_latest(rows, table.keys, ())
         fresh = new_rows(fresh, stored, table.keys)
         if admit is not None:
-            fresh = admit(fresh, stored)
+            new, fresh = fresh, admit(fresh, stored)
+            if refused is not None:
+                refused(new_rows(new, fresh, table.keys).drop(CHUNK))
         fresh.hint("rebalance", CHUNK).write.mode("append").partitionBy(CHUNK).parquet(path)
     finally:
         rows.unpersist()
@@ -161,10 +181,12 @@ def insert_ignore_jdbc(
     table_name: str,
     *,
     credentials: Mapping[str, str] | None = None,
+    connections: int = 8,
 ) -> None:
     """``insert_ignore`` for a database table; a failed write raises.
 
-    Only the keys in the batch's time range are read back.
+    Only the keys in the batch's time range are read back, over several
+    ``connections`` that share the range.
     """
     spark = batch.sparkSession
     rows = table.conform(batch).persist()
@@ -173,10 +195,17 @@ def insert_ignore_jdbc(
         low, high = rows.agg(F.min(micros), F.max(micros)).first()
         if low is None:
             return
-        low, high = (F.timestamp_micros(F.lit(edge)) for edge in (low, high))
-        reader = spark.read.format("jdbc").options(**_jdbc(url, table_name, credentials))
-        stored = reader.load().filter(F.col(table.time).between(low, high))
-        fresh = new_rows(rows.dropDuplicates(list(table.keys)), stored, table.keys)
+        edges = [F.timestamp_micros(F.lit(edge)) for edge in (low, high)]
+        texts = spark.range(1).select(*[e.cast("string") for e in edges]).first()
+        share = {
+            "partitionColumn": table.time,
+            "lowerBound": texts[0],
+            "upperBound": texts[1],
+            "numPartitions": str(connections),
+        }
+        reader = spark.read.format("jdbc").options(**_jdbc(url, table_name, credentials), **share)
+        stored = reader.load().filter(F.col(table.time).between(*edges))
+        fresh = new_rows(dedup_latest(rows, table.keys, ()), stored, table.keys)
         write_jdbc(fresh, table, url, table_name, credentials=credentials)
     finally:
         rows.unpersist()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 POLL_SECONDS = 120
 
@@ -45,10 +45,39 @@ def stop_all(spark: SparkSession) -> int:
     return len(running)
 
 
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows the query's windows refused as too late, over its known progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that windows refused as too late, per query, over its whole run.
+
+    ``recentProgress`` forgets; a listener hears every batch. Register it with
+    ``watch_late_rows`` before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        refused = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        self.dropped[str(progress.id)] = self.dropped.get(str(progress.id), 0) + refused
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def watch_late_rows(spark: SparkSession) -> LateRows:
+    counter = LateRows()
+    spark.streams.addListener(counter)
+    return counter
+
+
+def late_rows_dropped(query: StreamingQuery, counter: LateRows) -> int:
+    """What ``counter`` heard of the query once it has ended."""
+    bus = query._jsq.sparkSession().sparkContext().listenerBus()
+    bus.waitUntilEmpty(30_000)
+    return counter.dropped.get(str(query.id), 0)

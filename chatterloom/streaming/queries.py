@@ -8,28 +8,28 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatterloom.operators.decode import decode, decode_tolerant
-from chatterloom.operators.enrich import CHUNK, MAX_ATTEMPTS, Provider, enrich, split_enriched
+from chatterloom.operators.enrich import Provider, enrich, split_enriched
 from chatterloom.operators.flatten import flatten_enriched, flatten_raw, to_lake_rows
 from chatterloom.operators.normalize import to_events
 from chatterloom.operators.trending import (
-    MAX_PER_WINDOW,
     drop_redelivered,
     trending_topics,
     trending_words,
+    tumbling_counts,
     within_cap,
 )
-from chatterloom.operators.validate import split_valid
+from chatterloom.operators.validate import split_checked, split_valid, with_violations
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
 from chatterloom.session import stored
 from chatterloom.sinks.lake import stream_to_lake
-from chatterloom.sinks.logs import publish
+from chatterloom.sinks.logs import publish_batch, query_id
 from chatterloom.sinks.tables import insert_ignore, insert_ignore_batches
-from chatterloom.sources.listings import items
+from chatterloom.sources.listings import split_items
 
 Report = Callable[[dict[str, int]], None]
 _log = logging.getLogger(__name__)
@@ -62,6 +62,10 @@ def stream_to_table(
     )
 
 
+# A message without these is no event of a table.
+_KEY = ("event_id", "timestamp")
+
+
 def _save_events(
     log: DataFrame,
     layout: Mapping[str, str],
@@ -71,25 +75,39 @@ def _save_events(
     checkpoint: str,
     *,
     trigger: dict,
-    quarantine: str | None,
+    quarantine: str,
+    report: Report,
+    overflow: str | None = None,
     **options: Any,
 ) -> StreamingQuery:
     """Streams the messages that have a key into a table of events.
 
-    The others are no events; their payloads go to the ``quarantine`` folder.
+    The others are no events; their payloads go to the ``quarantine`` folder
+    with the reasons. ``report`` gets the counts of every batch.
     """
-    has_key = F.col("data.event_id").isNotNull() & F.col("data.timestamp").isNotNull()
+    _distinct({"table": path, "quarantine": quarantine, "overflow": overflow})
+    missing = [F.when(F.col(f"data.{n}").isNull(), F.lit(f"{n}:missing")) for n in _KEY]
+    usable = F.size("reasons") == 0
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # Kept parsed, with what is wrong: both outputs read it.
+        decoded = decode(batch, layout, keep=["payload"])
+        decoded = decoded.withColumn("reasons", F.array_compact(F.array(*missing))).persist()
         try:
-            decoded = decode(batch, layout, keep=["payload"])
-            insert_ignore(flatten(decoded.filter(has_key)), TABLES[table], path, **options)
-            if quarantine:
-                rejected = decoded.filter(~has_key).select("payload")
-                rejected.write.mode("overwrite").text(f"{quarantine}/batch_id={batch_id}")
+            query = query_id(batch.sparkSession, checkpoint)
+            to = {"query": query, "batch_id": batch_id, "format": "text"}
+            rejected = decoded.filter(~usable).select("payload", "reasons")
+            counts = {"batch": batch_id, "quarantined": publish_batch(rejected, quarantine, **to)}
+            if overflow is not None:
+                options["refused"] = lambda rows: counts.update(
+                    over_cap=publish_batch(rows, overflow, **to)
+                )
+            events = flatten(decoded.filter(usable).select("data"))
+            insert_ignore(events, TABLES[table], path, **options)
+            counts["events"] = decoded.filter(usable).count()
         finally:
-            batch.unpersist()
+            decoded.unpersist()
+        report(counts)
 
     return (
         log.writeStream.queryName(table)
@@ -101,7 +119,13 @@ def _save_events(
 
 
 def save_raw(
-    log: DataFrame, path: str, checkpoint: str, *, trigger: dict, quarantine: str | None = None
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    quarantine: str,
+    report: Report = _log_counts,
 ) -> StreamingQuery:
     return _save_events(
         log,
@@ -112,6 +136,7 @@ def save_raw(
         checkpoint,
         trigger=trigger,
         quarantine=quarantine,
+        report=report,
     )
 
 
@@ -121,14 +146,17 @@ def save_raw_capped(
     checkpoint: str,
     *,
     trigger: dict,
-    quarantine: str | None = None,
-    per_window: int = MAX_PER_WINDOW,
+    quarantine: str,
+    overflow: str,
+    per_window: int,
     window_seconds: int = 60,
+    report: Report = _log_counts,
 ) -> StreamingQuery:
     """``save_raw`` that keeps the first ``per_window`` events of every window.
 
     What the table holds counts, so a window is never filled past the cap,
-    however many batches bring its events.
+    however many batches bring its events. New events over the cap go to the
+    ``overflow`` folder.
     """
     window = f"{window_seconds} seconds"
     return _save_events(
@@ -140,13 +168,21 @@ def save_raw_capped(
         checkpoint,
         trigger=trigger,
         quarantine=quarantine,
+        report=report,
+        overflow=overflow,
         admit=lambda new, kept: within_cap(new, kept, per_window, window=window),
         margin=timedelta(seconds=window_seconds),
     )
 
 
 def save_enriched(
-    log: DataFrame, path: str, checkpoint: str, *, trigger: dict, quarantine: str | None = None
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    quarantine: str,
+    report: Report = _log_counts,
 ) -> StreamingQuery:
     return _save_events(
         log,
@@ -157,6 +193,7 @@ def save_enriched(
         checkpoint,
         trigger=trigger,
         quarantine=quarantine,
+        report=report,
     )
 
 
@@ -208,9 +245,27 @@ def save_trending_topics(
     )
 
 
+def save_tumbling_counts(
+    log: DataFrame, path: str, checkpoint: str, *, trigger: dict, **windowing: str | None
+) -> StreamingQuery:
+    """Counts events per tumbling window."""
+    events = decode(log, RAW_EVENT, ["timestamp"]).select("data.*")
+    counts = tumbling_counts(events, **windowing)
+    return stream_to_table(
+        counts, "tumbling_counts_metrics", path, checkpoint, trigger=trigger, keys_unique=True
+    )
+
+
+def _distinct(targets: Mapping[str, str | None]) -> None:
+    """Refuses outputs that would write into each other."""
+    named = {name: target.rstrip("/") for name, target in targets.items() if target}
+    if len(set(named.values())) < len(named):
+        raise ValueError(f"these outputs need a target each: {', '.join(sorted(named))}")
+
+
 @dataclass(frozen=True)
 class Outputs:
-    """Where a routed query publishes: a topic, or a folder of JSON lines, each."""
+    """Where a routed query publishes: a topic, or a folder of JSON lines, each its own."""
 
     enriched: str
     dead_letter: str
@@ -219,16 +274,22 @@ class Outputs:
     servers: str | None = None
     options: dict[str, str] = field(default_factory=dict)
 
-    def send(self, rows: DataFrame, target: str, batch_id: int) -> int:
-        """Publishes one batch; a replayed batch replaces its files."""
-        if self.format != "kafka":
-            target = f"{target}/batch_id={batch_id}"
-        return publish(
+    def __post_init__(self) -> None:
+        targets = {n: getattr(self, n) for n in ("enriched", "dead_letter", "quarantine")}
+        missing = [name for name, target in targets.items() if not target]
+        if missing:
+            raise ValueError(f"outputs without a target: {', '.join(missing)}")
+        _distinct(targets)
+
+    def send(self, rows: DataFrame, target: str, query: str, batch_id: int) -> int:
+        """Publishes one batch; a replayed batch adds nothing to a folder."""
+        return publish_batch(
             rows,
             target,
+            query,
+            batch_id,
             format=self.format,
             servers=self.servers,
-            mode="overwrite",
             options=self.options,
         )
 
@@ -240,31 +301,33 @@ def enrich_log(
     checkpoint: str,
     *,
     trigger: dict,
-    chunk: int = CHUNK,
-    attempts: int = MAX_ATTEMPTS,
     report: Report = _log_counts,
+    **asking: Any,
 ) -> StreamingQuery:
     """Enriches a log of raw events and routes every message to one output.
 
     Offsets are committed after all three outputs of a batch are written.
-    ``report`` gets the message counts of every batch.
+    ``report`` gets the message counts of every batch; ``asking`` are the
+    options of ``enrich``.
     """
     def route(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        checked = with_violations(decode_tolerant(batch, RAW_EVENT)).persist()
         try:
-            usable, rejected = split_valid(decode_tolerant(batch, RAW_EVENT))
-            asked = enrich(usable, factory, chunk=chunk, attempts=attempts)
-            # Asked once: both outputs read the same kept replies.
-            with stored(asked.select(*RAW_EVENT, "enrichment"), "replies") as kept:
+            query = query_id(batch.sparkSession, checkpoint)
+            usable, rejected = split_checked(checked)
+            asked = enrich(usable, factory, **asking).select(*RAW_EVENT, "enrichment")
+            # Asked once: both outputs read the same kept replies, a replay too.
+            replies = f"{checkpoint}/replies/batch_id={batch_id}"
+            with stored(asked, "replies", replies) as kept:
                 enriched, failed = split_enriched(kept)
                 counts = {
                     "batch": batch_id,
-                    "enriched": outputs.send(enriched, outputs.enriched, batch_id),
-                    "failed": outputs.send(failed, outputs.dead_letter, batch_id),
-                    "quarantined": outputs.send(rejected, outputs.quarantine, batch_id),
+                    "enriched": outputs.send(enriched, outputs.enriched, query, batch_id),
+                    "failed": outputs.send(failed, outputs.dead_letter, query, batch_id),
+                    "quarantined": outputs.send(rejected, outputs.quarantine, query, batch_id),
                 }
         finally:
-            batch.unpersist()
+            checked.unpersist()
         report(counts)
 
     return (
@@ -279,7 +342,10 @@ def enrich_log(
 def store_log(
     log: DataFrame, root: str, checkpoint: str, *, trigger: dict, retention: str | None = None
 ) -> StreamingQuery:
-    """Stores the enriched, valid events of a log in the lake."""
+    """Stores the enriched, valid events of a log in the lake.
+
+    ``quarantine_log`` keeps the others; the storage job runs both.
+    """
     usable, _ = split_valid(decode_tolerant(log, ENRICHED_EVENT))
     rows = to_lake_rows(usable)
     return stream_to_lake(rows, root, checkpoint, trigger=trigger, retention=retention)
@@ -303,24 +369,37 @@ def ingest_listings(
     checkpoint: str,
     *,
     trigger: dict,
+    quarantine: str,
     format: str = "kafka",
     servers: str | None = None,
     report: Report = _log_counts,
 ) -> StreamingQuery:
     """Publishes the events on newly landed listing pages to the raw log.
 
-    ``report`` gets the events of every batch and how many of them have media.
+    Pages and children that give no event go to ``quarantine`` with the
+    reasons. ``report`` gets the counts of every batch.
     """
+    _distinct({"target": target, "quarantine": quarantine})
+
     def send(batch: DataFrame, batch_id: int) -> None:
-        media = Observation()
-        batch = batch.observe(media, F.count_if("has_media").alias("with_media"))
-        where = target if format == "kafka" else f"{target}/batch_id={batch_id}"
-        sent = publish(batch, where, format=format, servers=servers, mode="overwrite")
-        report({"batch": batch_id, "sent": sent, "with_media": media.get["with_media"]})
+        batch = batch.persist()
+        try:
+            query = query_id(batch.sparkSession, checkpoint)
+            to = {"query": query, "batch_id": batch_id, "format": format, "servers": servers}
+            usable, rejected = split_items(batch)
+            events = to_events(usable)
+            counts = {
+                "batch": batch_id,
+                "sent": publish_batch(events, target, **to),
+                "quarantined": publish_batch(rejected, quarantine, **to),
+                "with_media": events.filter("has_media").count(),
+            }
+        finally:
+            batch.unpersist()
+        report(counts)
 
     return (
-        to_events(items(pages))
-        .writeStream.queryName("ingest")
+        pages.writeStream.queryName("ingest")
         .foreachBatch(send)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

@@ -12,7 +12,7 @@ from chatterloom.plans.batch import JOBS, run_job, run_jobs
 from chatterloom.schemas import LAKE_EVENT, TABLES
 from chatterloom.sinks.ageing import drop_days_before
 from chatterloom.sinks.lake import write_lake
-from chatterloom.sinks.tables import read_table
+from chatterloom.sinks.tables import read_table, replace_table
 from chatterloom.sources.lake import read_lake
 
 DAY = datetime(2024, 1, 1)
@@ -139,9 +139,14 @@ def test_lake_layout_and_pruning(spark, path, tmp_path):
     assert (tmp_path / "lake" / "year=2024" / "month=01" / "day=07").is_dir()
     some = read_lake(spark, lake, since=date(2024, 1, 3), until=date(2024, 1, 5))
     assert some.count() == 6
-    plan = plan_text(some.select("event_id"))
+    folders = {file.rsplit("/", 2)[-2] for file in some.inputFiles()}
+    assert folders == {"day=03", "day=04"}  # the others are not even listed
+    assert "ReadSchema: struct<event_id:string>" in plan_text(some.select("event_id"))
+    onward = read_lake(spark, lake, since=date(2024, 1, 20))
+    plan = plan_text(onward.select("event_id"))
     filters = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
-    assert "make_date" in filters and "ReadSchema: struct<event_id:string>" in plan
+    assert "make_date" in filters and onward.count() == 6
+    assert read_lake(spark, lake, since=date(2030, 1, 1), until=date(2030, 1, 2)).count() == 0
     everything = read_lake(spark, lake)
     assert everything.count() == len(events) + 5
     assert dict(everything.dtypes)["timestamp"] == "timestamp"
@@ -183,6 +188,29 @@ def test_bounded_run_replaces_whole_chunks_only(spark, path):
     assert rows(read_table(spark, table, stored)) == before
 
 
+def test_bounded_runs_equal_the_whole_run(spark, path):
+    """Copies on both sides of a week's end, and a week that loses its last event."""
+    events = [
+        event("a", datetime(2024, 1, 7, 23, 59, 50)),
+        event("a", datetime(2024, 1, 8, 0, 0, 10)),
+        event("b", datetime(2024, 1, 15, 0, 0, 1)),
+    ]
+    write_lake(lake_rows(spark, events), path("lake"))
+    run_job(spark, "daily_sentiment", path("lake"), path("whole"))
+    old = lake_rows(spark, [event("gone", datetime(2024, 1, 3))])
+    stale = JOBS["daily_sentiment"].result(old)
+    table = TABLES["batch_daily_sentiment"]
+    replace_table(stale, table, f"{path('parts')}/batch_daily_sentiment")
+    for day in (1, 8, 15):
+        bounds = {"since": date(2024, 1, day), "until": date(2024, 1, day + 7)}
+        run_job(spark, "daily_sentiment", path("lake"), path("parts"), **bounds)
+    whole, parts = (
+        rows(read_table(spark, table, f"{path(p)}/batch_daily_sentiment").select("day_start", "post_count"))
+        for p in ("whole", "parts")
+    )
+    assert whole == parts == [(datetime(2024, 1, 8), 1), (datetime(2024, 1, 15), 1)]
+
+
 def test_chunks(spark):
     assert chunk_bounds(date(2024, 1, 10), date(2024, 1, 11), 7) == (date(2024, 1, 8), date(2024, 1, 15))
     assert chunk_bounds(None, date(2024, 1, 15), 7) == (None, date(2024, 1, 15))

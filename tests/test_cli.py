@@ -17,14 +17,18 @@ def test_whole_flow(spark, path, tmp_path):
     ]
     (folder / "1.json").write_text(json.dumps({"data": {"children": items}}))
     common = ["--format", "text", "--checkpoints", path("checkpoints"), "--once"]
-    main(["ingestion", "--source", path("pages"), "--output", path("raw"), *common])
+    odd = ["--quarantine", path("odd")]
+    main(["ingestion", "--source", path("pages"), "--output", path("raw"), *odd, *common])
     routes = ["--output", path("ok"), "--dead-letter", path("dlq"), "--quarantine", path("bad")]
-    main(["processing", "--source", path("raw") + "/*", *routes, *common])
-    main(["storage", "--source", path("ok") + "/*", "--output", path("lake"), *common])
-    for job in ("save_raw", "trending_words"):
-        main([job, "--source", path("raw") + "/*", "--output", path("tables"), *common])
+    main(["processing", "--source", path("raw"), *routes, *common])
+    main(["storage", "--source", path("ok"), "--output", path("lake"), "--quarantine", path("left"), *common])
+    for job in ("save_raw", "trending_words", "tumbling_counts"):
+        extra = ["--quarantine", path("bad_raw")] if job == "save_raw" else ["--batch-limit", "7"]
+        main([job, "--source", path("raw"), "--output", path("tables"), *extra, *common])
     for job in ("save_enriched", "trending_topics"):
-        main([job, "--source", path("ok") + "/*", "--output", path("tables"), *common])
+        extra = ["--quarantine", path("bad_raw")] if job == "save_enriched" else []
+        main([job, "--source", path("ok"), "--output", path("tables"), *extra, *common])
+    main(["event_rates", "--lake", path("tables"), "--output", path("tables")])
     main(["top_posts", "--lake", path("lake"), "--output", path("tables")])
     main(["all_batch", "--lake", path("lake"), "--output", path("tables")])
 
@@ -40,8 +44,39 @@ def test_whole_flow(spark, path, tmp_path):
     ]
     assert {r.word for r in table("trending_words_metrics").collect()} == {"lovely", "weather"}
     assert table("trending_topics_metrics").count() > 0
+    assert table("event_rates").count() == 8 and table("tumbling_counts_metrics").count() > 0
 
 
 def test_unknown_job():
     with pytest.raises(SystemExit):
         main(["nonsense", "--output", "x"])
+
+
+@pytest.mark.parametrize(
+    ("job", "given", "missing"),
+    [
+        ("processing", ["--quarantine", "q", "--checkpoints", "c"], "--dead-letter"),
+        ("processing", ["--dead-letter", "d", "--checkpoints", "c"], "--quarantine"),
+        ("save_raw", ["--checkpoints", "c"], "--quarantine"),
+        ("storage", ["--checkpoints", "c"], "--quarantine"),
+        ("ingestion", ["--checkpoints", "c"], "--quarantine"),
+        ("trending_words", [], "--checkpoints"),
+    ],
+)
+def test_missing_arguments_are_named(capsys, job, given, missing):
+    with pytest.raises(SystemExit):
+        main([job, "--source", "s", "--output", "o", *given])
+    assert missing in capsys.readouterr().err
+
+
+def test_batch_jobs_need_a_lake(capsys):
+    with pytest.raises(SystemExit):
+        main(["top_posts", "--output", "o"])
+    assert "--lake" in capsys.readouterr().err
+
+
+def test_equal_targets_are_refused(spark, path, tmp_path):
+    (tmp_path / "log").mkdir()
+    same = ["--output", path("x"), "--dead-letter", path("x"), "--quarantine", path("y")]
+    with pytest.raises(ValueError, match="target each"):
+        main(["processing", "--source", path("log"), *same, "--format", "text", "--checkpoints", path("c"), "--once"])

@@ -4,10 +4,17 @@ from datetime import datetime
 from conftest import rows
 from pyspark.sql import functions as F
 
-from chatterloom.operators.cursor import after_marks, high_water_marks, poll
+from chatterloom.operators.cursor import (
+    advance_marks,
+    after_marks,
+    high_water_marks,
+    poll,
+    read_marks,
+    save_marks,
+)
 from chatterloom.operators.normalize import to_events
 from chatterloom.operators.rates import media_counts
-from chatterloom.sources.listings import items, read_listings
+from chatterloom.sources.listings import items, read_listings, split_items
 
 
 def land(root, endpoint, *children, name="page.json"):
@@ -115,14 +122,51 @@ def test_cursor_returns_only_newer_events(spark):
     marks = high_water_marks(stored, "endpoint")
     fresh = after_marks(fetched, marks, "endpoint").select("endpoint", "event_id")
     assert rows(fresh) == [("comments", "q"), ("new", "a"), ("new", "c")]
-    newest = poll(fetched, marks, "endpoint", 1).select("endpoint", "event_id")
-    assert rows(newest) == [("comments", "q"), ("new", "a")]
+    oldest = poll(fetched, marks, "endpoint", 1).select("endpoint", "event_id")
+    assert rows(oldest) == [("comments", "q"), ("new", "c")]
 
 
-def test_large_marks_are_not_broadcast(spark):
-    from chatterloom.operators.sizing import broadcast_if_small
+def test_polls_lose_nothing_between_marks(spark):
+    fetched = _events(spark, *[("new", m, f"{m:02d}") for m in range(7)], ("comments", 0, "q"))
+    marks = high_water_marks(fetched.limit(0), "endpoint")
+    seen = []
+    for _ in range(4):
+        taken = poll(fetched, marks, "endpoint", 2).cache()
+        seen += [r.event_id for r in taken.filter("endpoint = 'new'").orderBy("timestamp").collect()]
+        marks = advance_marks(marks, taken, "endpoint")
+    assert seen == [f"{m:02d}" for m in range(7)]
 
-    side = spark.range(10).select(F.col("id").alias("k"))
-    big = broadcast_if_small(side, 5)._jdf.queryExecution().analyzed().toString()
-    small = broadcast_if_small(side, 10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in big and "broadcast" in small
+
+def test_marks_are_stored(spark, path):
+    marks = high_water_marks(_events(spark, ("new", 5, "b"), ("new", 1, "z")), "endpoint")
+    for _ in range(2):
+        save_marks(marks, path("marks"), 1)
+    assert rows(read_marks(spark, path("marks"), 1).select("endpoint", "mark.event_id")) == [("new", "b")]
+
+
+def test_damaged_pages_and_children_are_quarantined(spark, tmp_path):
+    land(
+        tmp_path,
+        "new",
+        {"name": "a", "score": "5", "created_utc": "1704067215", "is_crosspost": "true", "num_comments": 2.0},
+        {"name": "b", "created_utc": "soon"},
+        {"name": "c", "score": "many", "upvote_ratio": "much"},
+        {"name": "d", "created_utc": "2024-01-01T00:00:15Z"},
+        None,
+    )
+    land(tmp_path, "about", {"name": "x"})
+    (tmp_path / "endpoint=new" / "broken.json").write_text("<html>\n")
+    pages = read_listings(spark, str(tmp_path))
+    got = events_of(spark, tmp_path)
+    assert set(got) == {"a", "d"}
+    assert (got["a"].score, got["a"].is_crosspost, got["a"].num_comments) == (5, True, 2)
+    assert got["a"].timestamp == got["d"].timestamp == datetime(2024, 1, 1, 0, 0, 15)
+    _, rejected = split_items(pages)
+    assert sorted((r.endpoint, r.reasons) for r in rejected.collect()) == [
+        ("about", ["page:endpoint"]),
+        ("new", ["child:missing"]),
+        ("new", ["created_utc:type"]),
+        ("new", ["page:corrupt"]),
+        ("new", ["score:type", "upvote_ratio:type"]),
+    ]
+    assert "<html>" in {r.payload for r in rejected.collect()}

@@ -6,7 +6,7 @@ from datetime import timedelta
 import pytest
 from conftest import SMALL, plan_text
 
-from __spark_entry__ import queries
+from workload.queries import all_queries as queries
 from chatterloom.operators.decode import decode
 from chatterloom.operators.merge import new_rows
 from chatterloom.schemas import RAW_EVENT, TABLES
@@ -14,12 +14,14 @@ from chatterloom.sinks.tables import CHUNK_DAYS, _chunked, _overlapping, append_
 from workload import frames
 
 # These run streams or write tables before they return a plain scan.
-EAGER = {n for n in queries() if n.endswith("_stream")} | {
-    "job_suite_hourly",
+EAGER = {n for n in queries() if n.endswith("_stream") or n.startswith(("job_suite_", "route_"))} | {
+    "daily_sentiment_bounded",
     "lake_roundtrip",
     "ingest_to_lake",
+    "log_of_two_streams",
     "insert_ignore_table",
     "append_only_table",
+    "event_rates_job",
 }
 # Global aggregates: one row per task reaches the single last task.
 GLOBAL = {"dedup_report_events", "retention"}
@@ -35,6 +37,22 @@ def test_plan(spark, name):
     assert plan.count("from_json") <= 1
 
 
+def test_a_plan_starts_no_job(spark):
+    """Building a query's frame runs nothing (reading a schema aside)."""
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("poll_newest", "incremental_cursor", "prompt_pack", "enrich_route", "daily_sentiment"):
+        spark.sparkContext.setJobGroup(f"plan {name}", name)
+        frame = queries()[name](spark, SMALL)
+        jobs = len(tracker.getJobIdsForGroup(f"plan {name}"))
+        assert jobs == 0 or frame is None, name
+    spark.sparkContext.setJobGroup("other", "other")
+
+
+def test_prompts_are_packed_with_one_shuffle(spark):
+    plan = plan_text(queries()["prompt_pack"](spark, SMALL), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_text(queries()["event_rate"](spark, SMALL), "simple")
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan

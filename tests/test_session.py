@@ -6,7 +6,10 @@ from chatterloom.session import SETTINGS, object_store_settings, scratch_path, s
 
 
 def _session(**conf):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+    context = SimpleNamespace(master=conf.get("spark.master"), applicationId="test-app")
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)), sparkContext=context
+    )
 
 
 def test_scratch_folder_is_the_shared_one():
@@ -14,7 +17,11 @@ def test_scratch_folder_is_the_shared_one():
     assert scratch_path(on_cluster, "x").startswith("s3a://shared/tmp/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(_session(**{"spark.master": "yarn"}), "x")
-    assert scratch_path(_session(**{"spark.master": "local[2]"}), "x").startswith("/")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(_session(**{"spark.master": "local-cluster[2,1,1024]"}), "x")
+    local = _session(**{"spark.master": "local[2]"})
+    first, second = scratch_path(local, "x"), scratch_path(local, "y")
+    assert first.startswith("/") and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
 
 
 def test_stored_frames_are_deleted(spark, tmp_path):
@@ -26,6 +33,16 @@ def test_stored_frames_are_deleted(spark, tmp_path):
         spark.read.parquet(folder).count()
 
 
+def test_stored_frames_of_a_failed_block_are_found_again(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    with pytest.raises(KeyError):
+        with stored(spark.range(3), "numbers", path):
+            raise KeyError
+    with stored(spark.range(5), "numbers", path) as kept:
+        assert kept.count() == 3
+    assert not (tmp_path / "kept").exists()
+
+
 def test_settings(spark):
     assert all(spark.conf.get(k) == v for k, v in SETTINGS.items())
     s3 = object_store_settings("http://store:9000", "key", "secret")

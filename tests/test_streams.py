@@ -15,7 +15,7 @@ from chatterloom.operators.trending import drop_redelivered, trending_words
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
 from chatterloom.sinks.ageing import drop_chunks_before, drop_days_before
 from chatterloom.sinks.lake import compact_lake, write_lake
-from chatterloom.sinks.logs import publish
+from chatterloom.sinks.logs import publish, publish_batch
 from chatterloom.sinks.tables import append_table, insert_ignore, read_table, replace_table
 from chatterloom.sources.lake import read_lake
 from chatterloom.sources.listings import read_listings
@@ -28,8 +28,10 @@ from chatterloom.streaming.control import (
     run_for,
     stop_all,
     trigger,
+    watch_late_rows,
 )
 from workload import frames
+from workload import queries as workload
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DRAIN = trigger(once=True)
@@ -66,6 +68,10 @@ def text_log(spark, folder, **options):
     return read_log(spark, folder, format="text", options=options)
 
 
+def read_json(spark, folder):
+    return spark.read.option("recursiveFileLookup", "true").json(folder)
+
+
 def at(seconds):
     return datetime(2024, 1, 1) + timedelta(seconds=seconds)
 
@@ -81,6 +87,15 @@ def test_stream_equals_batch_on_closed_windows(spark, path):
     assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
 
 
+def test_streams_of_the_workload_take_several_batches(spark, path):
+    events = frames.document_events(spark, SMALL)
+    log = workload._timed_log(spark, events)
+    query = streams.save_tumbling_counts(log, path("t"), path("c"), trigger=DRAIN)
+    run_for(query)
+    with_rows = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(with_rows) == workload.SLICES and sum(p["numInputRows"] for p in with_rows) == events.count()
+
+
 def test_late_rows(spark, path):
     """Lateness is judged by the watermark of the batch before."""
     land(path("log"), message("a", 0))
@@ -88,11 +103,13 @@ def test_late_rows(spark, path):
     land(path("log"), message("late", 1))
     land(path("log"), message("later", 2))
     log = text_log(spark, path("log"), maxFilesPerTrigger="1")
+    counter = watch_late_rows(spark)
     query = streams.save_trending_words(log, path("t"), path("c"), trigger=DRAIN)
     run_for(query)
     table = read_table(spark, TABLES["trending_words_metrics"], path("t"))
     first = dict(rows(table.filter(F.col("window_start") == at(0)).select("word", "count")))
-    dropped = late_rows_dropped(query)
+    dropped = late_rows_dropped(query, counter)
+    spark.streams.removeListener(counter)
     assert first == {"hello": 2} and dropped == 2
 
 
@@ -116,22 +133,37 @@ def test_replay_leaves_the_table_unchanged(spark, path):
     land(path("log"), message("a"), message("a"), message("b", 1), "not json", {"event_id": "c"})
     table = TABLES["raw_events"]
     for checkpoint in ("c1", "c2"):
-        run_for(streams.save_raw(text_log(spark, path("log")), path("t"), path(checkpoint), trigger=DRAIN))
+        run_for(streams.save_raw(text_log(spark, path("log")), path("t"), path(checkpoint), trigger=DRAIN, quarantine=path("bad")))
         stored = read_table(spark, table, path("t"))
         assert rows(stored.select("event_id")) == [("a",), ("b",)]
     land(path("log"), message("a"), message("d", 2))
-    run_for(streams.save_raw(text_log(spark, path("log")), path("t"), path("c2"), trigger=DRAIN))
+    run_for(streams.save_raw(text_log(spark, path("log")), path("t"), path("c2"), trigger=DRAIN, quarantine=path("bad")))
     assert rows(read_table(spark, table, path("t")).select("event_id")) == [("a",), ("b",), ("d",)]
 
 
 def test_messages_without_key_are_quarantined(spark, path):
     land(path("log"), message("a"), "junk", {"event_id": "b"}, message("c", timestamp="never"))
     log = text_log(spark, path("log"))
-    query = streams.save_raw(log, path("t"), path("c"), trigger=DRAIN, quarantine=path("bad"))
+    counts = []
+    query = streams.save_raw(
+        log, path("t"), path("c"), trigger=DRAIN, quarantine=path("bad"), report=counts.append
+    )
     run_for(query)
     assert rows(read_table(spark, TABLES["raw_events"], path("t")).select("event_id")) == [("a",)]
-    bad = [r.value for r in spark.read.text(path("bad")).collect()]
-    assert len(bad) == 3 and "junk" in bad
+    bad = read_json(spark, path("bad"))
+    assert sorted((r.payload, r.reasons) for r in bad.collect() if r.payload == "junk") == [
+        ("junk", ["event_id:missing", "timestamp:missing"])
+    ]
+    assert bad.count() == 3 and counts == [{"batch": 0, "quarantined": 3, "events": 1}]
+    # Another stream with a checkpoint of its own adds to the folder.
+    land(path("log2"), "other")
+    query = streams.save_enriched(
+        text_log(spark, path("log2")), path("t2"), path("c2"), trigger=DRAIN, quarantine=path("bad")
+    )
+    run_for(query)
+    assert {"junk", "other"} <= {r.payload for r in read_json(spark, path("bad")).collect()}
+    with pytest.raises(ValueError, match="target each"):
+        streams.save_raw(log, path("t"), path("c3"), trigger=DRAIN, quarantine=path("t"))
 
 
 def test_cap_counts_what_earlier_batches_stored(spark, path):
@@ -142,14 +174,29 @@ def test_cap_counts_what_earlier_batches_stored(spark, path):
     land(path("log"), message("a1", 1), *[message(f"c{i}", border - 1 + i) for i in range(5)])
     for checkpoint in ("c1", "c2"):
         log = text_log(spark, path("log"), maxFilesPerTrigger="1")
-        run_for(streams.save_raw_capped(log, path("t"), path(checkpoint), trigger=DRAIN, per_window=3))
+        counts = []
+        query = streams.save_raw_capped(
+            log,
+            path("t"),
+            path(checkpoint),
+            trigger=DRAIN,
+            per_window=3,
+            quarantine=path("bad"),
+            overflow=path("over"),
+            report=counts.append,
+        )
+        run_for(query)
         stored = rows(read_table(spark, TABLES["raw_events"], path("t")).select("event_id"))
         assert [r[0] for r in stored] == ["a3", "a5", "a57", "b0", "b1", "b2", "c0", "c1", "c2", "c3"]
+        assert len(counts) == 3
+    over = {r.event_id for r in read_json(spark, path("over")).collect()}
+    assert over == {"b3", "b4", "a58", "a59", "a1", "c4"}
 
 
 def test_save_enriched_flattens(spark, path):
     land(path("log"), message("a", enrichment={"topics": ["x"], "entities": [{"name": "n", "type": "t"}]}))
-    run_for(streams.save_enriched(text_log(spark, path("log")), path("t"), path("c"), trigger=DRAIN))
+    log = text_log(spark, path("log"))
+    run_for(streams.save_enriched(log, path("t"), path("c"), trigger=DRAIN, quarantine=path("bad")))
     (row,) = read_table(spark, TABLES["enriched_events"], path("t")).collect()
     assert row.topics == ["x"] and row.entities == '[{"name":"n","type":"t"}]'
 
@@ -170,9 +217,29 @@ def test_enrichment_routes_every_message(spark, path):
     assert counts == [{"batch": 0, "enriched": 1, "failed": 1, "quarantined": 3}]
     good = decode(read_log(spark, path("ok"), format="text", streaming=False), ENRICHED_EVENT)
     assert good.first().data.enrichment.sentiment_score == 0.5
-    (dead,) = [json.loads(r.value) for r in spark.read.text(path("dlq")).collect()]
+    dead = read_log(spark, path("dlq"), format="text", streaming=False)
+    (dead,) = [json.loads(r.payload) for r in dead.collect()]
     assert dead["event_id"] == "b" and dead["enrichment"] is None
-    assert spark.read.text(path("bad")).count() == 3
+    assert read_json(spark, path("bad")).count() == 3
+    assert not os.listdir(path("c") + "/replies")
+
+
+def test_outputs_need_targets_of_their_own():
+    with pytest.raises(ValueError, match="dead_letter"):
+        streams.Outputs("a", None, "b", format="text")
+    with pytest.raises(ValueError, match="target each"):
+        streams.Outputs("a", "b", "b/", format="text")
+
+
+def test_a_replayed_batch_adds_nothing(spark, path):
+    df = spark.createDataFrame([("a",), ("b",)], "event_id string")
+    for query in ("q1", "q1", "q2"):
+        assert publish_batch(df, path("log"), query, 0, format="text") == 2
+        files = set(spark.read.option("recursiveFileLookup", "true").text(path("log")).inputFiles())
+        if query == "q1":
+            first = files
+    assert first < files
+    assert read_log(spark, path("log"), format="text", streaming=False).count() == 4
 
 
 def test_listing_to_lake(spark, path, tmp_path):
@@ -185,15 +252,28 @@ def test_listing_to_lake(spark, path, tmp_path):
     (folder / "1.json").write_text(json.dumps({"data": {"children": items}}))
     counts = []
     pages = read_listings(spark, path("pages"), streaming=True)
-    run_for(streams.ingest_listings(pages, path("raw"), path("c1"), trigger=DRAIN, format="text", report=counts.append))
-    assert counts == [{"batch": 0, "sent": 2, "with_media": 2}]
+    query = streams.ingest_listings(
+        pages, path("raw"), path("c1"), trigger=DRAIN, format="text", quarantine=path("odd"), report=counts.append
+    )
+    run_for(query)
+    assert counts == [{"batch": 0, "sent": 2, "quarantined": 0, "with_media": 2}]
+    # A second run with a new checkpoint adds to the log.
+    items[0]["data"]["name"] = "t3_9"
+    (folder / "1.json").write_text(json.dumps({"data": {"children": items[:1]}}))
+    pages = read_listings(spark, path("pages"), streaming=True)
+    run_for(streams.ingest_listings(pages, path("raw"), path("c9"), trigger=DRAIN, format="text", quarantine=path("odd")))
+    assert {r.event_id for r in read_json(spark, path("raw")).collect()} == {"t3_0", "t3_1", "t3_9"}
     outputs = streams.Outputs(path("ok"), path("dlq"), path("bad"), format="text")
-    log = text_log(spark, path("raw") + "/*")
+    log = text_log(spark, path("raw"))
     run_for(streams.enrich_log(log, provider_factory("dummy"), outputs, path("c2"), trigger=DRAIN))
-    log = text_log(spark, path("ok") + "/*")
+    log = text_log(spark, path("ok"))
     run_for(streams.store_log(log, path("lake"), path("c3"), trigger=DRAIN))
     stored = rows(read_lake(spark, path("lake")).select("event_id", "day", "media_urls", "enrichment_intent"))
-    assert stored == [("t3_0", 1, ["0.jpg"], "testing"), ("t3_1", 2, ["1.jpg"], "testing")]
+    assert stored == [
+        ("t3_0", 1, ["0.jpg"], "testing"),
+        ("t3_1", 2, ["1.jpg"], "testing"),
+        ("t3_9", 1, ["0.jpg"], "testing"),
+    ]
 
 
 def test_only_valid_enriched_events_reach_the_lake(spark, path):
@@ -233,12 +313,12 @@ def test_streamed_lake_gets_few_files(spark, path):
 def test_bounded_run_list_and_stop(spark, path):
     land(path("log"), message("a"))
     log = text_log(spark, path("log"))
-    query = streams.save_raw(log, path("t"), path("c"), trigger=trigger(seconds=1))
+    query = streams.save_raw(log, path("t"), path("c"), trigger=trigger(seconds=1), quarantine=path("bad"))
     assert (str(query.id), "raw_events") in active_queries(spark)
     began = time.time()
     assert run_for(query, 3) is False
     assert time.time() - began < 60 and not query.isActive
-    other = streams.save_raw(log, path("t2"), path("c2"), trigger=trigger())
+    other = streams.save_raw(log, path("t2"), path("c2"), trigger=trigger(), quarantine=path("bad"))
     assert stop_all(spark) == 1 and not other.isActive and active_queries(spark) == []
     assert trigger() == {"processingTime": "120 seconds"}
     assert checkpoint_path("/x/", "t", "j") == "/x/t/j"
@@ -248,7 +328,8 @@ def test_sink_failures_are_raised(spark, path):
     land(path("log"), message("a"))
     blocked = path("file")
     open(blocked, "w").close()
-    query = streams.save_raw(text_log(spark, path("log")), f"{blocked}/t", path("c"), trigger=DRAIN)
+    log = text_log(spark, path("log"))
+    query = streams.save_raw(log, f"{blocked}/t", path("c"), trigger=DRAIN, quarantine=path("bad"))
     with pytest.raises(Exception):
         run_for(query)
 
@@ -276,6 +357,23 @@ def test_table_writes(spark, path):
     assert ids() == [("z",)]
 
 
+def test_bounded_snapshot_clears_stale_chunks(spark, path):
+    table, week = TABLES["raw_events"], 7 * 86400
+    replace_table(_events(spark, ("a", 0), ("b", week), ("c", 2 * week)), table, path("t"))
+    span = (date(2024, 1, 1), date(2024, 1, 15))
+    replace_table(_events(spark, ("n", 0)), table, path("t"), whole=False, span=span)
+    assert rows(read_table(spark, table, path("t")).select("event_id")) == [("c",), ("n",)]
+
+
+def test_copies_in_a_batch_leave_the_same_row(spark, path):
+    copies = [message("a", 0, score=s) for s in (3, 9, 5)]
+    log = spark.createDataFrame([(json.dumps(m),) for m in copies], "payload string")
+    for n in range(2):
+        batch = decode(log, RAW_EVENT).select("data.*").repartition(n + 1)
+        insert_ignore(batch, TABLES["raw_events"], path(f"t{n}"))
+        assert rows(read_table(spark, TABLES["raw_events"], path(f"t{n}")).select("score")) == [(9,)]
+
+
 def test_rows_without_time_are_refused(spark, path):
     timeless = _events(spark, ("a", 0)).withColumn("timestamp", F.lit(None).cast("timestamp"))
     with pytest.raises(ValueError, match="timestamp"):

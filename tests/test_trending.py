@@ -8,6 +8,7 @@ from chatterloom.operators.rates import event_rate, latest_rate, rolling_average
 from chatterloom.operators.retention import retain
 from chatterloom.operators.trending import (
     first_per_window,
+    mark_over_cap,
     trend_topics,
     trend_words,
     trending_topics,
@@ -77,6 +78,9 @@ def test_tumbling_and_capped_windows(spark):
     assert rows(tumbling_counts(df)) == [(at(0), at(60), 3), (at(60), at(120), 2)]
     kept = first_per_window(df, 2).select("event_id")
     assert rows(kept) == [("00",), ("01",), ("03",), ("04",)]
+    marked = rows(mark_over_cap(df, 2).select("event_id", "over_cap"))
+    assert marked == [("00", False), ("01", False), ("02", True), ("03", False), ("04", False)]
+    assert all(r.over_cap for r in mark_over_cap(df, 0).collect())
 
 
 def test_rates(spark):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.operators.sizing import spread
 from chatterloom.schemas import ENRICHMENT, LAKE_EVENT, struct_type
 
 
@@ -26,13 +25,9 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def source_events(spark: SparkSession, sf_dir: str, *, heavy: bool = False) -> DataFrame:
-    """``events`` with its counter ``k`` and a zoned timestamp.
-
-    ``heavy`` says that much work follows per row, such as writing JSON.
-    """
-    events = _table(spark, sf_dir, "events")
-    return (spread(events) if heavy else events).select(
+def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with its counter ``k`` and a zoned timestamp."""
+    return _table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         "user_id",
@@ -107,7 +102,7 @@ def _raw_columns() -> list[Column]:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete raw events."""
-    return source_events(spark, sf_dir, heavy=True).select(*_raw_columns())
+    return source_events(spark, sf_dir).select(*_raw_columns())
 
 
 def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,14 +119,33 @@ def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.concat(F.lit("n"), k).alias("name"), F.lit("Location").alias("type")),
         ).alias("entities"),
     ).cast(struct_type(ENRICHMENT))
-    return source_events(spark, sf_dir, heavy=True).select(
+    return source_events(spark, sf_dir).select(
         *_raw_columns(), F.when(k < 90, enrichment).alias("enrichment")
     )
 
 
+def doubtful_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched events of which each quality rule finds some wrong."""
+    k, kind = F.col("k"), F.col("event_type")
+    enrichment = F.struct(
+        F.array(F.when(k >= 10, F.lit("en")).when(k >= 5, F.lit("klingon"))).alias("languages"),
+        F.lit("about").alias("translation"),
+        ((k - 50) / 40).alias("sentiment_score"),
+        F.when(k % 10 < 7, "question").otherwise("riddle").alias("intent"),
+        F.slice(F.array(kind, kind, kind, kind, kind), 1, F.greatest(k % 6, F.lit(1))).alias("topics"),
+        F.array(
+            F.struct(kind.alias("name"), F.when(k % 7 != 0, "Person").alias("type")),
+            F.struct(kind.alias("name"), F.when(k % 5 == 0, "Planet").otherwise("Location").alias("type")),
+        ).alias("entities"),
+    ).cast(struct_type(ENRICHMENT))
+    return source_events(spark, sf_dir).select(
+        *_raw_columns(), F.when(k < 95, enrichment).alias("enrichment")
+    )
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as posts, seven seconds apart."""
-    return spread(_table(spark, sf_dir, "documents")).select(
+    return _table(spark, sf_dir, "documents").select(
         "doc_id",
         F.col("source").alias("title"),
         F.col("text").alias("content"),
@@ -184,7 +198,7 @@ def listing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("data")
         ).alias("child"),
     )
-    comments = spread(_table(spark, sf_dir, "conversations")).select(
+    comments = _table(spark, sf_dir, "conversations").select(
         F.concat_ws("_", "conv_id", F.floor(F.col("turn") / 100)).alias("page"),
         F.struct(
             F.struct(
@@ -207,6 +221,33 @@ def listing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(posts, "new").unionByName(pages(comments, "comments"))
 
 
+def damaged_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per document (``endpoint``, ``body``); by its id, a page or child may be damaged."""
+    kind = F.col("doc_id") % 10
+    number = F.col("doc_id").cast("string")
+    child = F.struct(
+        F.concat(F.lit("t3_"), number).alias("name"),
+        F.col("source").alias("subreddit"),
+        F.lit("a").alias("author"),
+        F.when(kind == 1, "yesterday")
+        .when(kind == 2, "2024-01-01T00:00:07Z")
+        .otherwise((F.lit(1704067200) + F.col("doc_id") * 7).cast("string"))
+        .alias("created_utc"),
+        F.lit("u").alias("url"),
+        F.col("text").alias("selftext"),
+        F.when(kind == 3, "many").otherwise(number).alias("score"),
+        F.when(kind == 4, "maybe").when(kind == 5, "true").alias("is_crosspost"),
+    )
+    body = F.to_json(F.struct(F.struct(F.array(F.struct(child.alias("data"))).alias("children")).alias("data")))
+    body = F.when(kind == 6, F.concat(F.lit("<html> "), number)).when(
+        kind == 7, '{"data": {"children": [{"kind": "none"}]}}'
+    ).otherwise(body)
+    endpoint = F.when(kind == 8, "about").otherwise("new")
+    return _table(spark, sf_dir, "documents").select(
+        "doc_id", endpoint.alias("endpoint"), body.alias("body")
+    )
+
+
 def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as listing items whose media are the page's links."""
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
@@ -232,4 +273,4 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("image").alias("post_hint"),
     )
     kind = F.when(url.contains(".org"), "COMMENT").otherwise("POST")
-    return spread(_table(spark, sf_dir, "pages")).select("page_id", kind.alias("event_type"), item.alias("item"))
+    return _table(spark, sf_dir, "pages").select("page_id", kind.alias("event_type"), item.alias("item"))

@@ -66,7 +66,8 @@ docs AS (
 
 _PACKED = _DOCS + """,
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY title ORDER BY doc_id) - 1 AS rn FROM docs),
+  SELECT *, doc_id // 192 AS piece,
+         row_number() OVER (PARTITION BY title, doc_id // 192 ORDER BY doc_id) - 1 AS rn FROM docs),
 chunked AS (SELECT *, rn // 5 AS chunk, rn % 5 + 1 AS position FROM numbered)"""
 
 
@@ -166,7 +167,7 @@ media AS (
 _REPOSTS = _RAW + """,
 reposts AS (
   SELECT event_id, CASE WHEN score IS NULL THEN timestamp + INTERVAL 1 SECOND ELSE timestamp END AS timestamp,
-         score FROM raw),
+         * EXCLUDE (event_id, timestamp) FROM raw),
 fresh AS (
   SELECT * FROM reposts b
   WHERE NOT EXISTS (SELECT 1 FROM raw t WHERE t.event_id = b.event_id AND t.timestamp = b.timestamp))"""
@@ -225,10 +226,37 @@ rows AS (
   FROM (SELECT timestamp, unnest(enrichment_topics) AS topic FROM ev)
   WHERE trim(topic) <> '')"""
 
+_TUMBLING = """
+tumbling AS (
+  SELECT date_trunc('minute', timestamp) AS window_start,
+         date_trunc('minute', timestamp) + INTERVAL 1 MINUTE AS window_end, count(*) AS count
+  FROM rows GROUP BY ALL)"""
+
+_DOC_EVENTS = """
+doc_events AS (
+  SELECT CAST(doc_id AS VARCHAR) AS event_id, 'POST' AS event_type, title AS posted_in_subreddit,
+         lang AS author, 'https://example.org/' || doc_id AS url, title, content, timestamp,
+         false AS has_media, '' AS media_urls, CAST(n_chars AS INTEGER) AS score,
+         CAST(NULL AS DOUBLE) AS upvote_ratio, CAST(NULL AS INTEGER) AS num_comments,
+         false AS is_crosspost, CAST(NULL AS VARCHAR) AS original_subreddit, text
+  FROM docs)"""
+
+# Which documents have which damage as listing children.
+_DAMAGED_PAGES = """
+damaged AS (
+  SELECT *, doc_id % 10 AS kind,
+         CASE doc_id % 10 WHEN 1 THEN 'created_utc:type' WHEN 3 THEN 'score:type'
+                          WHEN 4 THEN 'is_crosspost:type' WHEN 6 THEN 'page:corrupt'
+                          WHEN 7 THEN 'child:missing' WHEN 8 THEN 'page:endpoint' END AS reasons
+  FROM documents)"""
+
 ORACLE = {
     "daily_sentiment": _sentiment("day"),
     "hourly_sentiment": _sentiment("hour"),
+    "daily_sentiment_bounded": _sentiment("day"),
+    "job_suite_daily": _sentiment("day"),
     "job_suite_hourly": _sentiment("hour"),
+    "job_suite_topic": _TOPIC_SENTIMENT,
     "topic_sentiment": _TOPIC_SENTIMENT,
     "weekly_topics": f"""
 WITH {_UNIQUE}
@@ -239,6 +267,17 @@ WITH {_UNIQUE}
 SELECT date_trunc('day', timestamp) AS day_start, posted_in_subreddit AS subreddit, event_id, title,
        score, enrichment_sentiment AS sentiment_score
 FROM uniq
+QUALIFY row_number() OVER (PARTITION BY date_trunc('day', timestamp), posted_in_subreddit
+                           ORDER BY score DESC NULLS LAST, event_id) <= 10""",
+    "job_suite_weekly_topics": f"""
+WITH {_UNIQUE}
+SELECT date_trunc('week', timestamp)::TIMESTAMP AS week_start, topic, count(*) AS topic_count
+FROM (SELECT timestamp, unnest(enrichment_topics) AS topic FROM uniq) GROUP BY ALL""",
+    "job_suite_top_posts": f"""
+WITH {_UNIQUE}
+SELECT date_trunc('day', timestamp) AS day_start, posted_in_subreddit AS subreddit, event_id, title,
+       score, enrichment_sentiment AS sentiment_score
+FROM uniq
 QUALIFY row_number() OVER (PARTITION BY date_trunc('day', timestamp), posted_in_subreddit
                            ORDER BY score DESC NULLS LAST, event_id) <= 10""",
     "dedup_latest_events": f"""
@@ -273,14 +312,22 @@ WITH {_DOCS}, rows AS (SELECT timestamp FROM docs)
 SELECT date_trunc('minute', timestamp) AS window_start,
        date_trunc('minute', timestamp) + INTERVAL 1 MINUTE AS window_end, count(*) AS count
 FROM rows GROUP BY ALL""",
+    "tumbling_counts_stream": f"""
+WITH {_DOCS}, rows AS (SELECT timestamp FROM docs), {_TUMBLING}
+SELECT * FROM tumbling {_CLOSED}""",
+    "late_drop_stream": f"""
+WITH {_DOCS}, rows AS (SELECT timestamp FROM docs), {_TUMBLING}
+SELECT *, true AS some_refused FROM tumbling {_CLOSED}""",
     "window_cap": f"""
 WITH {_LAKE}
-SELECT event_id, timestamp, date_trunc('hour', timestamp) AS window_start FROM ev
-QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) <= 3""",
+SELECT event_id, timestamp, date_trunc('hour', timestamp) AS window_start, row_number() OVER (
+  PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) > 3 AS over_cap
+FROM ev""",
     "window_cap_stream": f"""
-WITH {_LAKE}
-SELECT event_id, timestamp FROM ev
-QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) <= 3""",
+WITH {_RAW}
+SELECT {_RAW_COLUMNS}, row_number() OVER (
+  PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) > 3 AS over_cap
+FROM raw""",
     "raw_roundtrip": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
     "enriched_flatten": _FLAT_ENRICHED,
     "lake_flatten": _LAKE_LAYOUT,
@@ -296,7 +343,12 @@ WITH {_DAMAGED}
 SELECT reasons, count(*) AS messages FROM bad WHERE reasons IS NOT NULL GROUP BY ALL""",
     "quality_report": f"""
 WITH {_ENRICHED}
-SELECT event_id, concat_ws(',', CASE WHEN NOT sentiment BETWEEN -1 AND 1 THEN 'sentiment_score' END) AS flags
+SELECT event_id, CASE WHEN k < 95 THEN concat_ws(',',
+    CASE WHEN k < 10 THEN 'languages' END,
+    CASE WHEN NOT (k - 50) / 40.0 BETWEEN -1 AND 1 THEN 'sentiment_score' END,
+    CASE WHEN k % 10 >= 7 THEN 'intent' END,
+    CASE WHEN NOT greatest(k % 6, 1) BETWEEN 2 AND 4 THEN 'topics' END,
+    CASE WHEN k % 7 = 0 OR k % 5 = 0 THEN 'entities' END) ELSE '' END AS flags
 FROM enr""",
     "normalize_listing": f"""
 WITH {_LISTED}
@@ -305,14 +357,58 @@ SELECT *, false AS has_media, '' AS media_urls, CAST(NULL AS DOUBLE) AS upvote_r
     "ingest_to_lake": f"""
 WITH {_LISTED},
 asked AS (
-  SELECT event_id, event_type, timestamp, length(regexp_replace(
+  SELECT *, length(regexp_replace(
     title || chr(10) || chr(10) || content,
     '^[\\s\\x0b\\x1c-\\x1f\\x{{85}}\\pZ]+|[\\s\\x0b\\x1c-\\x1f\\x{{85}}\\pZ]+$', '', 'g')) AS n
   FROM listed),
-replied AS (SELECT event_id, event_type, timestamp, {_reply('n')} FROM asked)
-SELECT event_id, event_type, timestamp, sentiment_score AS enrichment_sentiment,
-       topics AS enrichment_topics
+replied AS (SELECT *, {_reply('n')} FROM asked)
+SELECT event_id, event_type, posted_in_subreddit, author, url, title, content, timestamp,
+       false AS has_media, '' AS media_urls, score, CAST(NULL AS DOUBLE) AS upvote_ratio,
+       CAST(NULL AS INTEGER) AS num_comments, is_crosspost, original_subreddit,
+       'fr' AS enrichment_languages, CAST(NULL AS VARCHAR) AS enrichment_translation,
+       sentiment_score AS enrichment_sentiment, CAST(NULL AS VARCHAR) AS enrichment_intent,
+       topics AS enrichment_topics, '' AS enrichment_entity_names, '' AS enrichment_entity_types,
+       CAST(year(timestamp) AS INTEGER) AS year, CAST(month(timestamp) AS INTEGER) AS month,
+       CAST(day(timestamp) AS INTEGER) AS day
 FROM replied WHERE reason IS NULL""",
+    "route_dead_letters": f"""
+WITH {_DOCS}, {_DOC_EVENTS}, replied AS (SELECT *, {_reply('length(text)')} FROM doc_events)
+SELECT {_RAW_COLUMNS}, CAST(NULL AS VARCHAR) AS languages, CAST(NULL AS VARCHAR) AS translation,
+       CAST(NULL AS DOUBLE) AS sentiment_score, CAST(NULL AS VARCHAR) AS intent,
+       CAST(NULL AS VARCHAR) AS topics, CAST(NULL AS VARCHAR) AS entities
+FROM replied WHERE reason IS NOT NULL""",
+    "route_quarantine": f"""
+WITH {_DAMAGED},
+fields AS (
+  SELECT *, CASE WHEN k BETWEEN 10 AND 19 THEN '' ELSE event_id END AS id_text,
+         CASE WHEN k BETWEEN 20 AND 29 THEN 'LINK' ELSE 'POST' END AS type_text,
+         CASE WHEN k BETWEEN 30 AND 39 THEN 'bad'
+              ELSE strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') END AS time_text,
+         CASE WHEN k BETWEEN 50 AND 59 THEN 'abc' ELSE CAST(k AS VARCHAR) END AS score_text
+  FROM bad WHERE reasons IS NOT NULL)
+SELECT reasons, CASE WHEN k < 10 THEN 'not json ' || event_id ELSE
+  '{{"event_id":"' || id_text || '","event_type":"' || type_text || '","posted_in_subreddit":"' || event_type
+  || '","author":"a",' || CASE WHEN k BETWEEN 70 AND 74 THEN '' ELSE '"url":"u",' END
+  || '"timestamp":"' || time_text || '","score":"' || score_text || '","num_comments":"' || k || '"}}' END AS payload
+FROM fields""",
+    "log_of_two_streams": f"""
+WITH {_LISTED}
+SELECT *, false AS has_media, '' AS media_urls, CAST(NULL AS DOUBLE) AS upvote_ratio,
+       CAST(NULL AS INTEGER) AS num_comments FROM listed""",
+    "damaged_listing_events": f"""
+WITH {_DAMAGED_PAGES}
+SELECT 't3_' || doc_id AS event_id, 'POST' AS event_type, source AS posted_in_subreddit, 'a' AS author,
+       'u' AS url, CAST(NULL AS VARCHAR) AS title, text AS content,
+       CASE WHEN kind = 2 THEN TIMESTAMP '2024-01-01 00:00:07'
+            ELSE TIMESTAMP '2024-01-01' + to_seconds(doc_id * 7) END AS timestamp,
+       false AS has_media, '' AS media_urls, CAST(doc_id AS INTEGER) AS score,
+       CAST(NULL AS DOUBLE) AS upvote_ratio, CAST(NULL AS INTEGER) AS num_comments,
+       kind = 5 AS is_crosspost, CAST(NULL AS VARCHAR) AS original_subreddit
+FROM damaged WHERE reasons IS NULL""",
+    "damaged_listing_quarantine": f"""
+WITH {_DAMAGED_PAGES}
+SELECT CASE WHEN kind = 8 THEN 'about' ELSE 'new' END AS endpoint, reasons, count(*) AS children
+FROM damaged WHERE reasons IS NOT NULL GROUP BY ALL""",
     "media_links": f"WITH {_MEDIA} SELECT page_id, media_urls FROM media",
     "media_stats": f"""
 WITH {_MEDIA}
@@ -332,6 +428,11 @@ marks AS (
   SELECT posted_in_subreddit, max(timestamp) - INTERVAL 10 DAY AS t FROM ev GROUP BY ALL)
 SELECT posted_in_subreddit, timestamp, event_id FROM ev JOIN marks USING (posted_in_subreddit)
 WHERE timestamp > t""",
+    "poll_twice": f"""
+WITH {_LAKE}
+SELECT posted_in_subreddit, timestamp, event_id, CAST((place - 1) // 100 AS INTEGER) AS poll FROM (
+  SELECT *, row_number() OVER (PARTITION BY posted_in_subreddit ORDER BY timestamp, event_id) AS place FROM ev)
+WHERE place <= 200""",
     "poll_newest": f"""
 WITH {_LAKE}
 SELECT posted_in_subreddit, timestamp, event_id FROM ev
@@ -339,7 +440,7 @@ QUALIFY row_number() OVER (PARTITION BY posted_in_subreddit ORDER BY timestamp D
     "prompt_texts": f"WITH {_DOCS} SELECT doc_id, text FROM docs",
     "prompt_pack": f"""
 WITH {_PACKED}
-SELECT title, chunk, count(*) AS items,
+SELECT title, piece, chunk, count(*) AS items,
        string_agg('Item ' || position || ':' || chr(10) || text, chr(10) || chr(10) ORDER BY position) AS prompt
 FROM chunked GROUP BY ALL""",
     "enrich_dummy": f"""
@@ -352,6 +453,18 @@ FROM chunked""",
     "enrich_route": f"""
 WITH {_DOCS}, replied AS (SELECT doc_id, {_reply('length(text)')} FROM docs)
 SELECT *, CASE WHEN reason IS NULL THEN 'success' ELSE 'failed' END AS status FROM replied""",
+    "enrich_odd_replies": f"""
+WITH {_DOCS},
+replied AS (
+  SELECT doc_id, length(text) % 10 AS kind,
+         CASE length(text) % 10 WHEN 0 THEN 'reply:missing' WHEN 1 THEN 'languages:type'
+           WHEN 2 THEN 'topics:type' WHEN 3 THEN 'translation:type' WHEN 4 THEN 'intent:type'
+           WHEN 6 THEN 'entities:type' WHEN 7 THEN 'reply:shape' WHEN 8 THEN 'reply:shape' END AS reason
+  FROM docs)
+SELECT doc_id, reason, CASE WHEN reason IS NULL THEN 'success' ELSE 'failed' END AS status,
+       CASE WHEN kind = 0 THEN 3 ELSE 1 END AS attempts,
+       CASE WHEN reason IS NULL THEN 'a|b' END AS topics
+FROM replied""",
     "enrich_outcomes": f"""
 WITH {_DOCS}, replied AS (SELECT title, {_reply('length(text)')} FROM docs)
 SELECT title, CASE WHEN reason IS NULL THEN 'success' ELSE 'failed' END AS status, count(*) AS events
@@ -359,15 +472,26 @@ FROM replied GROUP BY ALL""",
     "insert_ignore_join": f"WITH {_REPOSTS} SELECT * FROM fresh",
     "insert_ignore_table": f"""
 WITH {_REPOSTS}
-SELECT event_id, timestamp, score FROM raw UNION ALL SELECT event_id, timestamp, score FROM fresh""",
+SELECT * FROM raw UNION ALL BY NAME SELECT * FROM fresh""",
     "append_only_table": f"""
 WITH {_RAW}
-SELECT event_id, timestamp, score FROM raw UNION ALL SELECT event_id, timestamp, score FROM raw""",
+SELECT * FROM raw UNION ALL SELECT * FROM raw""",
     "retention": f"""
 WITH {_LAKE}
 SELECT event_id, timestamp FROM ev
 WHERE timestamp >= (SELECT max(timestamp) - INTERVAL 10 DAY FROM ev)""",
     "event_rate": f"WITH {_RATES} SELECT * FROM rates",
+    "event_rates_job": f"""
+WITH {_ENRICHED},
+times AS (
+  SELECT 'raw_events' AS stream, timestamp FROM raw
+  UNION ALL SELECT 'enriched_events', timestamp FROM enr WHERE has_enrichment),
+minutes AS (
+  SELECT stream, date_trunc('minute', timestamp) AS minute_start, count(*) AS events FROM times GROUP BY ALL)
+SELECT *, avg(events) OVER (
+  PARTITION BY stream ORDER BY minute_start
+  RANGE BETWEEN INTERVAL 4 MINUTE PRECEDING AND CURRENT ROW) AS rolling_avg
+FROM minutes""",
     "rate_gauge": f"""
 WITH {_RATES}
 SELECT stream, max(minute_start) AS minute_start, arg_max(events, minute_start) AS events

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from datetime import datetime
+from types import MappingProxyType
 from typing import Any
 
 from pyspark import cloudpickle
@@ -32,3 +34,23 @@ class LengthProvider:
             "sentiment_score": length / 100,
             "topics": [f"t{kind}"],
         }
+
+
+class OddProvider:
+    """Answers only single texts, and some of them in ways no model allows."""
+
+    def enrich(self, texts: list[str]) -> list[Any]:
+        if len(texts) > 1:
+            raise ValueError("one at a time")
+        good = {"languages": ["en"], "topics": ["a", "b"]}
+        return {
+            0: [],
+            1: [{**good, "languages": [None]}],
+            2: [{**good, "topics": [1, None]}],
+            3: [{**good, "translation": 5}],
+            4: [{**good, "intent": datetime(2024, 1, 1)}],
+            5: [MappingProxyType(good)],
+            6: [{**good, "entities": [{"name": 3, "type": "Person"}]}],
+            7: [{**good, "sentiment_score": float("nan")}],
+            8: [{**good, "extra": {1, 2}}],
+        }.get(len(texts[0]) % 10, [good])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,25 +20,25 @@ from chatterloom.operators.normalize import to_events
 from chatterloom.operators.ranking import newest_per_group
 from chatterloom.operators.retention import retain
 from chatterloom.operators.trending import (
-    first_per_window,
+    mark_over_cap,
     trending_topics,
     trending_words,
     tumbling_counts,
 )
 from chatterloom.operators.validate import split_valid, with_quality_flags
-from chatterloom.plans.batch import JOBS, run_jobs
+from chatterloom.plans.batch import JOBS, run_job, run_jobs, run_rates
 from chatterloom.schemas import ENRICHED_EVENT, LAKE_EVENT, LISTING_PAGE, RAW_EVENT, TABLES, ddl
 from chatterloom.session import SETTINGS, scratch_path
 from chatterloom.sinks.lake import compact_lake, write_lake
 from chatterloom.sinks.logs import publish
 from chatterloom.sinks.tables import append_table, insert_ignore, read_table, replace_table
 from chatterloom.sources.lake import read_lake
-from chatterloom.sources.listings import items, read_listings
+from chatterloom.sources.listings import items, read_listings, split_items
 from chatterloom.sources.logs import read_log
 from chatterloom.streaming import queries as streams
-from chatterloom.streaming.control import run_for, trigger
+from chatterloom.streaming.control import late_rows_dropped, run_for, trigger, watch_late_rows
 from workload import frames
-from workload.providers import LengthProvider
+from workload.providers import LengthProvider, OddProvider
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -85,17 +86,50 @@ top_posts = _job("top_posts")
 weekly_topics = _job("weekly_topics")
 
 
-@_query
-def job_suite_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five jobs from a lake to tables; the hourly table is read back."""
-    lake, output = scratch_path(spark, "lake"), scratch_path(spark, "tables")
+def _stored_lake(spark: SparkSession, sf_dir: str) -> str:
+    lake = scratch_path(spark, "lake")
     events = frames.lake_events_with_copies(spark, sf_dir)
     missing = [F.lit(None).cast(t).alias(n) for n, t in LAKE_EVENT.items() if n not in events.columns]
     write_lake(events.select("*", *missing), lake)
-    run_jobs(spark, lake, output)
-    table = JOBS["hourly_sentiment"].table
+    return lake
+
+
+def _job_table(spark: SparkSession, output: str, name: str) -> DataFrame:
+    table = JOBS[name].table
     stored = read_table(spark, TABLES[table], f"{output}/{table}").drop("chunk_start")
-    return stored.withColumn("sentiment_stddev", F.round("sentiment_stddev", 6))
+    if "sentiment_stddev" in stored.columns:
+        stored = stored.withColumn("sentiment_stddev", F.round("sentiment_stddev", 6))
+    return stored
+
+
+def _suite(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """All five jobs from a lake to tables; one table is read back."""
+        output = scratch_path(spark, "tables")
+        run_jobs(spark, _stored_lake(spark, sf_dir), output)
+        return _job_table(spark, output, name)
+
+    run.__name__ = f"job_suite_{name.replace('_sentiment', '')}"
+    return _query(run)
+
+
+for _name in JOBS:
+    _suite(_name)
+
+
+@_query
+def daily_sentiment_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weeks one by one, over events whose copies lie on both sides of midnight."""
+    lake, output = _stored_lake(spark, sf_dir), scratch_path(spark, "tables")
+    first, last = frames.lake_events_with_copies(spark, sf_dir).agg(
+        F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))
+    ).first()
+    since = first
+    while since <= last:
+        until = since + timedelta(days=7 - since.weekday())
+        run_job(spark, "daily_sentiment", lake, output, since=since, until=until)
+        since = until
+    return _job_table(spark, output, "daily_sentiment")
 
 
 @_query
@@ -127,15 +161,38 @@ def trending_words_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trending_words(frames.documents(spark, sf_dir), window="10 minutes", slide="5 minutes")
 
 
+SLICES, FILES = 3, 4
+
+
+def _timed_log(spark: SparkSession, events: DataFrame, *, again: bool = False) -> DataFrame:
+    """Events as a JSON log that a stream reads in ``SLICES`` micro-batches, in time order.
+
+    ``again``: the first slice comes once more, as a batch behind the others.
+    """
+    log_dir = scratch_path(spark, "log")
+    seconds = F.unix_micros("timestamp") / 1e6
+    low, high = events.agg(F.min(seconds), F.max(seconds)).first()
+    edges = [low + (high - low) * n / SLICES for n in range(SLICES)]
+    slices = [*range(SLICES), *([0] if again else [])]
+    for number in slices:
+        part = events.filter(seconds >= edges[number])
+        if number + 1 < SLICES:
+            part = part.filter(seconds < edges[number + 1])
+        publish(part.repartition(FILES), log_dir, format="text")
+    return read_log(spark, log_dir, format="text", batch_limit=FILES)
+
+
 def _streamed(spark: SparkSession, events: DataFrame, start, table: str, **options) -> DataFrame:
     """Events -> JSON log -> stream -> result table, read back."""
-    log_dir, target, checkpoint = (scratch_path(spark, x) for x in ("log", table, "checkpoint"))
-    publish(events, log_dir, format="text")
-    log = read_log(spark, log_dir, format="text")
-    run_for(start(log, target, checkpoint, trigger=_DRAIN, **options))
+    target, checkpoint = (scratch_path(spark, x) for x in (table, "checkpoint"))
+    run_for(start(_timed_log(spark, events), target, checkpoint, trigger=_DRAIN, **options))
     return read_table(spark, TABLES[table], target).drop("chunk_start")
 
 
+def _unusable(spark: SparkSession) -> dict[str, str]:
+    return {"quarantine": scratch_path(spark, "quarantine")}
+
+
 @_query
 def trending_words_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.document_events(spark, sf_dir)
@@ -158,20 +215,47 @@ def trending_topics_unique_stream(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @_query
 def save_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, frames.raw_events(spark, sf_dir), streams.save_raw, "raw_events")
+    events = frames.raw_events(spark, sf_dir)
+    return _streamed(spark, events, streams.save_raw, "raw_events", **_unusable(spark))
 
 
 @_query
 def window_cap_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = frames.raw_events(spark, sf_dir)
-    start = partial(streams.save_raw_capped, per_window=3, window_seconds=3600)
-    return _streamed(spark, events, start, "raw_events").select("event_id", "timestamp")
+    """Three events an hour are stored, the others kept in the overflow."""
+    events, overflow = frames.raw_events(spark, sf_dir), scratch_path(spark, "overflow")
+    start = partial(streams.save_raw_capped, per_window=3, window_seconds=3600, overflow=overflow)
+    kept = _streamed(spark, events, start, "raw_events", **_unusable(spark))
+    over = decode(read_log(spark, overflow, format="text", streaming=False), RAW_EVENT)
+    return kept.withColumn("over_cap", F.lit(False)).unionByName(
+        flatten_raw(over).withColumn("over_cap", F.lit(True))
+    )
+
+
+@_query
+def tumbling_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = frames.document_events(spark, sf_dir)
+    return _streamed(spark, events, streams.save_tumbling_counts, "tumbling_counts_metrics")
+
+
+@_query
+def late_drop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first third of the log comes again at its end: too late for every window."""
+    log = _timed_log(spark, frames.document_events(spark, sf_dir), again=True)
+    target, checkpoint = (scratch_path(spark, x) for x in ("counts", "checkpoint"))
+    counter = watch_late_rows(spark)
+    query = streams.save_tumbling_counts(log, target, checkpoint, trigger=_DRAIN)
+    run_for(query)
+    dropped = late_rows_dropped(query, counter)
+    spark.streams.removeListener(counter)
+    counts = read_table(spark, TABLES["tumbling_counts_metrics"], target).drop("chunk_start")
+    # How many rows are refused depends on how they were counted before; that some are does not.
+    return counts.withColumn("some_refused", F.lit(dropped > 0))
 
 
 @_query
 def save_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.enriched_events(spark, sf_dir)
-    return _streamed(spark, events, streams.save_enriched, "enriched_events")
+    return _streamed(spark, events, streams.save_enriched, "enriched_events", **_unusable(spark))
 
 
 @_query
@@ -182,7 +266,7 @@ def tumbling_counts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def window_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.lake_events(spark, sf_dir).select("event_id", "timestamp")
-    return first_per_window(events, 3, window="1 hour")
+    return mark_over_cap(events, 3, window="1 hour")
 
 
 # Messages and layouts
@@ -216,9 +300,8 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def store_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log_dir, lake, checkpoint = (scratch_path(spark, x) for x in ("log", "lake", "checkpoint"))
-    publish(frames.enriched_events(spark, sf_dir), log_dir, format="text")
-    log = read_log(spark, log_dir, format="text")
+    lake, checkpoint = (scratch_path(spark, x) for x in ("lake", "checkpoint"))
+    log = _timed_log(spark, frames.enriched_events(spark, sf_dir))
     run_for(streams.store_log(log, lake, checkpoint, trigger=_DRAIN))
     return read_lake(spark, lake)
 
@@ -241,7 +324,7 @@ def _doubtful_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     message = F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
     payload = F.when(k < 10, F.concat(F.lit("not json "), "event_id")).otherwise(message)
-    return frames.source_events(spark, sf_dir, heavy=True).select(payload.alias("payload"))
+    return frames.source_events(spark, sf_dir).select(payload.alias("payload"))
 
 
 @_query
@@ -259,7 +342,7 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = with_quality_flags(frames.enriched_events(spark, sf_dir))
+    flagged = with_quality_flags(frames.doubtful_events(spark, sf_dir))
     return flagged.select("event_id", F.array_join("quality_flags", ",").alias("flags"))
 
 
@@ -274,6 +357,9 @@ def normalize_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_events(items(pages.select("endpoint", "page.*")))
 
 
+_NO_PAUSE = {"pause": 0.0}
+
+
 @_query
 def ingest_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages -> raw log -> enrichment -> lake, all as streams."""
@@ -282,14 +368,95 @@ def ingest_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages.write.partitionBy("endpoint").text(landed)
     raw = f"{base}/raw"
     listing = read_listings(spark, landed, streaming=True)
-    run_for(streams.ingest_listings(listing, raw, f"{base}/c1", trigger=_DRAIN, format="text"))
+    run_for(
+        streams.ingest_listings(
+            listing, raw, f"{base}/c1", trigger=_DRAIN, format="text", quarantine=f"{base}/odd"
+        )
+    )
     outputs = streams.Outputs(f"{base}/enriched", f"{base}/dlq", f"{base}/bad", format="text")
-    log = read_log(spark, f"{raw}/*", format="text")
-    run_for(streams.enrich_log(log, LengthProvider, outputs, f"{base}/c2", trigger=_DRAIN))
-    log = read_log(spark, f"{base}/enriched/*", format="text")
+    log = read_log(spark, raw, format="text")
+    run_for(streams.enrich_log(log, LengthProvider, outputs, f"{base}/c2", trigger=_DRAIN, **_NO_PAUSE))
+    log = read_log(spark, outputs.enriched, format="text")
     run_for(streams.store_log(log, f"{base}/lake", f"{base}/c3", trigger=_DRAIN))
-    columns = ("event_id", "event_type", "timestamp", "enrichment_sentiment", "enrichment_topics")
-    return read_lake(spark, f"{base}/lake").select(*columns)
+    return read_lake(spark, f"{base}/lake")
+
+
+def _is_damaged():
+    """Which of ``_doubtful_payloads`` cannot be used, whatever the reason."""
+    return (F.col("k") < 40) | F.col("k").between(50, 59) | F.col("k").between(70, 74)
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> streams.Outputs:
+    """Documents and damaged messages through the routed stream."""
+    base, log_dir = scratch_path(spark, "routes"), scratch_path(spark, "log")
+    publish(frames.document_events(spark, sf_dir), log_dir, format="text")
+    damaged = _doubtful_payloads(spark, sf_dir).filter(_is_damaged())
+    damaged.select(F.col("payload").alias("value")).write.mode("append").text(log_dir)
+    outputs = streams.Outputs(f"{base}/ok", f"{base}/dlq", f"{base}/bad", format="text")
+    log = read_log(spark, log_dir, format="text", batch_limit=2)
+    run_for(streams.enrich_log(log, LengthProvider, outputs, f"{base}/c", trigger=_DRAIN, **_NO_PAUSE))
+    return outputs
+
+
+def _read_json(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(folder)
+
+
+@_query
+def route_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose enrichment failed, as published."""
+    dead = read_log(spark, _routed(spark, sf_dir).dead_letter, format="text", streaming=False)
+    return flatten_enriched(decode(dead, ENRICHED_EVENT))
+
+
+@_query
+def route_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that are no valid events, as published."""
+    bad = _read_json(spark, _routed(spark, sf_dir).quarantine, "payload string, reasons array<string>")
+    return bad.select("payload", F.array_join("reasons", ",").alias("reasons"))
+
+
+@_query
+def log_of_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with checkpoints of their own publish into one log; it holds both."""
+    base = scratch_path(spark, "logs")
+    for number in range(2):
+        part = frames.listing_messages(spark, sf_dir).filter(
+            F.col("endpoint") == ("new" if number else "comments")
+        )
+        part.write.partitionBy("endpoint").text(f"{base}/pages{number}")
+        pages = read_listings(spark, f"{base}/pages{number}", streaming=True)
+        query = streams.ingest_listings(
+            pages,
+            f"{base}/raw",
+            f"{base}/c{number}",
+            trigger=_DRAIN,
+            format="text",
+            quarantine=f"{base}/odd",
+        )
+        run_for(query)
+    log = read_log(spark, f"{base}/raw", format="text", streaming=False)
+    return flatten_raw(decode(log, RAW_EVENT))
+
+
+def _damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = scratch_path(spark, "listings")
+    pages = frames.damaged_listings(spark, sf_dir)
+    pages.select("endpoint", "body").write.partitionBy("endpoint").text(landed)
+    return read_listings(spark, landed)
+
+
+@_query
+def damaged_listing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    usable, _ = split_items(_damaged_pages(spark, sf_dir))
+    return to_events(usable)
+
+
+@_query
+def damaged_listing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = split_items(_damaged_pages(spark, sf_dir))
+    reasons = F.array_join("reasons", ",").alias("reasons")
+    return rejected.groupBy("endpoint", reasons).agg(F.count("*").alias("children"))
 
 
 @_query
@@ -325,13 +492,29 @@ def incremental_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def poll_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A poll on top of a store that holds everything ten days earlier."""
+    """A poll on top of stored marks: everything ten days earlier was taken before."""
     events = frames.lake_events(spark, sf_dir).select("posted_in_subreddit", "timestamp", "event_id")
-    stored = events.withColumn("timestamp", F.col("timestamp") - F.expr("interval 10 days"))
-    marks = cursor.high_water_marks(stored, "posted_in_subreddit")
+    earlier = events.withColumn("timestamp", F.col("timestamp") - F.expr("interval 10 days"))
+    path = scratch_path(spark, "marks")
+    cursor.save_marks(cursor.high_water_marks(earlier, "posted_in_subreddit"), path, 0)
+    marks = cursor.read_marks(spark, path, 0)
     return cursor.after_marks(events, marks, "posted_in_subreddit")
 
 
+@_query
+def poll_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polls of a hundred per group, the marks moved on in between."""
+    events = frames.lake_events(spark, sf_dir).select("posted_in_subreddit", "timestamp", "event_id")
+    path, group, taken = scratch_path(spark, "marks"), "posted_in_subreddit", None
+    cursor.save_marks(cursor.high_water_marks(events.limit(0), group), path, 0)
+    for number in range(2):
+        marks = cursor.read_marks(spark, path, number)
+        found = cursor.poll(events, marks, group).withColumn("poll", F.lit(number))
+        cursor.save_marks(cursor.advance_marks(marks, found, group), path, number + 1)
+        taken = found if taken is None else taken.unionByName(found)
+    return taken
+
+
 @_query
 def poll_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.lake_events(spark, sf_dir).select("posted_in_subreddit", "timestamp", "event_id")
@@ -341,9 +524,13 @@ def poll_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Enrichment
 
 
+# Small enough that a source has several pieces in every given table.
+PIECE = 192
+
+
 def _chunked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = frames.documents(spark, sf_dir).withColumn("text", prompt_text(F.col("title"), F.col("content")))
-    piece = F.floor(F.col("doc_id") / 65536)
+    piece = F.floor(F.col("doc_id") / PIECE)
     return enrich.chunk_columns(docs, "title", ["doc_id"], piece)
 
 
@@ -372,7 +559,7 @@ def enrich_dummy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.enrich(frames.documents(spark, sf_dir), LengthProvider)
+    return enrich.enrich(frames.documents(spark, sf_dir), LengthProvider, **_NO_PAUSE)
 
 
 @_query
@@ -386,6 +573,13 @@ def enrich_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def enrich_odd_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short lists, nulls, wrong types and values without a JSON form: each fails alone."""
+    asked = enrich.enrich(frames.documents(spark, sf_dir), OddProvider, **_NO_PAUSE)
+    return asked.select("doc_id", "status", "reason", "attempts", F.col("enrichment.topics").alias("topics"))
+
+
 @_query
 def enrich_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.outcome_counts(_asked(spark, sf_dir), "title")
@@ -404,9 +598,7 @@ def _reposts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def insert_ignore_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = TABLES["raw_events"]
-    reposts = _reposts(spark, sf_dir).dropDuplicates(list(table.keys))
-    fresh = new_rows(reposts, frames.raw_events(spark, sf_dir), table.keys)
-    return fresh.select("event_id", "timestamp", "score")
+    return new_rows(_reposts(spark, sf_dir), frames.raw_events(spark, sf_dir), table.keys)
 
 
 @_query
@@ -416,7 +608,7 @@ def insert_ignore_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_table(frames.raw_events(spark, sf_dir), table, path)
     for _ in range(2):
         insert_ignore(_reposts(spark, sf_dir), table, path)
-    return read_table(spark, table, path).select("event_id", "timestamp", "score")
+    return read_table(spark, table, path).drop("chunk_start")
 
 
 @_query
@@ -424,7 +616,7 @@ def append_only_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, path = TABLES["raw_events"], scratch_path(spark, "raw_events")
     for _ in range(2):
         append_table(frames.raw_events(spark, sf_dir), table, path)
-    return read_table(spark, table, path).select("event_id", "timestamp", "score")
+    return read_table(spark, table, path).drop("chunk_start")
 
 
 @_query
@@ -446,6 +638,18 @@ def event_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rates(spark, sf_dir)
 
 
+@_query
+def event_rates_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of stored raw and enriched events, from tables to a table."""
+    tables, output = scratch_path(spark, "tables"), scratch_path(spark, "rates")
+    append_table(frames.raw_events(spark, sf_dir), TABLES["raw_events"], f"{tables}/raw_events")
+    enriched = frames.enriched_events(spark, sf_dir).filter("enrichment is not null")
+    flat = flatten_enriched(enriched.select(F.struct(*ENRICHED_EVENT).alias("data")))
+    append_table(flat, TABLES["enriched_events"], f"{tables}/enriched_events")
+    run_rates(spark, tables, output)
+    return read_table(spark, TABLES["event_rates"], f"{output}/event_rates").drop("chunk_start")
+
+
 @_query
 def rate_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.latest_rate(_rates(spark, sf_dir))
