@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import logging
 import re
 import shutil
 import tempfile
@@ -12,6 +13,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_log = logging.getLogger(__name__)
+
 SETTINGS = {
     # Day and hour buckets must not depend on where a job runs.
     "spark.sql.session.timeZone": "UTC",
@@ -80,7 +83,8 @@ def _local_base(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables in the cluster's shared folder.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a single-process
+    The folder is the session's ``spark.checkpoint.dir``, with one folder in it
+    for each application, deleted when its Python ends. Only a single-process
     master may do without one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -88,7 +92,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_base(spark)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/chatterloom-{spark.sparkContext.applicationId}"
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        atexit.register(_clean, spark, folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+_CLEANED: set[str] = set()
+
+
+def _clean(spark: SparkSession, folder: str) -> None:
+    """Deletes an application's folder at the end; a session that is gone already leaves it."""
+    try:
+        delete_path(spark, folder)
+    except Exception:
+        _log.warning("left behind: %s", folder)
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -14,7 +14,7 @@ def _session(**conf):
 
 def test_scratch_folder_is_the_shared_one():
     on_cluster = _session(**{"spark.checkpoint.dir": "s3a://shared/tmp/", "spark.master": "yarn"})
-    assert scratch_path(on_cluster, "x").startswith("s3a://shared/tmp/x-")
+    assert scratch_path(on_cluster, "x").startswith("s3a://shared/tmp/chatterloom-test-app/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(_session(**{"spark.master": "yarn"}), "x")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
