@@ -11,8 +11,9 @@ coordinate differs by more than the radius, and the survivors are verified on th
 * ``EXACT``: one word, radius 2. Four blocks of 16 bits; two flipped bits leave two blocks untouched, so the six pairs
   of blocks find every link. Buckets over ``bucket_rows`` are dealt again by the halves, then the quarters of their
   other blocks; after that a bucket has 8 free bits, 256 fingerprints at most. Nothing is lost and no task is large.
-* ``BANDED``: several words (independent SimHashes), three bands of 20 bits in each word; links at an estimated
-  similarity. A pair at similarity 0.9 shares a band with a probability over 0.99, at 0.8 about 0.85.
+* ``banded()``: several words (independent SimHashes), three bands of 20 bits in each word; links at an estimated
+  similarity. A pair at similarity 0.9 shares a band with a probability over 0.99, at 0.8 about 0.85. Band rows carry
+  one other word; a row without a partner in that word is discarded before fingerprints are moved.
 
 Only distinct fingerprints are compared, and a bucket yields a spanning forest of its links, never all pairs.
 Null and blank texts have fingerprint zero, which is linked like any other; repeated rows share a component.
@@ -27,11 +28,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatterloom.llm.common import free_name, store
+from chatterloom.llm.common import free_name, map_arrow, map_pandas, shuffle_partitions, store
 from chatterloom.llm.components import components
 
 _SEED = 42
@@ -78,26 +80,28 @@ def shingle_hashes(text: str | None, size: int) -> np.ndarray:
 
 
 def _bit_counts(values: np.ndarray) -> np.ndarray:
-    """How often each of 64 bits is set: byte-wide lanes add up 255 values at a time."""
-    counts = np.zeros((8, 8), np.int64)
-    for at in range(0, len(values), 255 * 256):
-        part = values[at : at + 255 * 256]
-        padded = np.zeros(-(-len(part) // 255) * 255, np.uint64)
-        padded[: len(part)] = part
-        rows = padded.reshape(-1, 255)
+    """How often each of 64 bits is set in each row: byte-wide lanes add up 255 values at a time."""
+    words, n = values.shape
+    counts = np.zeros((words, 8, 8), np.int64)  # word, byte, bit
+    for at in range(0, n, 255 * 64):
+        part = values[:, at : at + 255 * 64]
+        padded = np.zeros((words, -(-part.shape[1] // 255) * 255), np.uint64)
+        padded[:, : part.shape[1]] = part
+        blocks = padded.reshape(words, -1, 255)
         for k in range(8):
-            lanes = ((rows >> np.uint64(k)) & _BYTE_LANES).sum(axis=1, dtype=np.uint64)
-            counts[:, k] += lanes.view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64)
-    return counts.reshape(64)
+            lanes = ((blocks >> np.uint64(k)) & _BYTE_LANES).sum(axis=2, dtype=np.uint64)
+            counts[:, :, k] += lanes.view(np.uint8).reshape(words, -1, 8).sum(axis=1, dtype=np.int64)
+    return counts.reshape(words, 64)
 
 
-def _remix(values: np.ndarray, word: int) -> np.ndarray:
-    """Another hash of the same shingles for each further word."""
-    if word == 0:
-        return values
-    mixed = (values ^ np.uint64(word * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+def _remixed(values: np.ndarray, words: int) -> np.ndarray:
+    """The hashes, then other hashes of the same shingles for each further word."""
+    number = np.arange(words, dtype=np.uint64)[:, None]
+    mixed = (values ^ (number * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
     mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    return mixed ^ (mixed >> np.uint64(29))
+    mixed ^= mixed >> np.uint64(29)
+    mixed[0] = values
+    return mixed
 
 
 def fingerprint(text: str | None, plan: Plan) -> bytes:
@@ -105,8 +109,10 @@ def fingerprint(text: str | None, plan: Plan) -> bytes:
     hashes = shingle_hashes(text, plan.shingle)
     if not len(hashes):
         return bytes(8 * plan.words)
-    bits = [2 * _bit_counts(_remix(hashes, w)) > len(hashes) for w in range(plan.words)]
-    return np.packbits(np.concatenate(bits), bitorder="little").view("<u8").astype(">u8").tobytes()
+    counts = np.zeros((plan.words, 64), np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        counts += _bit_counts(_remixed(hashes[at : at + (1 << 16)], plan.words))
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8").astype(">u8").tobytes()
 
 
 def fingerprints(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -118,7 +124,7 @@ def fingerprints(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col:
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return store(narrow.mapInPandas(work, f"id {kind}, fp binary"), "fingerprints")
+    return store(map_pandas(narrow, work, f"id {kind}, fp binary"), "fingerprints")
 
 
 # The distance table and its buckets
@@ -190,7 +196,7 @@ def _bucket_rows(nodes: DataFrame, plan: Plan, level: int) -> DataFrame:
                     yield pd.DataFrame({"key": keys, "group": number, "node": mine["node"], "fp": mine["fp"]})
 
     columns = ["node", "fp"] if level == 0 else ["node", "fp", "group"]
-    return nodes.select(*columns).mapInPandas(work, "key bigint, group int, node bigint, fp binary")
+    return map_pandas(nodes.select(*columns), work, "key bigint, group int, node bigint, fp binary")
 
 
 def forest(fps: np.ndarray, refs: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -223,7 +229,7 @@ def _bucket_edges(rows: DataFrame, plan: Plan) -> DataFrame:
 
     buckets = rows.groupBy("key").agg(F.collect_list(F.struct("node", "fp")).alias("members"))
     lists = buckets.select(F.col("members.node").alias("nodes"), F.col("members.fp").alias("fps"))
-    return lists.mapInPandas(work, "u bigint, v bigint")
+    return map_pandas(lists, work, "u bigint, v bigint")
 
 
 def _in_blocks(shared: DataFrame, limit: int) -> DataFrame:
@@ -237,23 +243,89 @@ def _in_blocks(shared: DataFrame, limit: int) -> DataFrame:
     return shared.filter(F.col("n") <= limit).unionByName(dealt)
 
 
+def _band_rows(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """``key``, ``node``, ``sketch`` for every band: the sketch is a word that the band is no part of."""
+    groups, refs = _level_groups(plan)[0], pivots(plan.words)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fps = _as_words(batch.column("fp").to_pylist(), plan.words)
+            codes = _unit_codes(distances(fps, refs))
+            for number, group in enumerate(groups):
+                sketch = np.ascontiguousarray(fps[:, (group[0] // 16 + 1) % plan.words]).view(np.int64)
+                keys = _keys(codes, group, number)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("node"), pa.array(sketch)], names=["key", "node", "sketch"])
+
+    return map_arrow(nodes.select("node", "fp"), work, "key bigint, node bigint, sketch bigint")
+
+
+def partnered(keys: np.ndarray, sketches: np.ndarray, most: int) -> np.ndarray:
+    """Of rows in the order of their keys, those whose sketch is within ``most`` bits of another's of the same key."""
+    near = np.zeros(len(keys), np.bool_)
+    change = np.concatenate(([True], keys[1:] != keys[:-1], [True]))
+    first = np.nonzero(change)[0]
+    bucket, size = np.cumsum(change[:-1]) - 1, np.diff(first)
+    at, gap = np.nonzero(size[bucket] > 1)[0], 1
+    while len(at):
+        at = at[bucket[np.minimum(at + gap, len(keys) - 1)] == bucket[at]]
+        at = at[at + gap < len(keys)]
+        close = np.bitwise_count(sketches[at] ^ sketches[at + gap]) <= most
+        near[at[close]] = near[at[close] + gap] = True
+        gap += 1
+        lacking = np.add.reduceat(~near, first[:-1]) > 0  # buckets that still have rows without a partner
+        at = at[lacking[bucket[at]]]
+    return near
+
+
+def _partnered_rows(rows: DataFrame, plan: Plan) -> DataFrame:
+    """``key``, ``node`` of the band rows that may have a partner: the others are discarded before fingerprints move."""
+    most = 3 * plan.radius // (2 * plan.words) + 6  # in one word: over three deviations above the radius' share
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            keys = table.column("key").to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last bucket may go on
+            rest = table.slice(cut)
+            yield from kept(table.slice(0, cut))
+        if rest is not None:
+            yield from kept(rest)
+
+    def kept(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, sketches = table.column("key").to_numpy(), table.column("sketch").to_numpy().view(np.uint64)
+        if len(keys):
+            near = partnered(keys, sketches, most)
+            yield from table.select(["key", "node"]).filter(pa.array(near)).combine_chunks().to_batches()
+
+    dealt = rows.repartition(shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key")
+    return map_arrow(dealt, work, "key bigint, node bigint")
+
+
+def _banded_links(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """Bands are compared by sketches first; only what has a partner there is grouped with its fingerprint."""
+    near = store(_partnered_rows(_band_rows(nodes, plan), plan), "partners")
+    sizes = near.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    shared = near.join(sizes.hint("merge"), "key").join(nodes.select("node", "fp").hint("merge"), "node")
+    return _bucket_edges(_in_blocks(shared, plan.bucket_rows), plan)
+
+
 def links(nodes: DataFrame, plan: Plan) -> DataFrame:
     """Edges ``u``, ``v`` over distinct fingerprints (``node``, ``fp``) that span the components of all links."""
+    if plan.banded:
+        return store(_banded_links(nodes, plan), "links")
     found, rows = [], _bucket_rows(nodes, plan, 0)
     last = len(_level_groups(plan)) - 1
     for level in range(last + 1):
         rows = store(rows, "buckets")
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         shared = store(rows.join(sizes, "key"), "shared")
-        if plan.banded:
-            small = _in_blocks(shared, plan.bucket_rows)
-        else:
-            small = shared if level == last else shared.filter(F.col("n") <= plan.bucket_rows)
-        found.append(store(_bucket_edges(small.drop("n", "group"), plan), "links"))
-        if level == last:
-            break
+        small = shared if level == last else shared.filter(F.col("n") <= plan.bucket_rows)
+        found.append(store(_bucket_edges(small, plan), "links"))
         large = shared.filter(F.col("n") > plan.bucket_rows)
-        if large.isEmpty():
+        if level == last or large.isEmpty():
             break
         rows = _bucket_rows(large, plan, level + 1)
     return reduce(DataFrame.unionByName, found)
