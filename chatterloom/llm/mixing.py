@@ -161,7 +161,8 @@ def allot(
     for one in settled:
         decided = decided.unionByName(one)
     whole = F.when(F.col("size") == 0, F.round("rate").cast("int")).when(F.col("size") - F.col("mass") <= _TINY, F.col("base") + 1).otherwise(F.col("base"))
-    found = wanted.join(decided, "row", "left").select(
+    # One row for each document: a merge join, whatever the files' size.
+    found = wanted.join(decided.hint("merge"), "row", "left").select(
         "row", "size", "source_size", "target",
         F.coalesce(F.col("base") + F.col("up"), whole).alias("copies"), F.coalesce("part", F.lit(0)).alias("part"),
     )
@@ -174,4 +175,4 @@ def mix(docs: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
     docs = docs.withColumn(size, word_count(F.col(text_col)))
     stored, found, row = allot(docs, size_col=size, last="round", **options)
     copies = found.filter("copies > 0").select(row, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
-    return stored.join(copies.select(row), row).select(*(F.col(f"`{c}`") for c in names))
+    return stored.join(copies.select(row).hint("merge"), row).select(*(F.col(f"`{c}`") for c in names))

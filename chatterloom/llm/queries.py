@@ -32,7 +32,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.coalesce(F.col("id") > ((low or 0) + (high or 0)) // 2, F.lit(False))
     index.admit(rows.filter(later))
     index.admit(rows.filter(~later))
-    return exact_dedup.verdicts(rows, index).withColumnRenamed("id", "doc_id")
+    found = exact_dedup.verdicts(rows, index)
+    index.close()  # the groups are stored
+    return found.withColumnRenamed("id", "doc_id")
 
 
 ORACLE["op10_exact_dedup"] = """
@@ -60,7 +62,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     stored, found, row = mixing.allot(narrow)
     taken = F.col("copies") * F.col("size") + F.col("part")
-    joined = stored.select("doc_id", row).join(found, row)
+    joined = stored.select("doc_id", row).join(found.hint("merge"), row)
     return joined.select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
 
 
