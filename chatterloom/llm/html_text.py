@@ -462,9 +462,15 @@ def main_text(pages: list[Page], weights: Weights) -> list[str]:
 
 
 def sentences_of(pages: DataFrame, id_col: str, html_col: str, sample: int) -> list[str]:
-    """Sentences of a bounded sample of pages: ``sample`` pages, the first 400 sentences of each; trained on, never a result."""
-    ranked = pages.filter(F.col(html_col).isNotNull()).select(id_col, html_col)
-    rows = ranked.orderBy(F.xxhash64(id_col), id_col).limit(sample).collect()
+    """Sentences of a bounded sample: the pages of ``sample`` ids (twice as many pages at most, where ids repeat).
+
+    The first 400 sentences of a block are taken. They are trained on, never a result.
+    """
+    known = pages.filter(F.col(html_col).isNotNull() & F.col(id_col).isNotNull())
+    # The ids first, so that a task sends the driver numbers and not pages.
+    picked = known.select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).collect()
+    chosen = known.filter(F.col(id_col).isin([r[0] for r in picked])).select(id_col, html_col)
+    rows = sorted(chosen.limit(2 * sample).collect(), key=lambda r: (r[0], r[1]))
     texts = [text for row in rows for _, text in parse(row[1]).blocks]
     return [s for text in texts for s in re.split(r"(?<=[.!?])\s+", text)[:400] if s.count(" ") >= 3]
 
