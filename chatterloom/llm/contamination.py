@@ -8,12 +8,13 @@ search, word by word: the last range that is not empty gives the longest verbati
 A window is 13 consecutive words of an item, or the whole item if it is shorter (but not empty). A document word inside
 any occurrence of a window is hit. A document is contaminated when ``n_hit > 0`` and ``20 * n_hit >= n_words``.
 
-The suffix array leaves out suffixes that no item can match in a whole window: a word that no item has ends a run, and a
-suffix is kept only if its run goes on for the shortest window. That changes no result.
+The suffix array leaves out suffixes that no item can match in a whole window: a word that no item has ends a run, and
+runs shorter than the shortest window are left out. That changes no result.
 
 The benchmark is the stated query set. It goes to the tasks in blocks of at most ``block_words`` words, one pass over
-the corpus for each block; the passes are merged by document. Null texts have no words. Rows that repeat are judged
-each for itself. Output columns replace columns of the same name.
+the corpus for each block; the passes are merged by document. Null texts have no words, and an item without an id or
+without words is none. Items with one id count once. Rows that repeat are judged each for itself. Output columns replace
+columns of the same name.
 """
 
 from __future__ import annotations
@@ -29,22 +30,22 @@ from pyspark.sql import functions as F
 from chatterloom.llm.common import free_name, map_arrow, store, without
 
 WINDOW = 13
-_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+# On UTF-8: bytes of other than ASCII characters are all inside words, and ``lower`` of bytes changes A-Z alone.
+_WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 VERDICT = ("n_words", "n_hit", "n_items", "items", "longest_match", "matches")
 _SPAN = pa.struct([("item_id", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())])
 
 
-def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").translate(_LOWER))
+def words(text: bytes | None) -> list[bytes]:
+    return _WORD.findall((text or b"").lower())
 
 
 class TestBlock:
     """Items of one block: their words as numbers, and one query for each suffix that starts a window."""
 
-    def __init__(self, items: list[tuple[str, list[str]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
         self.ids = [item for item, _ in items]
-        self.codes: dict[str, int] = {}
+        self.codes: dict[bytes, int] = {}
         number, at, item, length, room = [], [], [], [], []
         for i, (_, its) in enumerate(items):
             start, need = len(number), min(window, len(its))
@@ -122,7 +123,7 @@ def _extend(codes: np.ndarray, tests: TestBlock, query: np.ndarray, place: np.nd
     return length
 
 
-def match_shard(texts: list[str | None], tests: TestBlock, window: int = WINDOW) -> list[tuple]:
+def match_shard(texts: list[bytes | None], tests: TestBlock, window: int = WINDOW) -> list[tuple]:
     """Per document: n_words, n_hit, item numbers, longest match, maximal matches (item, item word, doc word, words)."""
     lookup, counts, numbers = tests.codes.get, [], []
     for text in texts:
@@ -132,18 +133,24 @@ def match_shard(texts: list[str | None], tests: TestBlock, window: int = WINDOW)
         numbers.append(np.zeros(1, np.int32))  # matches end with the document
     codes = np.concatenate(numbers)
     first = np.concatenate(([0], np.cumsum(np.array(counts) + 1)))
+    # Runs of words that items have, if long enough for a window, each with the 0 behind it.
     ends = np.nonzero(codes == 0)[0]
-    run = ends[np.searchsorted(ends, np.arange(len(codes)))] - np.arange(len(codes))
-    starts = np.nonzero(run >= max(tests.shortest, 1))[0] if len(tests.at) else np.empty(0, np.int64)
+    length = np.diff(ends, prepend=-1) - 1
+    kept = ends[length >= max(tests.shortest, 1)] if len(tests.at) else ends[:0]
+    size = length[length >= max(tests.shortest, 1)] + 1 if len(kept) else kept
+    back = np.repeat(kept - np.cumsum(size) + 1, size) + np.arange(size.sum())  # their places in the shard
+    runs = codes[back]
+    until = np.repeat(np.cumsum(size), size) - np.arange(len(runs)) - 1
+    starts = np.nonzero(until >= tests.shortest)[0] if len(kept) else kept
     queries, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     if len(starts):
-        order = suffix_array(codes, starts, window)
-        for depth, query, low, high in search(codes, order, tests, window):
+        order = suffix_array(runs, starts, window)
+        for depth, query, low, high in search(runs, order, tests, window):
             whole = tests.length[query] == depth
             spread = (high - low)[whole]
             queries.append(np.repeat(query[whole], spread))
             offset = np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
-            places.append(order[np.repeat(low[whole], spread) + offset])
+            places.append(back[order[np.repeat(low[whole], spread) + offset]])
     query, place = np.concatenate(queries), np.concatenate(places)
     span = _extend(codes, tests, query, place, tests.length[query])
     doc = np.searchsorted(first, place, "right") - 1
@@ -173,7 +180,7 @@ def match_shard(texts: list[str | None], tests: TestBlock, window: int = WINDOW)
 def _test_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> Iterator[TestBlock]:
     """The benchmark in blocks; the driver holds one block (and one item over it) at a time."""
     block, size = [], 0
-    for row in benchmark.select(F.col(item_col).cast("string"), text_col).toLocalIterator():
+    for row in benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("binary")).toLocalIterator():
         its = words(row[1])
         if its and row[0] is not None:
             block.append((row[0], its))
@@ -190,7 +197,7 @@ def _pass(docs: DataFrame, text_col: str, tests: TestBlock, shard_bytes: int, ke
 
     def judged(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
-        found = match_shard(rows.column(text_col).to_pylist(), tests)
+        found = match_shard(rows.column(text_col).cast(pa.binary()).to_pylist(), tests)
         out = rows.select(keep)
         spans = [[{"item_id": tests.ids[i], "item_word": a, "doc_word": b, "n_words": n} for i, a, b, n in f[4]] for f in found]
         for name, values in (
