@@ -125,8 +125,10 @@ def by_key(df: DataFrame, key: str, work: Callable[[int, pa.Table], Iterator[pa.
         if held:
             yield from work(current, pa.Table.from_batches(held))
 
+    # By a hash of the key: rows that are grouped by the key already would stay as they are, and adaptive execution
+    # would join tasks by the size of the rows, which says nothing of the work.
     partitions = shuffle_partitions(df.sparkSession)
-    return map_arrow(df.repartition(partitions, key).sortWithinPartitions(key), run, schema)
+    return map_arrow(df.repartition(partitions, F.xxhash64(key)).sortWithinPartitions(key), run, schema)
 
 
 def bucket_count(store: ChunkStore, per_bucket: int = 16 << 20) -> int:

@@ -38,7 +38,7 @@ LEAST, ANCHOR = 50, 24
 _PER = LEAST - ANCHOR + 1  # anchors that a string can have, so a span has so many strings at most
 _WIDEST = LEAST + _PER - 1
 _PLACE = 28  # bits of the position in the sliding minimum; pieces of texts stay below
-_PIECE = 4 << 20
+_PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_ODD), -1, 2**64))
 _BYTES = np.random.default_rng(977).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
