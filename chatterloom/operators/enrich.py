@@ -137,26 +137,33 @@ def pack_prompts(chunked: DataFrame, group: str, text: str = "text") -> DataFram
 class _Caller:
     """Calls a provider within a time limit, and again after a pause.
 
-    A call that does not return is left behind in its own thread.
+    One thread makes the calls. If one does not return, that thread is left
+    behind and another takes its place.
     """
 
     def __init__(self, provider: Provider, attempts: int, pause: float, limits: tuple[float, float]):
         self.provider, self.attempts, self.pause = provider, attempts, pause
         self.chunk_limit, self.single_limit = limits
+        self.queues: tuple[queue.Queue, queue.Queue] | None = None
 
-    def _call(self, texts: list[str], limit: float) -> Any:
-        outcome: queue.Queue = queue.Queue()
-
-        def work() -> None:
+    def _serve(self, asked: queue.Queue, answers: queue.Queue) -> None:
+        while True:
+            texts = asked.get()
             try:
-                outcome.put((self.provider.enrich(texts), None))
+                answers.put((self.provider.enrich(texts), None))
             except Exception as failure:
-                outcome.put((None, failure))
+                answers.put((None, failure))
 
-        threading.Thread(target=work, daemon=True).start()
+    def _call(self, texts: list[str], limit: float) -> Any:
+        if self.queues is None:
+            self.queues = queue.Queue(), queue.Queue()
+            threading.Thread(target=self._serve, args=self.queues, daemon=True).start()
+        asked, answers = self.queues
+        asked.put(texts)
         try:
-            replies, failure = outcome.get(timeout=limit)
+            replies, failure = answers.get(timeout=limit)
         except queue.Empty:
+            self.queues = None
             raise TimeoutError from None
         if failure is not None:
             raise failure
