@@ -1,0 +1,183 @@
+"""Near-duplicates by the Jaccard similarity of shingle sets: candidates by MinHash bands, links by the sets themselves.
+
+Each text has ``BANDS`` x ``WIDTH`` minima of its shingles' hashes. Texts that agree on all minima of a band share a
+bucket: at similarity 0.8 a pair misses all 32 bands of 6 with a probability of 0.00006. Of each pair in a bucket the
+sketches (a byte of each minimum) are compared; what may reach the similarity (the bound is five deviations below it) is
+verified on the sets of shingles of both texts. Nothing is linked by an estimate.
+
+Only distinct sets are compared. Null and blank texts have the empty set, which equals itself.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chatterloom.llm.common import map_arrow, store
+from chatterloom.llm.components import components
+
+_SEED = 42
+BANDS, WIDTH = 32, 6
+_N = BANDS * WIDTH
+_DRAWN = np.random.default_rng(60601).integers(0, 2**63, (2, _N, 1), dtype=np.uint64)
+_FLIPS, _FACTORS = _DRAWN[0], _DRAWN[1] << np.uint64(1) | np.uint64(1)
+_AT_ONCE = 4096
+
+
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """XXH64 of every shingle of the whole text, repeats included."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate(([0], ends[:-1]))
+    n = max(len(words) - size + 1, 1)
+    digest = xxhash.xxh64_intdigest
+    spans = zip(starts[:n].tolist(), (ends[min(size, len(words)) - 1 :] - 1).tolist(), strict=True)
+    return np.fromiter((digest(joined[a:b], _SEED) for a, b in spans), np.uint64, n)
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, size))
+
+
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The least of each of ``BANDS`` x ``WIDTH`` other hashes (32 bits) of the shingles."""
+    least = np.full(_N, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), _AT_ONCE):
+        mixed = (hashes[None, at : at + _AT_ONCE] ^ _FLIPS) * _FACTORS
+        np.minimum(least, mixed.min(axis=1), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32)
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each band."""
+    mix = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in least.reshape(BANDS, WIDTH).T.astype(np.uint64):
+        mix = (mix ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        mix ^= mix >> np.uint64(29)
+    return mix.view(np.int64)
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets (sorted, distinct) have this Jaccard similarity."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both)
+
+
+def least_agreeing(similarity: float) -> int:
+    """Of the minima of a pair at ``similarity``, as many agree with all but a probability of some 10^-7."""
+    return int(_N * similarity - 5.2 * np.sqrt(_N * similarity * (1 - similarity)))
+
+
+def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``fp`` (digest of the set), ``sketch`` and ``bands`` of every row, stored; no bands of an empty set."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, sketches, bands = [], [], []
+            for text in batch.column("text").to_pylist():
+                own = shingle_set(text, size)
+                least = minima(own)
+                fps.append(xxhash.xxh3_128_digest(own.tobytes()))
+                sketches.append(least.astype(np.uint8).tobytes())
+                bands.append(band_keys(least) if len(own) else [])
+            arrays = [batch.column("id"), pa.array(fps, pa.binary()), pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "fp", "sketch", "bands"])
+
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return store(map_arrow(narrow, work, "id bigint, fp binary, sketch binary, bands array<bigint>"), "sets")
+
+
+def _in_blocks(shared: DataFrame, limit: int) -> DataFrame:
+    """Deals a bucket of more rows than ``limit`` as pairs of its blocks, so that any two rows still meet."""
+    blocks = F.ceil(F.col("n") / (limit // 2)).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = shared.filter(F.col("n") > limit).withColumn("block", block)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    key = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    dealt = dealt.withColumn("key", key).drop("block", "other")
+    return shared.filter(F.col("n") <= limit).unionByName(dealt)
+
+
+def _bucket_pairs(rows: DataFrame, agreeing: int) -> DataFrame:
+    """``u``, ``v``: all pairs of a bucket (``key``, ``node``, ``root``, ``sketch``) that may be similar, of different roots."""
+
+    def pairs(nodes: list[int], roots: list[int], sketches: list[bytes]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(np.array(nodes), kind="stable")
+        ids, own = np.array(nodes)[order], np.array(roots)[order]
+        grid = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, _N)[order]
+        us, vs, held = [], [], 0
+        for i in range(len(ids) - 1):
+            rest = np.nonzero(own[i + 1 :] != own[i])[0] + i + 1
+            near = rest[(grid[rest] == grid[i]).sum(axis=1) >= agreeing]
+            us.append(np.full(len(near), ids[i]))
+            vs.append(ids[near])
+            held += len(near)
+            if held > 1 << 16:
+                yield batch_of(us, vs)
+                us, vs, held = [], [], 0
+        if held:
+            yield batch_of(us, vs)
+
+    def batch_of(us, vs) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = (batch.column(name).to_pylist() for name in ("nodes", "roots", "sketches"))
+            for one in zip(*members, strict=True):
+                yield from pairs(*one)
+
+    buckets = rows.groupBy("key").agg(F.collect_list(F.struct("node", "root", "sketch")).alias("m"))
+    lists = buckets.select(F.col("m.node").alias("nodes"), F.col("m.root").alias("roots"), F.col("m.sketch").alias("sketches"))
+    return map_arrow(lists, work, "u bigint, v bigint")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have the similarity, stored."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None  # the join leaves the pairs of one ``u`` together
+        for batch in batches:
+            kept = []
+            for u, one, other in zip(*(batch.column(name).to_pylist() for name in ("u", "text_u", "text_v")), strict=True):
+                if u != last:
+                    last, own = u, shingle_set(one, size)
+                kept.append(similar(own, shingle_set(other, size), similarity))
+            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+
+    pairs = pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")).hint("merge"), "v")
+    pairs = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")).hint("merge"), "u")
+    return store(map_arrow(pairs.select("u", "v", "text_u", "text_v"), work, "u bigint, v bigint"), "links")
+
+
+def near_components(docs: DataFrame, size: int, similarity: float, bucket_rows: int, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``component_id`` (the smallest id reachable) of every row; ``id_col`` is a distinct bigint."""
+    rows = _sets(docs, size, id_col, text_col)
+    known = store(rows.groupBy("fp").agg(F.min("id").alias("node")), "known")
+    nodes = rows.join(known.select(F.col("node").alias("id")).hint("merge"), "id").withColumnRenamed("id", "node")
+    nodes = store(nodes.select("node", "sketch", "bands"), "nodes")
+    bands = nodes.select(F.explode("bands").alias("key"), "node")
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = store(bands.join(sizes.hint("merge"), "key"), "shared")
+    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
+    texts = store(texts.join(shared.select("node").distinct().hint("merge"), "node", "left_semi"), "texts")
+    roots = components(_links(shared, nodes, texts, size, similarity, bucket_rows))
+    labels = known.join(roots.hint("merge"), "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    # Both sides are stored: plain exchanges, which adaptive execution can split at a set of many rows.
+    return rows.select("id", "fp").join(store(labels, "labels").hint("merge"), "fp").select("id", "component_id")
+
+
+def _links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, similarity: float, bucket_rows: int) -> DataFrame:
+    rows = shared.join(nodes.select("node", "sketch").hint("merge"), "node").withColumn("root", F.col("node"))
+    pairs = _bucket_pairs(_in_blocks(rows, bucket_rows), least_agreeing(similarity))
+    return _verified(store(pairs.distinct(), "pairs"), texts, size, similarity)

@@ -11,9 +11,7 @@ coordinate differs by more than the radius, and the survivors are verified on th
 * ``EXACT``: one word, radius 2. Four blocks of 16 bits; two flipped bits leave two blocks untouched, so the six pairs
   of blocks find every link. Buckets over ``bucket_rows`` are dealt again by the halves, then the quarters of their
   other blocks; after that a bucket has 8 free bits, 256 fingerprints at most. Nothing is lost and no task is large.
-* ``banded()``: several words (independent SimHashes), three bands of 20 bits in each word; links at an estimated
-  similarity. A pair at similarity 0.9 shares a band with a probability over 0.99, at 0.8 about 0.85. Band rows carry
-  one other word; a row without a partner in that word is discarded before fingerprints are moved.
+* ``banded()``: links at a Jaccard similarity of the shingle sets themselves, see ``minhash.py``.
 
 Only distinct fingerprints are compared, and a bucket yields a spanning forest of its links, never all pairs.
 Null and blank texts have fingerprint zero, which is linked like any other; repeated rows share a component.
@@ -28,15 +26,14 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatterloom.llm.common import free_name, map_arrow, map_pandas, shuffle_partitions, store
+from chatterloom.llm import minhash
+from chatterloom.llm.common import free_name, map_pandas, store
 from chatterloom.llm.components import components
+from chatterloom.llm.minhash import shingle_hashes
 
-_SEED = 42
 _BYTE_LANES = np.uint64(0x0101010101010101)
 _UNIT_BITS = 4  # a larger radius than this discards nothing by coordinates of one unit
 _UNIT_MASKS = (0b0001, 0b0011, 0b0110, 0b1111)  # independent over the reals
@@ -44,41 +41,30 @@ _UNIT_MASKS = (0b0001, 0b0011, 0b0110, 0b1111)  # independent over the reals
 
 @dataclass(frozen=True)
 class Plan:
-    """``words`` 64-bit words from shingles of ``shingle`` words; links at ``radius`` or fewer differing bits."""
+    """``words`` 64-bit words from shingles of ``shingle`` words; links at ``radius`` or fewer differing bits.
+
+    ``banded``: links at a Jaccard ``similarity`` of the shingle sets, by ``minhash.py``; no word and no radius counts.
+    """
 
     shingle: int
     words: int
     radius: int
     banded: bool
     bucket_rows: int = 256
+    similarity: float = 0.8
 
 
 EXACT = Plan(shingle=3, words=1, radius=2, banded=False)
 
 
-def banded(shingle: int = 5, similarity: float = 0.8, words: int = 16) -> Plan:
-    """A plan whose radius is the expected distance of two shingle sets at this Jaccard similarity."""
-    cosine = 2 * similarity / (1 + similarity)
-    return Plan(shingle, words, int(np.arccos(cosine) / np.pi * 64 * words) + 1, True, bucket_rows=4096)
+def banded(shingle: int = 5, similarity: float = 0.8) -> Plan:
+    """A plan that links texts whose shingle sets have this Jaccard similarity."""
+    return Plan(shingle, 0, 0, True, bucket_rows=4096, similarity=similarity)
 
 
 # Fingerprints
 
 
-def shingle_hashes(text: str | None, size: int) -> np.ndarray:
-    """XXH64 of every shingle of the whole text, repeats included."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = np.concatenate(([0], ends[:-1]))
-    n = max(len(words) - size + 1, 1)
-    digest = xxhash.xxh64_intdigest
-    spans = zip(starts[:n].tolist(), (ends[min(size, len(words)) - 1 :] - 1).tolist(), strict=True)
-    return np.fromiter((digest(joined[a:b], _SEED) for a, b in spans), np.uint64, n)
-
-
 def _bit_counts(values: np.ndarray) -> np.ndarray:
     """How often each of 64 bits is set in each row: byte-wide lanes add up 255 values at a time."""
     words, n = values.shape
@@ -151,8 +137,6 @@ def _unit_codes(table: np.ndarray) -> np.ndarray:
 
 def _level_groups(plan: Plan) -> list[list[tuple[int, ...]]]:
     """The groups of units that make the keys of each level (a level splits the buckets of the one before)."""
-    if plan.banded:
-        return [[tuple(range(16 * w + 5 * b, 16 * w + 5 * b + 5)) for w in range(plan.words) for b in range(3)]]
     levels, free = [], [((), tuple(range(16)))]
     for width in (4, 2, 1):
         level, following = [], []
@@ -232,90 +216,8 @@ def _bucket_edges(rows: DataFrame, plan: Plan) -> DataFrame:
     return map_pandas(lists, work, "u bigint, v bigint")
 
 
-def _in_blocks(shared: DataFrame, limit: int) -> DataFrame:
-    """Deals a bucket of more rows than ``limit`` as pairs of its blocks, so that any two rows still meet."""
-    blocks = F.ceil(F.col("n") / (limit // 2)).cast("int")
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = shared.filter(F.col("n") > limit).withColumn("block", block)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    key = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    dealt = dealt.withColumn("key", key).drop("block", "other")
-    return shared.filter(F.col("n") <= limit).unionByName(dealt)
-
-
-def _band_rows(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """``key``, ``node``, ``sketch`` for every band: the sketch is a word that the band is no part of."""
-    groups, refs = _level_groups(plan)[0], pivots(plan.words)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fps = _as_words(batch.column("fp").to_pylist(), plan.words)
-            codes = _unit_codes(distances(fps, refs))
-            for number, group in enumerate(groups):
-                sketch = np.ascontiguousarray(fps[:, (group[0] // 16 + 1) % plan.words]).view(np.int64)
-                keys = _keys(codes, group, number)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("node"), pa.array(sketch)], names=["key", "node", "sketch"])
-
-    return map_arrow(nodes.select("node", "fp"), work, "key bigint, node bigint, sketch bigint")
-
-
-def partnered(keys: np.ndarray, sketches: np.ndarray, most: int) -> np.ndarray:
-    """Of rows in the order of their keys, those whose sketch is within ``most`` bits of another's of the same key."""
-    near = np.zeros(len(keys), np.bool_)
-    change = np.concatenate(([True], keys[1:] != keys[:-1], [True]))
-    first = np.nonzero(change)[0]
-    bucket, size = np.cumsum(change[:-1]) - 1, np.diff(first)
-    at, gap = np.nonzero(size[bucket] > 1)[0], 1
-    while len(at):
-        at = at[bucket[np.minimum(at + gap, len(keys) - 1)] == bucket[at]]
-        at = at[at + gap < len(keys)]
-        close = np.bitwise_count(sketches[at] ^ sketches[at + gap]) <= most
-        near[at[close]] = near[at[close] + gap] = True
-        gap += 1
-        lacking = np.add.reduceat(~near, first[:-1]) > 0  # buckets that still have rows without a partner
-        at = at[lacking[bucket[at]]]
-    return near
-
-
-def _partnered_rows(rows: DataFrame, plan: Plan) -> DataFrame:
-    """``key``, ``node`` of the band rows that may have a partner: the others are discarded before fingerprints move."""
-    most = 3 * plan.radius // (2 * plan.words) + 6  # in one word: over three deviations above the radius' share
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            keys = table.column("key").to_numpy()
-            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last bucket may go on
-            rest = table.slice(cut)
-            yield from kept(table.slice(0, cut))
-        if rest is not None:
-            yield from kept(rest)
-
-    def kept(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys, sketches = table.column("key").to_numpy(), table.column("sketch").to_numpy().view(np.uint64)
-        if len(keys):
-            near = partnered(keys, sketches, most)
-            yield from table.select(["key", "node"]).filter(pa.array(near)).combine_chunks().to_batches()
-
-    dealt = rows.repartition(shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key")
-    return map_arrow(dealt, work, "key bigint, node bigint")
-
-
-def _banded_links(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """Bands are compared by sketches first; only what has a partner there is grouped with its fingerprint."""
-    near = store(_partnered_rows(_band_rows(nodes, plan), plan), "partners")
-    sizes = near.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    shared = near.join(sizes.hint("merge"), "key").join(nodes.select("node", "fp").hint("merge"), "node")
-    return _bucket_edges(_in_blocks(shared, plan.bucket_rows), plan)
-
-
 def links(nodes: DataFrame, plan: Plan) -> DataFrame:
     """Edges ``u``, ``v`` over distinct fingerprints (``node``, ``fp``) that span the components of all links."""
-    if plan.banded:
-        return store(_banded_links(nodes, plan), "links")
     found, rows = [], _bucket_rows(nodes, plan, 0)
     last = len(_level_groups(plan)) - 1
     for level in range(last + 1):
@@ -351,7 +253,10 @@ def keep_one(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str
     """
     row = free_name(docs.columns, "simhash_row")
     docs = store(docs.withColumn(row, F.monotonically_increasing_id()), "batch")
-    found = near_components(fingerprints(docs, plan, row, text_col), plan)
+    if plan.banded:
+        found = minhash.near_components(docs, plan.shingle, plan.similarity, plan.bucket_rows, row, text_col)
+    else:
+        found = near_components(fingerprints(docs, plan, row, text_col), plan)
     ids = docs.select(F.col(row).alias("id"), F.struct(F.col(id_col).isNull(), id_col, row).alias("rank"))
     first = found.join(ids, "id").groupBy("component_id").agg(F.min("rank").alias("rank"))
     keep = first.select(F.col(f"rank.{row}").alias(row))

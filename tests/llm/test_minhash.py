@@ -1,0 +1,39 @@
+import random
+
+import numpy as np
+
+from chatterloom.llm import minhash as M
+from chatterloom.llm import simhash as S
+
+
+def _pair(number, same, own):
+    """Two texts with ``same`` shingles of five words in common and ``own`` more each."""
+    words = [f"p{number}w{i}" for i in range(same + 4)]
+    return tuple(" ".join([*words, *(f"p{number}{side}{i}" for i in range(own))]) for side in "ab")
+
+
+def _kept_pairs(spark, pairs):
+    rows = [(2 * i + k, text) for i, pair in enumerate(pairs) for k, text in enumerate(pair)]
+    random.Random(1).shuffle(rows)
+    kept = {r.doc_id for r in S.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), S.banded()).collect()}
+    assert {2 * i for i in range(len(pairs))} <= kept
+    return [2 * i + 1 in kept for i in range(len(pairs))]
+
+
+def test_pairs_go_at_the_similarity_and_stay_below(spark):
+    at = [_pair(i, 240, 30) for i in range(60)] + [_pair(i, 8, 1) for i in range(60, 100)]  # exactly 0.8
+    below = [_pair(i, 239, 30) for i in range(100, 160)] + [_pair(i, 7, 1) for i in range(160, 200)]  # 0.799, 0.778
+    kept = _kept_pairs(spark, at + below)
+    assert kept == [False] * 100 + [True] * 100
+
+
+def test_minima_agree_at_the_similarity():
+    rng = np.random.default_rng(3)
+    agreeing, missed = [], 0
+    for _ in range(300):
+        x = rng.integers(0, 2**63, 300, dtype=np.uint64)
+        a, b = M.minima(x[:270]), M.minima(np.concatenate([x[:240], x[270:]]))
+        agreeing.append((a == b).sum())
+        missed += not (M.band_keys(a) == M.band_keys(b)).any()
+    assert abs(np.mean(agreeing) / (M.BANDS * M.WIDTH) - 0.8) < 0.01
+    assert min(agreeing) >= M.least_agreeing(0.8) and not missed
