@@ -5,6 +5,10 @@ bucket: at similarity 0.8 a pair misses all 32 bands of 6 with a probability of
 sketches (a byte of each minimum) are compared; what may reach the similarity (the bound is five deviations below it) is
 verified on the sets of shingles of both texts. Nothing is linked by an estimate.
 
+Groups of many near copies are not compared in pairs: each bucket first compares its rows with a few representatives,
+and what the links join is one root from then on. Rounds with other representatives go on while they join much; then
+only rows of different roots are compared, so a bucket that has become one root costs nothing more.
+
 Only distinct sets are compared. Null and blank texts have the empty set, which equals itself.
 """
 
@@ -27,6 +31,7 @@ _N = BANDS * WIDTH
 _DRAWN = np.random.default_rng(60601).integers(0, 2**63, (2, _N, 1), dtype=np.uint64)
 _FLIPS, _FACTORS = _DRAWN[0], _DRAWN[1] << np.uint64(1) | np.uint64(1)
 _AT_ONCE = 4096
+_PART = 256  # rows of a bucket for one representative, about
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -171,13 +176,69 @@ def near_components(docs: DataFrame, size: int, similarity: float, bucket_rows:
     shared = store(bands.join(sizes.hint("merge"), "key"), "shared")
     texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
     texts = store(texts.join(shared.select("node").distinct().hint("merge"), "node", "left_semi"), "texts")
-    roots = components(_links(shared, nodes, texts, size, similarity, bucket_rows))
+    roots = _roots(shared, nodes, texts, size, similarity, bucket_rows)
     labels = known.join(roots.hint("merge"), "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     # Both sides are stored: plain exchanges, which adaptive execution can split at a set of many rows.
     return rows.select("id", "fp").join(store(labels, "labels").hint("merge"), "fp").select("id", "component_id")
 
 
-def _links(shared: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, similarity: float, bucket_rows: int) -> DataFrame:
-    rows = shared.join(nodes.select("node", "sketch").hint("merge"), "node").withColumn("root", F.col("node"))
-    pairs = _bucket_pairs(_in_blocks(rows, bucket_rows), least_agreeing(similarity))
-    return _verified(store(pairs.distinct(), "pairs"), texts, size, similarity)
+def _star_pairs(rows: DataFrame, number: int) -> DataFrame:
+    """``u``, ``v``: each row of a bucket with the representative of its part, these with that of the bucket.
+
+    A part has some ``_PART`` rows, so no representative has many pairs. Those of one root are left out.
+    """
+    rank = F.struct(F.xxhash64("node", F.lit(number)).alias("rank"), "node", "root")
+    parts = rows.withColumn("part", F.pmod(F.xxhash64("node", F.lit(-1 - number)), F.ceil(F.col("n") / _PART)))
+    heads = parts.groupBy("key", "part").agg(F.min(rank).alias("head"))
+    tops = heads.groupBy("key").agg(F.min("head").alias("top"))
+    below = parts.join(heads, ["key", "part"]).select("node", "root", "head")
+    above = heads.join(tops, "key").select(F.col("head.node").alias("node"), F.col("head.root").alias("root"), F.col("top").alias("head"))
+    other = below.unionByName(above).filter(F.col("root") != F.col("head.root"))
+    ends = F.least("node", "head.node").alias("u"), F.greatest("node", "head.node").alias("v")
+    return other.select(*ends).distinct()
+
+
+def _agreeing(pairs: DataFrame, nodes: DataFrame, agreeing: int) -> DataFrame:
+    """The pairs whose sketches agree in so many places."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, _N) for name in ("a", "b"))
+            yield batch.select(["u", "v"]).filter(pa.array((a == b).sum(axis=1) >= agreeing))
+
+    pairs = pairs.join(nodes.select(F.col("node").alias("v"), F.col("sketch").alias("b")).hint("merge"), "v")
+    pairs = pairs.join(nodes.select(F.col("node").alias("u"), F.col("sketch").alias("a")).hint("merge"), "u")
+    return map_arrow(pairs.select("u", "v", "a", "b"), work, "u bigint, v bigint")
+
+
+def _open(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``key``, ``node``, ``root``, ``n`` of the buckets that hold more than one root, stored."""
+    if roots is None:
+        return shared.withColumn("root", F.col("node"))
+    rows = shared.select("key", "node", "n").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = store(rows, "rooted")
+    several = rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("key")
+    return store(rows.join(several.hint("merge"), "key", "left_semi"), "open")
+
+
+def _roots(shared: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, similarity: float, bucket_rows: int) -> DataFrame:
+    """``node``, ``root`` of all that links join."""
+    agreeing, found, number = least_agreeing(similarity), None, 0
+    rows, roots = _open(shared, None), None
+    count = rows.count()
+    while number == 0 or count:
+        near = store(_agreeing(_star_pairs(rows, number), nodes, agreeing), "pairs")
+        links = _verified(near, texts, size, similarity)
+        found = links if found is None else found.unionByName(links)
+        roots = components(found)
+        before, number = count, number + 1
+        rows = _open(shared, roots)
+        count = rows.count()
+        if 2 * count > before:  # few were joined: what is left are mostly pairs without links
+            break
+    if not count:
+        return roots
+    rest = rows.join(nodes.select("node", "sketch").hint("merge"), "node")
+    pairs = _bucket_pairs(_in_blocks(rest, bucket_rows), agreeing)
+    last = _verified(store(pairs.distinct(), "pairs"), texts, size, similarity)
+    return components(found.unionByName(last))

@@ -37,3 +37,16 @@ def test_minima_agree_at_the_similarity():
         missed += not (M.band_keys(a) == M.band_keys(b)).any()
     assert abs(np.mean(agreeing) / (M.BANDS * M.WIDTH) - 0.8) < 0.01
     assert min(agreeing) >= M.least_agreeing(0.8) and not missed
+
+
+def test_near_copies_in_large_buckets_are_not_compared_in_pairs(spark, monkeypatch):
+    """Work on a template grows with its copies, and chains that a representative does not see are found."""
+    compared = []
+    verified = M._verified
+    monkeypatch.setattr(M, "_verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    words = [f"w{i}" for i in range(400)]
+    template = [(i, " ".join([*words[: i % 400], f"new{i}", *words[i % 400 + 1 :]])) for i in range(1200)]
+    chain = [(5000 + i, " ".join(f"c{k}" for k in range(12 * i, 12 * i + 200))) for i in range(30)]
+    docs = spark.createDataFrame(template + chain, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in S.keep_one(docs, S.banded()).collect()) == [0, 5000]
+    assert sum(compared) < 40 * 1200
