@@ -403,7 +403,10 @@ def repeats_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Maximal repeats among different spans with one anchor: ``bucket``, ``group``, ``length``, ``chunk``, ``span``, ``offset``, ``id``."""
+    """Maximal repeats among different spans with one anchor: ``bucket``, ``group``, ``length``, ``chunk``, ``span``, ``offset``, ``id``.
+
+    Not all groups of the corpus: equal spans count once, as that of the smallest id, and repeats end with their span.
+    """
 
     def show(bucket: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         group, span, offset, length, ids, chunks, numbers = _bucket_repeats(rows)
