@@ -38,8 +38,7 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNRENDERED_TAGS = frozenset(
-    "script style noscript template title textarea iframe xmp noembed noframes select option button svg math object "
-    "canvas audio video datalist".split()
+    "script style template title textarea iframe xmp noembed noframes select option button datalist".split()
 )
 RAW_TAGS = frozenset("script style title textarea iframe xmp noembed noframes".split())
 # An open element of the key is closed by the start of one of the values.
@@ -199,7 +198,7 @@ def features(page: Page) -> np.ndarray:
         words[at] += text.count(" ") + 1
         sentences[at] += text[-1] in ".!?…:;\"”»"
         commas[at] += text.count(",")
-        digits[at] += sum(map(str.isdigit, text[:200]))
+        digits[at] += sum(map(str.isdigit, text))
         marks[at] += "©" in text or "|" in text or "»" in text
         count[at] += 1
     below, linked_below, blocks_below = list(size), list(page.linked), list(count)
@@ -228,7 +227,7 @@ def features(page: Page) -> np.ndarray:
     grid[:, at:] = np.stack(
         [
             np.ones(n), np.log1p(s) / 5, np.minimum(one(page.linked) / np.maximum(s, 1), 1), np.log1p(w) / 4, one(sentences) > 0,
-            np.minimum(one(commas) / np.maximum(w, 1) * 5, 1), np.minimum(one(digits) / np.maximum(np.minimum(s, 200), 1) * 3, 1),
+            np.minimum(one(commas) / np.maximum(w, 1) * 5, 1), np.minimum(one(digits) / np.maximum(s, 1) * 3, 1),
             one(marks) > 0, np.minimum(lb / np.maximum(b, 1), 1), np.log1p(b) / 8, b / max(float(b[0]) if n else 1, 1),
             np.minimum(one(page.depth) / 10, 1), np.log1p(one(children)) / 3, np.log1p(one(paragraphs)) / 3, (w > 0) & (w < 6),
             np.log1p(b / np.maximum(one(blocks_below), 1)) / 6,

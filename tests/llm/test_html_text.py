@@ -77,3 +77,11 @@ def test_edges(spark, weights):
     assert [r.n_chars for r in found if r.page_id == 4] == [20_000 * 18 - 1]
     empty = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert H.extract(empty, H.fit(empty, steps=3)).collect() == []
+
+
+def test_embedded_text_and_late_digits_count():
+    tags = ("math", "svg", "object", "noscript", "audio", "video", "canvas")
+    page = H.parse("<p>The sum " + " ".join(f"<{t}>in {t}</{t}>" for t in tags) + " ends.<script>no()</script><p>After <svg/> it")
+    assert [text for _, text in page.blocks] == ["The sum " + " ".join(f"in {t}" for t in tags) + " ends.", "After it"]
+    early, late, none = (H.features(H.parse(f"<p>{text}")) for text in ("7" * 50 + "x" * 250, "x" * 250 + "7" * 50, "x" * 300))
+    assert (early == late).all() and (late != none).any()
