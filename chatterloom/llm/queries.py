@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterloom.llm import (
-    contamination, exact_dedup, html_text, language, line_dedup, mixing, sharding, simhash, suffix_dedup, warc,
+    contamination, exact_dedup, hard_negatives, html_text, language, line_dedup, mixing, sharding, simhash,
+    suffix_dedup, warc,
 )
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
@@ -128,6 +129,40 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, html_text.fit(pages))
 
 
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five negatives for each anchor (every hundredth id) and each of its five positives; each seventh label is off by one."""
+    found = hard_negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"),
+        lambda key: key % 100 == 0,
+        relabel=lambda key, label: F.when(key % 7 == 0, (label + 1) % 10),
+    )
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+    list_inner_product(a.q, r.q)::BIGINT AS score
+  FROM e a JOIN e r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""

@@ -20,6 +20,10 @@ CONTRACT = {
     "op9_line_dedup": ("documents", "doc_id bigint, text string, n_units bigint, n_removed bigint"),
     "op10_exact_dedup": ("documents", "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string"),
 }
+#: Queries that return other rows than one for each of a table.
+SHAPES = {
+    "op12_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
+}
 
 
 @pytest.mark.parametrize("name", sorted(CONTRACT))
@@ -42,6 +46,18 @@ def test_contract(spark, name):
     found.unpersist()
 
 
+@pytest.mark.parametrize("name", sorted(SHAPES))
+def test_shape(spark, name):
+    found = QUERIES[name](spark, SMALL).cache()
+    assert [f"{c} {kind}" for c, kind in found.dtypes][: SHAPES[name].count(",") + 1] == SHAPES[name].split(", ")
+    if name in ORACLE:
+        db = duckdb.connect()
+        for one in TABLES:
+            db.execute(f"CREATE VIEW {one} AS SELECT * FROM '{SMALL}/{one}.parquet'")
+        assert compare(found, db.sql(ORACLE[name])) == ""
+    found.unpersist()
+
+
 def test_op10_equals_sql_with_ties_and_nulls(spark, tmp_path):
     rows = [(1, "A b"), (2, "a B"), (5, "a b"), (3, None), (4, ""), (9, "É"), (8, "é")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
