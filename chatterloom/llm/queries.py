@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterloom.llm import (
-    contamination, exact_dedup, hard_negatives, html_text, language, line_dedup, mixing, sharding, simhash,
+    alignment, contamination, exact_dedup, hard_negatives, html_text, language, line_dedup, mixing, sharding, simhash,
     suffix_dedup, warc,
 )
 from chatterloom.llm.common import table
@@ -129,6 +129,13 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, html_text.fit(pages))
 
 
+@_query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between byte-level and piece tokens of every text, with their counts in the corpus."""
+    found = alignment.link_counts(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @_query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five negatives for each anchor (every hundredth id) and each of its five positives; each seventh label is off by one."""
