@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterloom.llm import (
-    alignment, contamination, exact_dedup, hard_negatives, html_text, language, line_dedup, mixing, sharding, simhash,
-    suffix_dedup, warc,
+    alignment, contamination, exact_dedup, hard_negatives, html_text, language, line_dedup, mixing, ngram_join,
+    sharding, simhash, suffix_dedup, warc,
 )
 from chatterloom.llm.common import table
 from chatterloom.session import scratch_path
@@ -170,6 +170,38 @@ QUALIFY rank <= 5
 """
 
 
+@_query
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
+    found = ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+ORACLE["op13_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
+  FROM w WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (
+  SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS n_both
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT u, v FROM b JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+  WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.v FROM r JOIN l ON r.reached = l.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.reached) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY 1, 2
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""

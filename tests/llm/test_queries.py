@@ -20,6 +20,7 @@ CONTRACT = {
     "op9_line_dedup": ("documents", "doc_id bigint, text string, n_units bigint, n_removed bigint"),
     "op10_exact_dedup": ("documents", "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string"),
     "op11_token_alignment": ("documents", "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"),
+    "op13_ngram_join": ("documents", "doc_id bigint, n_shingles bigint, component_id bigint"),
 }
 #: Queries that return other rows than one for each of a table.
 SHAPES = {
