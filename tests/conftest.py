@@ -7,8 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from chatterloom.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -32,13 +30,3 @@ def spark(tmp_path_factory):
 def path(tmp_path):
     """Names of fresh folders."""
     return lambda name: str(tmp_path / name)
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted by the given columns (or by everything)."""
-    names = list(order) or df.columns
-    return [tuple(r) for r in df.orderBy(*names).collect()]
-
-
-def plan_text(df, mode="formatted"):
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)

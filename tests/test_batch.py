@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import plan_text, rows
+from support import plan_text, rows
 from pyspark.sql import functions as F
 
 from chatterloom.functions.time import chunk_bounds, chunk_start

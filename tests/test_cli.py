@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from support import rows
 
 from chatterloom.__main__ import main
 from chatterloom.schemas import TABLES

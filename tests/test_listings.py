@@ -1,7 +1,7 @@
 import json
 from datetime import datetime
 
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from chatterloom.operators.cursor import (

@@ -1,7 +1,7 @@
 import json
 from datetime import datetime
 
-from conftest import plan_text, rows
+from support import plan_text, rows
 from pyspark.sql import functions as F
 
 from chatterloom.operators.decode import decode, decode_tolerant

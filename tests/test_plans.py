@@ -4,7 +4,7 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import SMALL, plan_text
+from support import SMALL, plan_text
 
 from workload.queries import all_queries as queries
 from chatterloom.operators.decode import decode

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SMALL
+from support import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tools.check import TABLES, compare

@@ -5,7 +5,7 @@ import time
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
-from conftest import SMALL, rows
+from support import SMALL, rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from conftest import plan_text, rows
+from support import plan_text, rows
 from pyspark.sql import functions as F
 
 from chatterloom.functions.text import STOP_WORDS
