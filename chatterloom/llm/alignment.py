@@ -14,9 +14,9 @@ chunks of bounded bytes; a chunk has one dictionary of its id pairs, which is al
 over chunks, and each chunk gets back the counts of its own pairs.
 
 Null and empty texts, and texts that a tokenizer does not give back byte by byte (it normalises, or knows no byte
-tokens), have no tokens: zeros and empty lists. Texts of any length are read whole: long ones are encoded in parts, cut
-between a letter, a space and a letter, where neither tokenizer merges. Repeated rows and null ids are rows of their
-own. No rows give no rows. Names of other columns don't matter.
+tokens), have no tokens: zeros and empty lists. Texts of any length are read whole, in parts that are cut at single spaces
+between printing characters, where neither tokenizer merges: tokens of a part that was seen before are known. Repeated
+rows and null ids are rows of their own. No rows give no rows. Names of other columns don't matter.
 """
 
 from __future__ import annotations
@@ -38,10 +38,12 @@ from chatterloom.llm.common import map_arrow, store
 FOLDER = "/opt/tokenizers"
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
-_PART = 1 << 18  # characters of a text that are encoded at once, about
+_KNOWN = 1 << 18  # parts of texts whose tokens a worker remembers
+_LINE = 2048  # bytes of parts that are encoded in one line, about
 _BATCH = 2 << 20  # bytes of texts that are merged at once, or one text
 _STRIDE = 128  # tokens between the looks for a cut
-_BETWEEN = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: A single space between two printing characters: a token of either side can begin with it, none goes on over it.
+_BETWEEN = re.compile(r"(?<=[!-~]) (?=[!-~])")
 
 
 # Tokenizers
@@ -72,35 +74,75 @@ class Pair:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.forget()
         self.a_written, self.b_written = _decimals(len(names), b",|"), _decimals(len(pieces), b",;\0")
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Token ids of each text by A and B; none where the tokens' bytes are not those of a space and the text."""
-        parts, owner = [], []
-        for number, text in enumerate(texts):
-            for part in _parts(text) if text else ():
-                parts.append(part)
-                owner.append(number)
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        b = self.b.encode(parts, num_threads=1) if parts else []
-        bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-        found_a, found_b = [], []
-        for text, low, high in zip(texts, bounds, bounds[1:], strict=False):
-            ids_a, ids_b = ([i for one in side[low:high] for i in one] for side in (a, b))
-            want = b" " + (text or "").encode("utf-8", "surrogatepass")
-            same = b"".join(map(self.a_bytes.__getitem__, ids_a)) == want == b"".join(map(self.b_bytes.__getitem__, ids_b))
-            found_a.append(np.array(ids_a if same else [], np.int64))
-            found_b.append(np.array(ids_b if same else [], np.int64))
-        return found_a, found_b
-
-
-def _parts(text: str) -> Iterator[str]:
-    """The text in parts, each without the space before it, which both tokenizers are given."""
-    at = 0
-    while len(text) - at > 2 * _PART and (cut := _BETWEEN.search(text, at + _PART)):
-        yield text[at : cut.start()]
-        at = cut.end()
-    yield text[at:]
+    def forget(self) -> None:
+        """No part is known: its number is its place in bounds of ids and in ``usable``."""
+        self.known: dict[str, int] = {}
+        self.ids = [np.empty(0, np.int32), np.empty(0, np.int32)]
+        self.bounds = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.usable = np.empty(0, bool)
+
+    def _encoded(self, lines: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        by_a = [e.ids for e in self.a.encode_batch_fast([" " + x for x in lines], add_special_tokens=False)]
+        return by_a, self.b.encode(lines, num_threads=1)
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encodes parts that are new, many in a line, as their tokens are the same there."""
+        sizes = np.array([1 + len(p.encode("utf-8", "surrogatepass")) for p in parts], np.int64)
+        cuts = np.searchsorted(np.cumsum(sizes), np.arange(_LINE, int(sizes.sum()) + _LINE, _LINE))
+        cuts = np.unique(np.concatenate(([0], cuts + 1, [len(parts)])).clip(max=len(parts)))
+        held = [(parts[a:b], sizes[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        while held:  # a line whose bytes don't come back is tried part by part
+            lines = [" ".join(p) for p, _ in held]
+            again = []
+            ids, bounds, usable, learnt = [[], []], [[], []], [], []
+            counts = [self.bounds[side][-1] for side in range(2)]
+            for line, (own, widths), *both in zip(lines, held, *self._encoded(lines), strict=True):
+                given = b" " + line.encode("utf-8", "surrogatepass")
+                tables = (self.a_bytes, self.b_bytes)
+                same = all(b"".join(map(t.__getitem__, x)) == given for t, x in zip(tables, both, strict=True))
+                if not same and len(own) > 1:
+                    again += [([p], widths[k : k + 1]) for k, p in enumerate(own)]
+                    continue
+                ends = np.cumsum(widths)
+                for side, (one, size) in enumerate(zip(both, (self.a_sizes, self.b_sizes), strict=True)):
+                    one = np.array(one if same else [], np.int32)
+                    at = np.searchsorted(np.cumsum(size[one]), ends) + 1 if same else np.zeros(1, np.int64)
+                    ids[side].append(one)
+                    bounds[side].append(counts[side] + at)
+                    counts[side] += len(one)
+                usable += [same] * len(own)
+                learnt += own
+            for side in range(2):
+                self.ids[side] = np.concatenate([self.ids[side], *ids[side]])
+                self.bounds[side] = np.concatenate([self.bounds[side], *bounds[side]])
+            self.usable = np.append(self.usable, np.array(usable, bool))
+            self.known.update(zip(learnt, range(len(self.known), len(self.known) + len(learnt)), strict=True))
+            held = again
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all tokens by A, the texts' bounds in them, and the same by B.
+
+        A text has none if the bytes of its tokens are not those of a space and the text.
+        """
+        split = [_BETWEEN.split(text) if text else [] for text in texts]
+        if len(self.known) > _KNOWN:
+            self.forget()
+        self._learn(list(dict.fromkeys(part for parts in split for part in parts if part not in self.known)))
+        own = np.fromiter((self.known[part] for parts in split for part in parts), np.int64)
+        ends = np.cumsum([0, *(len(parts) for parts in split)])
+        bad = np.concatenate(([0], np.cumsum(~self.usable[own])))
+        own = own[np.repeat(np.diff(bad[ends]) == 0, np.diff(ends))]
+        ends = np.cumsum(np.concatenate(([0], np.where(np.diff(bad[ends]) == 0, np.diff(ends), 0))))
+        out = []
+        for ids, bounds in zip(self.ids, self.bounds, strict=True):
+            counts = bounds[own + 1] - bounds[own]
+            before = np.concatenate(([0], np.cumsum(counts)))
+            places = np.repeat(bounds[own] - before[:-1], counts) + np.arange(before[-1])
+            out += [ids[places].astype(np.int64), before[ends]]
+        return tuple(out)
 
 
 def _decimals(count: int, separators: bytes) -> np.ndarray:
@@ -173,9 +215,7 @@ class Aligned:
 
 
 def align_batch(pair: Pair, texts: list[str | None]) -> Aligned:
-    found_a, found_b = pair.encode(texts)
-    bounds_a, bounds_b = (np.cumsum([0, *(len(x) for x in side)]) for side in (found_a, found_b))
-    a, b = (np.concatenate([np.empty(0, np.int64), *side]) for side in (found_a, found_b))
+    a, bounds_a, b, bounds_b = pair.encode(texts)
     ends_a, ends_b = np.cumsum(pair.a_sizes[a]), np.cumsum(pair.b_sizes[b])
     looks = np.arange(_STRIDE, len(a), _STRIDE)  # every so many tokens: is the end before it one of B as well?
     places = np.searchsorted(ends_b, ends_a[looks - 1])
