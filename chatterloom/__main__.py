@@ -13,7 +13,7 @@ from chatterloom.session import build_session
 from chatterloom.sources.listings import read_listings
 from chatterloom.sources.logs import read_log
 from chatterloom.streaming import queries as streams
-from chatterloom.streaming.control import POLL_SECONDS, checkpoint_path, run_for, trigger
+from chatterloom.streaming.control import POLL_SECONDS, checkpoint_path, run_together, trigger
 
 TABLE_STREAMS = {
     "save_raw": (streams.save_raw, "raw_events"),
@@ -112,8 +112,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = build_session(f"chatterloom-{args.job}")
     if args.job in STREAMS:
-        for query in _start(spark, args):
-            run_for(query, args.max_seconds)
+        run_together(_start(spark, args), args.max_seconds)
     elif args.job == "event_rates":
         run_rates(spark, args.lake, args.output)
     elif args.job == "all_batch":

@@ -64,8 +64,10 @@ def _unusable(source: Column, layout: Mapping[str, str], prefix: str = "") -> li
     ]
 
 
-def decode_tolerant(log: DataFrame, layout: Mapping[str, str] = RAW_EVENT) -> DataFrame:
-    """The payload as top-level event columns, accepting ``"5"`` for 5.
+def decode_tolerant(
+    log: DataFrame, layout: Mapping[str, str] = RAW_EVENT, *, keep: Iterable[str] = ()
+) -> DataFrame:
+    """The payload as top-level event columns, accepting ``"5"`` for 5; columns in ``keep`` stay.
 
     Adds ``payload`` (for quarantine), ``_corrupt`` (the payload if it is no
     JSON object or has a field of the wrong shape) and ``_miscast``, the names
@@ -77,7 +79,9 @@ def decode_tolerant(log: DataFrame, layout: Mapping[str, str] = RAW_EVENT) -> Da
     if enriched:
         wire["enrichment"] = struct_type(_wire_layout(ENRICHMENT))
     schema, options = f"{ddl(wire)}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
-    parsed = log.select("payload", parse_once(F.col("payload"), schema, options).alias("wire"))
+    keep = list(keep)
+    wire_column = parse_once(F.col("payload"), schema, options).alias("wire")
+    parsed = log.select("payload", *keep, wire_column)
 
     source, inner = F.col("wire"), F.col("wire.enrichment")
     columns = {
@@ -93,6 +97,7 @@ def decode_tolerant(log: DataFrame, layout: Mapping[str, str] = RAW_EVENT) -> Da
     corrupt = F.when(source.isNull(), F.col("payload")).otherwise(source[CORRUPT])
     return parsed.select(
         "payload",
+        *keep,
         corrupt.alias(CORRUPT),
         F.array_compact(F.array(*unusable)).alias("_miscast"),
         *[value.alias(n) for n, value in columns.items()],

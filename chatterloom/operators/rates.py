@@ -42,6 +42,31 @@ def rolling_average(rates: DataFrame, stream: str = "stream", minutes: int = 5)
     return averages.filter(F.col("nearest") == 0).drop("nearest")
 
 
+def live_rates(
+    events: DataFrame,
+    stream: str = "stream",
+    time: str = "timestamp",
+    *,
+    minutes: int = 5,
+    grace: str | None = "30 seconds",
+) -> DataFrame:
+    """``event_rate`` and ``rolling_average`` in one pass that runs on a stream, too.
+
+    Events are counted by minute, and these counts by the windows of ``minutes`` that begin every minute; a row comes
+    out when the window that its minute ends is over. Both states hold what the watermark has not passed.
+    """
+    if grace is not None:
+        events = events.withWatermark(time, grace)
+    counts = events.groupBy(F.window(time, "1 minute").alias("slot"), stream).agg(F.count(F.lit(1)).alias("events"))
+    span = F.window(F.window_time("slot"), f"{minutes} minutes", "1 minute").alias("span")
+    newest = F.max("slot.start").alias("minute_start")
+    averages = counts.groupBy(span, stream).agg(
+        newest, F.max_by("events", "slot.start").alias("events"), F.avg("events").alias("rolling_avg")
+    )
+    last = F.col("span.end") - F.make_dt_interval(mins=F.lit(1))
+    return averages.filter(F.col("minute_start") == last).select(stream, "minute_start", "events", "rolling_avg")
+
+
 def media_counts(events: DataFrame, group: str) -> DataFrame:
     """Events and events with media per group."""
     return events.groupBy(group).agg(

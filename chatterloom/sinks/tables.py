@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterloom.functions.time import chunk_start
@@ -48,6 +50,7 @@ def replace_table(
         rows.hint("rebalance", CHUNK)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
+        .options(**_key_filters(table))
         .partitionBy(CHUNK)
         .parquet(path)
     )
@@ -72,34 +75,81 @@ def chunk_folders(spark: SparkSession, path: str) -> list[date]:
 def append_table(df: DataFrame, table: Table, path: str, *, chunk_days: int = CHUNK_DAYS) -> None:
     """Adds rows as they are."""
     rows = _chunked(df, table, chunk_days).hint("rebalance", CHUNK)
-    rows.write.mode("append").partitionBy(CHUNK).parquet(path)
+    rows.write.mode("append").options(**_key_filters(table)).partitionBy(CHUNK).parquet(path)
+
+
+#: Spans of times a merge looks into apart; nearer ones are looked into as one beyond that.
+_MOST_SPANS = 64
+#: A chunk with so few new keys is asked for these keys alone, which Parquet's Bloom filters answer.
+_FEW_KEYS = 10
+
+
+def _key_filters(table: Table) -> dict[str, str]:
+    """Write options that give each row group a Bloom filter on the table's text keys."""
+    return {f"parquet.bloom.filter.enabled#{k}": "true" for k in table.keys if table.columns[k] == "string"}
+
+
+def merged_spans(spans: Iterable[tuple[int, int]], most: int = _MOST_SPANS) -> list[tuple[int, int]]:
+    """The spans in order, overlapping ones as one, and then the nearest, until ``most`` are left."""
+    found: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if found and low <= found[-1][1]:
+            found[-1] = (found[-1][0], max(high, found[-1][1]))
+        else:
+            found.append((low, high))
+    gaps = sorted(range(1, len(found)), key=lambda n: found[n][0] - found[n - 1][1])
+    joined = set(gaps[: max(len(found) - most, 0)])
+    out: list[tuple[int, int]] = []
+    for n, span in enumerate(found):
+        if n in joined:
+            out[-1] = (out[-1][0], span[1])
+        else:
+            out.append(span)
+    return out
 
 
 def _overlapping(
-    target: DataFrame, rows: DataFrame, time: str, chunk_days: int, margin: timedelta
+    target: DataFrame, rows: DataFrame, table: Table, chunk_days: int, margin: timedelta
 ) -> DataFrame | None:
     """The part of ``target`` that may hold keys of ``rows``; None without rows.
 
     Keys hold the time column, so only the same times, give or take ``margin``
-    (at most a chunk), can repeat them. The chunks prune folders; the times
-    skip row groups, since a file holds the times of the batches it came from.
+    (at most a chunk), can repeat them. Every chunk of the batch has a span of
+    its own: one old event does not open the chunks between. The chunks prune
+    folders, the times row groups, as a file holds the times of the batches it
+    came from, and the keys of a chunk with few of them do so by Bloom filters.
+    Without a margin only: a caller that gives one wants other keys as well.
     """
-    around = margin // timedelta(microseconds=1)
+    around, time = margin // timedelta(microseconds=1), table.time
+    named = next((k for k in table.keys if table.columns[k] == "string"), None)
     spans = rows.groupBy(CHUNK).agg(
-        (F.min(F.unix_micros(time)) - around).alias("low"),
-        (F.max(F.unix_micros(time)) + around).alias("high"),
-    )
-    low, high, timeless = spans.agg(
-        F.min("low"), F.max("high"), F.max(F.col(CHUNK).isNull())
-    ).first()
-    if timeless:
+        F.min(F.unix_micros(time)).alias("low"),
+        F.max(F.unix_micros(time)).alias("high"),
+        F.count(F.lit(1)).alias("n"),
+    ).collect()  # one row a chunk
+    if any(r[CHUNK] is None for r in spans):
         raise ValueError(f"rows without {time} have no key")
-    if low is None:
+    if not spans:
         return None
-    first, last = (chunk_start(F.timestamp_micros(F.lit(t)), chunk_days) for t in (low, high))
-    same_chunk = F.col(CHUNK).between(first, last)
-    near = F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
-    return target.filter(same_chunk & near)
+    few = [r[CHUNK] for r in spans if r["n"] <= _FEW_KEYS and named and not around]
+    asked: dict[date, set[str]] = {}
+    if few:
+        for chunk, key in rows.filter(F.col(CHUNK).isin(few)).select(CHUNK, named).collect():
+            asked.setdefault(chunk, set()).add(key)
+
+    def near(low: int, high: int) -> tuple[Column, Column]:
+        first, last = (chunk_start(F.timestamp_micros(F.lit(t)), chunk_days) for t in (low, high))
+        times = F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+        return F.col(CHUNK).between(first, last), times
+
+    wide = merged_spans((r["low"] - around, r["high"] + around) for r in spans if r[CHUNK] not in asked)
+    parts = [near(low, high) for low, high in wide]
+    for r in spans:
+        if r[CHUNK] in asked:
+            chunk, times = near(r["low"], r["high"])
+            parts.append((chunk, times & F.col(named).isin(sorted(k for k in asked[r[CHUNK]] if k is not None))))
+    chunks = reduce(or_, [chunk for chunk, _ in parts])
+    return target.filter(chunks).filter(reduce(or_, [chunk & rest for chunk, rest in parts]))
 
 
 def insert_ignore(
@@ -115,7 +165,7 @@ def insert_ignore(
 ) -> None:
     """Appends the rows whose key the table lacks; repeats change nothing.
 
-    Reads back only keys in the chunks and the time span of the batch.
+    Reads back only keys in the chunks of the batch, each in its own time span.
     ``keys_unique`` says that no key repeats inside the batch, as after an
     aggregation. ``admit`` may select among the new rows, given those stored
     in the batch's time span and ``margin`` around it; ``refused`` is given the
@@ -129,7 +179,7 @@ def insert_ignore(
     rows = _chunked(batch, table, chunk_days).persist()
     try:
         target = read_table(spark, table, path) if path_exists(spark, path) else rows.limit(0)
-        stored = _overlapping(target, rows, table.time, chunk_days, margin)
+        stored = _overlapping(target, rows, table, chunk_days, margin)
         if stored is None:
             return
         fresh = rows if keys_unique else dedup_latest(rows, table.keys, ())
@@ -138,7 +188,8 @@ def insert_ignore(
             new, fresh = fresh, admit(fresh, stored)
             if refused is not None:
                 refused(new_rows(new, fresh, table.keys).drop(CHUNK))
-        fresh.hint("rebalance", CHUNK).write.mode("append").partitionBy(CHUNK).parquet(path)
+        writer = fresh.hint("rebalance", CHUNK).write.mode("append").options(**_key_filters(table))
+        writer.partitionBy(CHUNK).parquet(path)
     finally:
         rows.unpersist()
 

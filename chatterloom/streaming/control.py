@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 POLL_SECONDS = 120
+_LOOK_SECONDS = 1.0
 
 
 def trigger(*, once: bool = False, seconds: int = POLL_SECONDS) -> dict:
@@ -32,6 +36,25 @@ def run_for(query: StreamingQuery, max_seconds: float | None = None) -> bool:
     return bool(ended)
 
 
+def run_together(queries: Sequence[StreamingQuery], max_seconds: float | None = None) -> bool:
+    """Waits for all queries of a job at once, at most ``max_seconds`` in all, then stops those that still run.
+
+    A failure of any stops the others and is raised. Returns whether all had ended by themselves.
+    """
+    end = None if max_seconds is None else time.monotonic() + max_seconds
+    running = list(queries)
+    try:
+        while running and (end is None or time.monotonic() < end):
+            wait = _LOOK_SECONDS if end is None else min(_LOOK_SECONDS, max(end - time.monotonic(), 0.01))
+            # Raises the failure of a query that has ended.
+            running = [q for n, q in enumerate(running) if not q.awaitTermination(wait if n == 0 else 0.01)]
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+    return not running
+
+
 def active_queries(spark: SparkSession) -> list[tuple[str, str]]:
     """(id, name) of every running query."""
     return [(str(q.id), q.name or "") for q in spark.streams.active]

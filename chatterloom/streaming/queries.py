@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,7 +16,9 @@ from chatterloom.operators.decode import decode, decode_tolerant
 from chatterloom.operators.enrich import Provider, enrich, split_enriched
 from chatterloom.operators.flatten import flatten_enriched, flatten_raw, to_lake_rows
 from chatterloom.operators.normalize import to_events
+from chatterloom.operators.rates import live_rates
 from chatterloom.operators.trending import (
+    TUMBLING_GRACE,
     drop_redelivered,
     trending_topics,
     trending_words,
@@ -30,6 +32,7 @@ from chatterloom.sinks.lake import stream_to_lake
 from chatterloom.sinks.logs import publish_batch, query_id
 from chatterloom.sinks.tables import insert_ignore, insert_ignore_batches
 from chatterloom.sources.listings import split_items
+from chatterloom.streaming.stateful import capped, counted, due_again
 
 Report = Callable[[dict[str, int]], None]
 _log = logging.getLogger(__name__)
@@ -175,6 +178,54 @@ def save_raw_capped(
     )
 
 
+def save_raw_capped_by_state(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    quarantine: str,
+    overflow: str,
+    per_window: int,
+    window_seconds: int = 60,
+    grace: str = TUMBLING_GRACE,
+    report: Report = _log_counts,
+) -> StreamingQuery:
+    """``save_raw_capped`` whose windows are counted in state instead of read back from the table.
+
+    Events of a full window, and those that come when their window is over (``grace`` behind the newest), go to the
+    ``overflow`` folder; an event that is delivered again after its window was full may go there once more.
+    """
+    _distinct({"table": path, "quarantine": quarantine, "overflow": overflow})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        judged = batch.persist()
+        try:
+            query = query_id(batch.sparkSession, checkpoint)
+            to = {"query": query, "batch_id": batch_id, "format": "text"}
+
+            def events(*verdicts: str) -> DataFrame:
+                return flatten_raw(decode(judged.filter(F.col("verdict").isin(*verdicts)), RAW_EVENT))
+
+            rejected = judged.filter("verdict = 'unkeyed'").select("payload", F.array(F.lit("key:missing")).alias("reasons"))
+            counts = {"batch": batch_id, "quarantined": publish_batch(rejected, quarantine, **to)}
+            counts["over_cap"] = publish_batch(events("over", "late"), overflow, **to)
+            insert_ignore(events("kept"), TABLES["raw_events"], path)
+            counts["events"] = judged.filter("verdict = 'kept'").count()
+        finally:
+            judged.unpersist()
+        report(counts)
+
+    return (
+        capped(log, per_window, window_seconds=window_seconds, grace=grace)
+        .writeStream.queryName("raw_events")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def save_enriched(
     log: DataFrame,
     path: str,
@@ -256,6 +307,78 @@ def save_tumbling_counts(
     )
 
 
+def save_counts_and_late(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    late: str,
+    quarantine: str,
+    window_seconds: int = 60,
+    grace: str = TUMBLING_GRACE,
+    report: Report = _log_counts,
+) -> StreamingQuery:
+    """Counts events per tumbling window and keeps the events that came too late to be counted.
+
+    Every message goes to one place: into the count of a window once that is over, to the ``late`` folder as an event,
+    or, without a time, to the ``quarantine`` folder. ``report`` gets the exact numbers of every batch.
+    """
+    _distinct({"table": path, "late": late, "quarantine": quarantine})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = batch.persist()
+        try:
+            query = query_id(batch.sparkSession, checkpoint)
+            to = {"query": query, "batch_id": batch_id, "format": "text"}
+            messages = found.filter("payload is not null")
+            untimed = messages.filter("window is null").select("payload", F.array(F.lit("timestamp:missing")).alias("reasons"))
+            behind = flatten_raw(decode(messages.filter("window is not null"), RAW_EVENT))
+            counts = {
+                "batch": batch_id,
+                "quarantined": publish_batch(untimed, quarantine, **to),
+                "late": publish_batch(behind, late, **to),
+            }
+            edges = [F.timestamp_micros(F.col("window") + x).alias(n) for n, x in (("window_start", 0), ("window_end", window_seconds * 1_000_000))]
+            closed = found.filter("n is not null").groupBy("window").agg(F.sum("n").alias("count")).select(*edges, "count")
+            insert_ignore(closed, TABLES["tumbling_counts_metrics"], path, keys_unique=True)
+        finally:
+            found.unpersist()
+        report(counts)
+
+    return (
+        counted(log, window_seconds=window_seconds, grace=grace)
+        .writeStream.queryName("tumbling_counts_metrics")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def save_live_rates(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    stream: Column | str,
+    **windowing: Any,
+) -> StreamingQuery:
+    """Events per minute and their rolling average, each minute as soon as the watermark has passed it.
+
+    ``stream`` names the stream of an event: a raw event field, or a column that needs no message, as a literal.
+    ``windowing`` are the options of ``live_rates``.
+    """
+    field = [stream] if isinstance(stream, str) else []
+    decoded = decode(log, RAW_EVENT, ["timestamp", *field])
+    name = F.col(f"data.{stream}") if field else stream
+    events = decoded.select("data.timestamp", name.alias("stream"))
+    return stream_to_table(
+        live_rates(events, **windowing), "event_rates", path, checkpoint, trigger=trigger, keys_unique=True
+    )
+
+
 def _distinct(targets: Mapping[str, str | None]) -> None:
     """Refuses outputs that would write into each other."""
     named = {name: target.rstrip("/") for name, target in targets.items() if target}
@@ -339,6 +462,56 @@ def enrich_log(
     )
 
 
+def retry_failed(
+    log: DataFrame,
+    factory: Callable[[], Provider],
+    outputs: Outputs,
+    checkpoint: str,
+    *,
+    trigger: dict,
+    final: str,
+    attempts: int = 3,
+    pause: float = 60.0,
+    report: Report = _log_counts,
+    **asking: Any,
+) -> StreamingQuery:
+    """Asks again for the events in the dead letters of ``enrich_log``; ``log`` reads ``outputs.dead_letter``.
+
+    Each event waits ``pause`` seconds, doubled with every attempt, and is asked for at most ``attempts`` times. What
+    fails goes back to the dead letters, from where this query gets it again; after the last attempt it goes to
+    ``final``. State holds the number of attempts of an event, so its message need not. It ends with the last attempt, or
+    by a timer when the event has not come back for a day, as after a success. A query that drains the log and ends
+    takes no ``pause``: what fails in one run is tried in the next.
+    """
+    _distinct({"enriched": outputs.enriched, "dead_letter": outputs.dead_letter, "final": final})
+    if pause and "processingTime" not in trigger:
+        raise ValueError("a pause needs a trigger that goes on")
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        query = query_id(batch.sparkSession, checkpoint)
+        events = decode_tolerant(batch, RAW_EVENT, keep=["last"])
+        asked = enrich(events, factory, **asking).select(*RAW_EVENT, "enrichment", "last")
+        with stored(asked, "retries", f"{checkpoint}/retries/batch_id={batch_id}") as kept:
+            enriched, failed = split_enriched(kept)
+            counts = {
+                "batch": batch_id,
+                "enriched": outputs.send(enriched.drop("last"), outputs.enriched, query, batch_id),
+                "given_up": outputs.send(failed.filter("last").drop("last"), final, query, batch_id),
+                "failed": outputs.send(failed.filter("not last").drop("last"), outputs.dead_letter, query, batch_id),
+            }
+        report(counts)
+
+    failed = decode(log, RAW_EVENT, ["event_id"], keep=["payload"]).select("data.event_id", "payload")
+    return (
+        due_again(failed, attempts, pause)
+        .writeStream.queryName("retry")
+        .foreachBatch(route)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def store_log(
     log: DataFrame, root: str, checkpoint: str, *, trigger: dict, retention: str | None = None
 ) -> StreamingQuery:

@@ -318,6 +318,35 @@ SELECT * FROM tumbling {_CLOSED}""",
     "late_drop_stream": f"""
 WITH {_DOCS}, rows AS (SELECT timestamp FROM docs), {_TUMBLING}
 SELECT *, true AS some_refused FROM tumbling {_CLOSED}""",
+    "late_rows_stream": f"""
+WITH {_DOCS},
+span AS (SELECT min(epoch(timestamp)) AS low, max(epoch(timestamp)) AS high FROM docs),
+twice AS (
+  SELECT doc_id, timestamp, false AS again FROM docs
+  UNION ALL
+  SELECT doc_id, timestamp, true FROM docs, span WHERE epoch(timestamp) < low + (high - low) / 3),
+judged AS (
+  SELECT *, again AND epoch(date_trunc('minute', timestamp)) + 60 <= high - 30 AS late FROM twice, span)
+SELECT 'counted' AS kind, date_trunc('minute', timestamp) AS time, CAST(NULL AS VARCHAR) AS event_id, count(*) AS count
+FROM judged WHERE NOT late GROUP BY ALL
+UNION ALL
+SELECT 'late', timestamp, CAST(doc_id AS VARCHAR), 1 FROM judged WHERE late
+UNION ALL
+SELECT 'late_total', NULL, NULL, count(*) FROM judged WHERE late""",
+    "live_rates_stream": f"""
+WITH {_RATES},
+averaged AS (
+  SELECT *, avg(events) OVER (
+    PARTITION BY stream ORDER BY minute_start
+    RANGE BETWEEN INTERVAL 4 MINUTE PRECEDING AND CURRENT ROW) AS rolling_avg
+  FROM rates)
+SELECT * FROM averaged
+WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 30 SECOND FROM events)""",
+    "dead_letter_retries": f"""
+WITH {_DOCS}
+SELECT CAST(doc_id AS VARCHAR) AS event_id, CASE WHEN length(text) % 5 < 4 THEN length(text) / 100 END AS sentiment_score,
+       CASE WHEN length(text) % 5 < 4 THEN 'enriched' ELSE 'given up' END AS outcome
+FROM docs""",
     "window_cap": f"""
 WITH {_LAKE}
 SELECT event_id, timestamp, date_trunc('hour', timestamp) AS window_start, row_number() OVER (
@@ -325,6 +354,11 @@ SELECT event_id, timestamp, date_trunc('hour', timestamp) AS window_start, row_n
 FROM ev""",
     "window_cap_stream": f"""
 WITH {_RAW}
+SELECT {_RAW_COLUMNS}, row_number() OVER (
+  PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) > 3 AS over_cap
+FROM raw""",
+    "window_cap_state_stream": f"""
+WITH {_RAW}
 SELECT {_RAW_COLUMNS}, row_number() OVER (
   PARTITION BY date_trunc('hour', timestamp) ORDER BY timestamp, event_id) > 3 AS over_cap
 FROM raw""",

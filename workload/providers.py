@@ -36,6 +36,16 @@ class LengthProvider:
         }
 
 
+class StepProvider:
+    """Answers only texts whose length leaves a remainder below ``step`` by five."""
+
+    def __init__(self, step: int):
+        self.step = step
+
+    def enrich(self, texts: list[str]) -> list[dict[str, Any] | None]:
+        return [{"languages": ["en"], "sentiment_score": len(t) / 100} if len(t) % 5 < self.step else None for t in texts]
+
+
 class OddProvider:
     """Answers only single texts, and some of them in ways no model allows."""
 

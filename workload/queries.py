@@ -38,16 +38,19 @@ from chatterloom.sources.logs import read_log
 from chatterloom.streaming import queries as streams
 from chatterloom.streaming.control import late_rows_dropped, run_for, trigger, watch_late_rows
 from workload import frames
-from workload.providers import LengthProvider, OddProvider
+from workload.providers import LengthProvider, OddProvider, StepProvider
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _DRAIN = trigger(once=True)
+#: What results depend on, and what operators with keyed state run on, in a session built elsewhere.
+_NEEDED = ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass")
 
 
 def _query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", SETTINGS["spark.sql.session.timeZone"])
+        for key in _NEEDED:
+            spark.conf.set(key, SETTINGS[key])
         return frames.plain(function(spark, sf_dir))
 
     _QUERIES[function.__name__] = run
@@ -164,10 +167,12 @@ def trending_words_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES, FILES = 3, 4
 
 
-def _timed_log(spark: SparkSession, events: DataFrame, *, again: bool = False) -> DataFrame:
+def _timed_log(
+    spark: SparkSession, events: DataFrame, *, again: bool = False, end: DataFrame | None = None
+) -> DataFrame:
     """Events as a JSON log that a stream reads in ``SLICES`` micro-batches, in time order.
 
-    ``again``: the first slice comes once more, as a batch behind the others.
+    ``again``: the first slice comes once more, as a batch behind the others. ``end``: events of one last file.
     """
     log_dir = scratch_path(spark, "log")
     seconds = F.unix_micros("timestamp") / 1e6
@@ -179,6 +184,8 @@ def _timed_log(spark: SparkSession, events: DataFrame, *, again: bool = False) -
         if number + 1 < SLICES:
             part = part.filter(seconds < edges[number + 1])
         publish(part.repartition(FILES), log_dir, format="text")
+    if end is not None:
+        publish(end.coalesce(1), log_dir, format="text")
     return read_log(spark, log_dir, format="text", batch_limit=FILES)
 
 
@@ -231,6 +238,18 @@ def window_cap_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def window_cap_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by counts in state, cleared when a window is over."""
+    events, overflow = frames.raw_events(spark, sf_dir), scratch_path(spark, "overflow")
+    start = partial(streams.save_raw_capped_by_state, per_window=3, window_seconds=3600, overflow=overflow)
+    kept = _streamed(spark, events, start, "raw_events", **_unusable(spark))
+    over = decode(read_log(spark, overflow, format="text", streaming=False), RAW_EVENT)
+    return kept.withColumn("over_cap", F.lit(False)).unionByName(
+        flatten_raw(over).withColumn("over_cap", F.lit(True))
+    )
+
+
 @_query
 def tumbling_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.document_events(spark, sf_dir)
@@ -252,6 +271,42 @@ def late_drop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("some_refused", F.lit(dropped > 0))
 
 
+@_query
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log; every event is in a count or, late, kept. A last event a day ahead closes all windows before it."""
+    events = frames.document_events(spark, sf_dir)
+    ahead = F.col("timestamp") + F.expr("interval 1 day")
+    end = events.orderBy(F.desc("timestamp")).limit(1).withColumns({"timestamp": ahead, "event_id": F.lit("end")})
+    log = _timed_log(spark, events, again=True, end=end)
+    target, late, checkpoint = (scratch_path(spark, x) for x in ("counts", "late", "checkpoint"))
+    heard: list[int] = []
+    query = streams.save_counts_and_late(
+        log, target, checkpoint, trigger=_DRAIN, late=late, **_unusable(spark),
+        report=lambda counts: heard.append(counts["late"]),
+    )
+    run_for(query)
+    counts = read_table(spark, TABLES["tumbling_counts_metrics"], target)
+    behind = flatten_raw(decode(read_log(spark, late, format="text", streaming=False), RAW_EVENT))
+    nothing = F.lit(None)
+    total = spark.range(1).select(
+        F.lit("late_total").alias("kind"), nothing.cast("timestamp").alias("time"), nothing.cast("string").alias("event_id"),
+        F.lit(sum(heard)).cast("bigint").alias("count"),
+    )
+    return (
+        counts.select(F.lit("counted").alias("kind"), F.col("window_start").alias("time"), nothing.cast("string").alias("event_id"), "count")
+        .unionByName(behind.select(F.lit("late").alias("kind"), F.col("timestamp").alias("time"), "event_id", F.lit(1).cast("bigint").alias("count")))
+        .unionByName(total)
+    )
+
+
+@_query
+def live_rates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates and rolling averages per group, of all minutes the watermark has passed."""
+    events = frames.raw_events(spark, sf_dir)
+    start = partial(streams.save_live_rates, stream="posted_in_subreddit")
+    return _streamed(spark, events, start, "event_rates")
+
+
 @_query
 def save_enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = frames.enriched_events(spark, sf_dir)
@@ -398,6 +453,26 @@ def _routed(spark: SparkSession, sf_dir: str) -> streams.Outputs:
     return outputs
 
 
+@_query
+def dead_letter_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider that recovers step by step: its dead letters are asked for again, three times at most."""
+    base, log_dir = scratch_path(spark, "retries"), scratch_path(spark, "log")
+    publish(frames.document_events(spark, sf_dir), log_dir, format="text")
+    outputs = streams.Outputs(f"{base}/ok", f"{base}/dlq", f"{base}/bad", format="text")
+    asking = {"trigger": _DRAIN, "attempts": 3, "pause": 0.0}
+    log = read_log(spark, log_dir, format="text", batch_limit=2)
+    run_for(streams.enrich_log(log, partial(StepProvider, 1), outputs, f"{base}/c0", trigger=_DRAIN, **_NO_PAUSE))
+    for step in (2, 3, 4):
+        failed = read_log(spark, outputs.dead_letter, format="text")
+        run_for(streams.retry_failed(failed, partial(StepProvider, step), outputs, f"{base}/c1", final=f"{base}/final", **asking))
+    read = partial(read_log, spark, format="text", streaming=False)
+    ok, final = (flatten_enriched(decode(read(x), ENRICHED_EVENT)) for x in (outputs.enriched, f"{base}/final"))
+    columns = ["event_id", "sentiment_score", "outcome"]
+    return ok.withColumn("outcome", F.lit("enriched")).select(columns).unionByName(
+        final.withColumn("outcome", F.lit("given up")).select(columns)
+    )
+
+
 def _read_json(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", "true").json(folder)
 
