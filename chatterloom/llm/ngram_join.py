@@ -9,7 +9,8 @@ A document's tokens are the hashes (64 bits) of its distinct shingles. Two docum
 2. Equal sets become one node. Tokens of one node alone are left out, the others put in order, rare ones first.
 3. Similar nodes share a group: those of equal minima under two hashes, cut into groups of bounded rows and tokens.
    Within a group one product of the matrix of members and tokens gives all overlaps. Groups of one key meet through a
-   leader each, in rounds, so that a large family of near copies becomes one component by work in proportion to it.
+   leader each, in rounds, so that a large family of near copies becomes one component by work in proportion to it;
+   then one node of each component meets others under other hashes.
 4. Across groups: by the prefix rule, two linked sets share one of the first tokens of both, as many as their sizes and
    the least overlap allow. A row of the token-group matrix is a token with the groups whose members hold it there. A
    document and a group that meet in it, and are not one component yet, are bounded: the tokens of the document in the
@@ -43,12 +44,16 @@ _STEP = 1.05  # ratio of one class of sizes to the next
 
 @dataclass(frozen=True)
 class Rules:
-    """``size`` words a shingle, links at ``percent``; a group has some ``group_rows`` members and ``group_tokens``."""
+    """``size`` words a shingle, links at ``percent``; a group has some ``group_rows`` members and ``group_tokens``.
+
+    Nodes meet under ``keys`` keys before groups do: this changes the work, not the result.
+    """
 
     size: int = 4
     percent: int = 85
     group_rows: int = 64
     group_tokens: int = 1 << 18
+    keys: int = 4
 
     def least(self, n, m):
         """The overlap that sets of these sizes need: of both sizes as numbers, arrays or columns."""
@@ -211,10 +216,14 @@ def _within(groups: DataFrame, rules: Rules) -> DataFrame:
     return store(map_arrow(members, work, "gid bigint, node bigint, root bigint, leader boolean"), "within")
 
 
-def _family_edges(nodes: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """The groups of all nodes; edges ``u``, ``v`` within groups, and among the leaders of the groups of a key."""
-    key = F.xxhash64(_least_hash(1), _least_hash(2))
-    groups, blocks = _cut(nodes.withColumn("key", key), rules, 0)
+def _key(number: int) -> Column:
+    """Equal for sets whose least tokens under two hashes are the same."""
+    return F.xxhash64(_least_hash(2 * number + 1), _least_hash(2 * number + 2))
+
+
+def _linked_by_key(nodes: DataFrame, rules: Rules, key: int) -> tuple[DataFrame, DataFrame]:
+    """The groups of nodes by a key; edges ``u``, ``v`` within groups, and among the leaders of the groups of a key."""
+    groups, blocks = _cut(nodes.withColumn("key", _key(key)), rules, 0)
     level, found, edges, number = groups, _within(groups, rules), None, 0
     while True:
         new = found.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
@@ -227,6 +236,22 @@ def _family_edges(nodes: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]
         found = _within(level, rules)
 
 
+def _families(nodes: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The groups of all nodes, edges, and ``node``, ``root`` of those the edges join.
+
+    After the groups of the first key, the roots alone meet under other keys: what an edit of a least token has set
+    apart comes together, until few components are left to look for across groups.
+    """
+    groups, edges = _linked_by_key(nodes, rules, 0)
+    roots = store(components(edges), "roots")
+    for key in range(1, rules.keys):
+        heads = nodes.join(roots.filter("node != root").select("node").hint("merge"), "node", "left_anti")
+        _, more = _linked_by_key(store(heads, "heads"), rules, key)
+        edges = edges.unionByName(more)
+        roots = store(components(edges), "roots")
+    return groups, edges, roots
+
+
 # Across groups
 
 
@@ -248,46 +273,48 @@ def _prefixes(groups: DataFrame, rules: Rules) -> DataFrame:
 
 
 def _candidates(groups: DataFrame, rules: Rules) -> DataFrame:
-    """``gid``, ``other``, ``asked``: pairs of groups, and the nodes of the first that may have a partner in the second."""
+    """``gid``, ``other``: pairs of groups that may hold a link between two components."""
     spot = ["token", "low", "high"]
-    prefixes = store(_prefixes(groups, rules), "prefixes")
-    several = prefixes.groupBy(spot).agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select(spot)
-    prefixes = store(prefixes.join(store(several, "several").hint("merge"), spot, "left_semi"), "prefixes")
-    # A row of the matrix: the groups that hold the token, each with the one root of its members there, if it is one.
-    held = prefixes.groupBy(*spot, F.col("gid").alias("other")).agg(F.min("root").alias("a"), F.max("root").alias("b"))
-    held = store(held.select(*spot, "other", F.when(F.col("a") == F.col("b"), F.col("a")).alias("only")), "matrix")
-    met = prefixes.join(held.hint("merge"), spot).filter((F.col("gid") < F.col("other")) & (F.col("only").isNull() | (F.col("only") != F.col("root"))))
-    return met.groupBy("gid", "other").agg(F.collect_set("node").alias("asked"))
+    # A row of the matrix: the groups whose members hold the token there, with these members' roots.
+    matrix = store(_prefixes(groups, rules).groupBy(*spot, "gid", "root").agg(F.count(F.lit(1)).alias("members")), "matrix")
+    several = matrix.groupBy(spot).agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select(spot)
+    matrix = matrix.select(*spot, "gid", "root").join(store(several, "several").hint("merge"), spot, "left_semi")
+    matrix = store(matrix, "matrix")
+    right = matrix.select(*spot, F.col("gid").alias("other"), F.col("root").alias("other_root"))
+    met = matrix.join(right.hint("merge"), spot).filter((F.col("gid") < F.col("other")) & (F.col("root") != F.col("other_root")))
+    return met.select("gid", "other").distinct()
 
 
 def _across(groups: DataFrame, rules: Rules) -> DataFrame:
-    """Edges ``u``, ``v`` between nodes of different groups; stored."""
+    """Edges ``u``, ``v`` between nodes of different groups and components; stored."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for at in range(batch.num_rows):
                 left, right = (batch.column(name)[at : at + 1].flatten() for name in ("left", "right"))
-                asked = np.isin(left.field("node").to_numpy(), batch.column("asked")[at].values.to_numpy())
-                sets, n, u = [s for s, a in zip(_sets_of(left.field("tokens")), asked, strict=True) if a], left.field("n").to_numpy()[asked], left.field("node").to_numpy()[asked]
-                others, m, v = _sets_of(right.field("tokens")), right.field("n").to_numpy(), right.field("node").to_numpy()
+                n, m, u, v = (side.field(name).to_numpy() for name in ("n", "node") for side in (left, right))
+                roots, other_roots = left.field("root").to_numpy(), right.field("root").to_numpy()
+                sets, others = _sets_of(left.field("tokens")), _sets_of(right.field("tokens"))
                 union = np.unique(np.concatenate(others))
                 bound = np.array([np.isin(s, union, assume_unique=True).sum() for s in sets], np.int64)
-                fit = bound >= rules.least(n, np.maximum(m.min(), -(-n * rules.percent // 100)))
+                open_to = (roots[:, None] != other_roots[None]).any(axis=1)
+                fit = open_to & (bound >= rules.least(n, np.maximum(m.min(), -(-n * rules.percent // 100))))
                 if not fit.any():
                     continue
                 both = overlaps([s for s, f in zip(sets, fit, strict=True) if f], others, union)
-                x, y = np.nonzero(_linked(both, n[fit], m, rules.percent))
+                near = _linked(both, n[fit], m, rules.percent) & (roots[fit][:, None] != other_roots[None])
+                x, y = np.nonzero(near)
                 us.append(u[fit][x])
                 vs.append(v[y])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
 
-    members = groups.groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("node", "n", "tokens"))).alias("members"))
+    members = groups.groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("node", "n", "root", "tokens"))).alias("members"))
     members = store(members, "members")
     pairs = store(_candidates(groups, rules), "candidates")
     pairs = pairs.join(members.select("gid", F.col("members").alias("left")).hint("merge"), "gid")
     pairs = pairs.join(members.select(F.col("gid").alias("other"), F.col("members").alias("right")).hint("merge"), "other")
-    return store(map_arrow(pairs.select("left", "right", "asked"), work, "u bigint, v bigint"), "across")
+    return store(map_arrow(pairs.select("left", "right"), work, "u bigint, v bigint"), "across")
 
 
 def similar_groups(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -296,8 +323,7 @@ def similar_groups(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_i
     fit = sets.filter(F.col("fp").isNotNull())
     known = store(fit.groupBy("fp").agg(F.min("row").alias("node")), "known")
     nodes = _nodes(sets, known, rules)
-    groups, edges = _family_edges(nodes, rules)
-    roots = store(components(edges), "roots")
+    groups, edges, roots = _families(nodes, rules)
     rooted = groups.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     roots = components(edges.unionByName(_across(store(rooted, "rooted"), rules)))
     labels = store(known.join(roots.hint("merge"), "node", "left").select("fp", F.coalesce("root", "node").alias("root")), "labels")

@@ -262,6 +262,11 @@ ORACLE = {
 WITH {_UNIQUE}
 SELECT date_trunc('week', timestamp)::TIMESTAMP AS week_start, topic, count(*) AS topic_count
 FROM (SELECT timestamp, unnest(enrichment_topics) AS topic FROM uniq) GROUP BY ALL""",
+    "weekly_topics_incremental": f"""
+WITH {_UNIQUE}
+SELECT date_trunc('week', timestamp)::TIMESTAMP AS week_start, topic, count(*) AS topic_count
+FROM (SELECT timestamp, unnest(enrichment_topics) AS topic FROM uniq) GROUP BY ALL""",
+    "daily_sentiment_incremental": _sentiment("day"),
     "top_posts": f"""
 WITH {_UNIQUE}
 SELECT date_trunc('day', timestamp) AS day_start, posted_in_subreddit AS subreddit, event_id, title,
