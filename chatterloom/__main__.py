@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatterloom.operators.enrich import provider_factory
@@ -25,7 +26,7 @@ TABLE_STREAMS = {
 # Bounds of a micro-batch, so that a first run over an old topic is no single batch.
 BATCH_MESSAGES = 100_000
 BATCH_FILES = 100
-STREAMS = ("ingestion", "processing", "storage", *TABLE_STREAMS)
+STREAMS = ("ingestion", "processing", "retry", "storage", "live_rates", *TABLE_STREAMS)
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -34,7 +35,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--source", help="topic, log folder, or landed listing pages")
     parser.add_argument("--output", required=True, help="topic, lake or folder of result tables")
     parser.add_argument("--lake", help="event lake (or, for event_rates, folder of event tables) to read")
-    parser.add_argument("--dead-letter", help="topic or folder for events without enrichment")
+    parser.add_argument("--dead-letter", help="topic or folder for events without enrichment; retry reads it")
+    parser.add_argument("--final", help="topic or folder for events that retry gives up")
+    parser.add_argument("--attempts", type=int, default=3, help="how often retry asks for an event")
+    parser.add_argument("--pause", type=float, default=60.0, help="seconds before the first retry; none with --once")
     parser.add_argument(
         "--quarantine",
         help="topic or folder for unusable messages (a folder for the save and storage jobs)",
@@ -67,6 +71,8 @@ def _required(job: str) -> list[str]:
     if job not in STREAMS:
         return ["lake"] if job in (*JOBS, "all_batch", "event_rates") else []
     needed = ["source", "checkpoints"]
+    if job == "retry":
+        return ["dead_letter", "final", "quarantine", "checkpoints"]
     if job in ("ingestion", "processing", "storage", "save_raw", "save_enriched"):
         needed.append("quarantine")
     return [*needed, "dead_letter"] if job == "processing" else needed
@@ -89,7 +95,7 @@ def _start(spark, args: argparse.Namespace) -> list[StreamingQuery]:
     default = BATCH_MESSAGES if args.format == "kafka" else BATCH_FILES
     log = read_log(
         spark,
-        args.source,
+        args.dead_letter if args.job == "retry" else args.source,
         batch_limit=args.batch_limit or default,
         fail_on_data_loss=not args.allow_data_loss,
         **where,
@@ -98,6 +104,16 @@ def _start(spark, args: argparse.Namespace) -> list[StreamingQuery]:
         outputs = streams.Outputs(args.output, args.dead_letter, args.quarantine, **where)
         factory = provider_factory(args.provider)
         return [streams.enrich_log(log, factory, outputs, checkpoint("enriched_log"), trigger=when)]
+    if args.job == "retry":
+        outputs = streams.Outputs(args.output, args.dead_letter, args.quarantine, **where)
+        query = streams.retry_failed(
+            log, provider_factory(args.provider), outputs, checkpoint("retries"), trigger=when,
+            final=args.final, attempts=args.attempts, pause=0.0 if args.once else args.pause,
+        )
+        return [query]
+    if args.job == "live_rates":
+        stream = F.lit(args.source.rstrip("/").rpartition("/")[2])
+        return [streams.save_live_rates(log, f"{args.output}/event_rates", checkpoint("event_rates"), trigger=when, stream=stream)]
     if args.job == "storage":
         return [
             streams.store_log(log, args.output, checkpoint("lake"), trigger=when),

@@ -127,24 +127,29 @@ def delete_path(spark: SparkSession, path: str) -> None:
         raise OSError(f"cannot delete {path}")
 
 
+def kept_for_replay(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """``df`` as a table of this micro-batch, the same one when the batch is replayed.
+
+    It stays until the next batch begins, as only then the batch is known to be committed.
+    """
+    spark, path = df.sparkSession, f"{folder}/batch_id={batch_id}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+    delete_path(spark, f"{folder}/batch_id={batch_id - 1}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
-def stored(df: DataFrame, label: str, path: str | None = None) -> Iterator[DataFrame]:
-    """``df`` as a table in the scratch folder, deleted when the block ends well.
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` as a table in the scratch folder, deleted when the block ends.
 
     What is read from it stays the same when an executor is lost, which a
-    cached frame with outside calls in it would not. With a ``path`` of the
-    caller's, a table that is complete there is used again: after a failure,
-    the same block finds the same rows.
+    cached frame with outside calls in it would not.
     """
     spark = df.sparkSession
-    kept = path is not None
-    path = path or scratch_path(spark, label)
-    if not (kept and path_exists(spark, f"{path}/_SUCCESS")):
-        df.write.mode("overwrite").parquet(path)
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
-    except BaseException:
-        if not kept:
-            delete_path(spark, path)
-        raise
-    delete_path(spark, path)
+    finally:
+        delete_path(spark, path)

@@ -23,7 +23,10 @@ def drop_days_before(spark: SparkSession, root: str, keep_days: int, as_of: date
     oldest = as_of - timedelta(days=keep_days)
 
     def is_old(parts: dict[str, str]) -> date | None:
-        day = date(int(parts["year"]), int(parts["month"]), int(parts["day"]))
+        levels = [parts[name] for name in ("year", "month", "day")]
+        if not all(level.isdigit() for level in levels):
+            return None  # rows without a time have no age
+        day = date(*map(int, levels))
         return day if day < oldest else None
 
     return _drop(spark, root, "year=*/month=*/day=*", is_old)

@@ -27,7 +27,7 @@ from chatterloom.operators.trending import (
 )
 from chatterloom.operators.validate import split_checked, split_valid, with_violations
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
-from chatterloom.session import stored
+from chatterloom.session import kept_for_replay
 from chatterloom.sinks.lake import stream_to_lake
 from chatterloom.sinks.logs import publish_batch, query_id
 from chatterloom.sinks.tables import insert_ignore, insert_ignore_batches
@@ -440,15 +440,14 @@ def enrich_log(
             usable, rejected = split_checked(checked)
             asked = enrich(usable, factory, **asking).select(*RAW_EVENT, "enrichment")
             # Asked once: both outputs read the same kept replies, a replay too.
-            replies = f"{checkpoint}/replies/batch_id={batch_id}"
-            with stored(asked, "replies", replies) as kept:
-                enriched, failed = split_enriched(kept)
-                counts = {
-                    "batch": batch_id,
-                    "enriched": outputs.send(enriched, outputs.enriched, query, batch_id),
-                    "failed": outputs.send(failed, outputs.dead_letter, query, batch_id),
-                    "quarantined": outputs.send(rejected, outputs.quarantine, query, batch_id),
-                }
+            kept = kept_for_replay(asked, f"{checkpoint}/replies", batch_id)
+            enriched, failed = split_enriched(kept)
+            counts = {
+                "batch": batch_id,
+                "enriched": outputs.send(enriched, outputs.enriched, query, batch_id),
+                "failed": outputs.send(failed, outputs.dead_letter, query, batch_id),
+                "quarantined": outputs.send(rejected, outputs.quarantine, query, batch_id),
+            }
         finally:
             checked.unpersist()
         report(counts)
@@ -491,14 +490,14 @@ def retry_failed(
         query = query_id(batch.sparkSession, checkpoint)
         events = decode_tolerant(batch, RAW_EVENT, keep=["last"])
         asked = enrich(events, factory, **asking).select(*RAW_EVENT, "enrichment", "last")
-        with stored(asked, "retries", f"{checkpoint}/retries/batch_id={batch_id}") as kept:
-            enriched, failed = split_enriched(kept)
-            counts = {
-                "batch": batch_id,
-                "enriched": outputs.send(enriched.drop("last"), outputs.enriched, query, batch_id),
-                "given_up": outputs.send(failed.filter("last").drop("last"), final, query, batch_id),
-                "failed": outputs.send(failed.filter("not last").drop("last"), outputs.dead_letter, query, batch_id),
-            }
+        kept = kept_for_replay(asked, f"{checkpoint}/retries", batch_id)
+        enriched, failed = split_enriched(kept)
+        counts = {
+            "batch": batch_id,
+            "enriched": outputs.send(enriched.drop("last"), outputs.enriched, query, batch_id),
+            "given_up": outputs.send(failed.filter("last").drop("last"), final, query, batch_id),
+            "failed": outputs.send(failed.filter("not last").drop("last"), outputs.dead_letter, query, batch_id),
+        }
         report(counts)
 
     failed = decode(log, RAW_EVENT, ["event_id"], keep=["payload"]).select("data.event_id", "payload")

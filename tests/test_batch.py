@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -223,4 +224,6 @@ def test_old_days_are_dropped(spark, path):
     _lake(spark, path("lake"))
     dropped = drop_days_before(spark, path("lake"), 5, date(2024, 1, 21))
     assert dropped == [date(2024, 1, d) for d in range(1, 16)]
+    os.makedirs(path("lake") + "/year=__HIVE_DEFAULT_PARTITION__/month=01/day=01")
+    assert drop_days_before(spark, path("lake"), 5, date(2024, 1, 21)) == []
     assert read_lake(spark, path("lake")).agg(F.min("day")).first()[0] == 16

@@ -28,6 +28,11 @@ def test_whole_flow(spark, path, tmp_path):
     for job in ("save_enriched", "trending_topics"):
         extra = ["--quarantine", path("bad_raw")] if job == "save_enriched" else []
         main([job, "--source", path("ok"), "--output", path("tables"), *extra, *common])
+    main(["live_rates", "--source", path("raw"), "--output", path("live"), *common])
+    assert {r.stream for r in read_table(spark, TABLES["event_rates"], path("live") + "/event_rates").collect()} == {"raw"}
+    again = ["--output", path("ok"), "--dead-letter", path("dlq"), "--final", path("final"), "--quarantine", path("bad")]
+    (tmp_path / "dlq").mkdir(exist_ok=True)
+    main(["retry", *again, *common])
     main(["event_rates", "--lake", path("tables"), "--output", path("tables")])
     main(["top_posts", "--lake", path("lake"), "--output", path("tables")])
     main(["all_batch", "--lake", path("lake"), "--output", path("tables")])
@@ -61,6 +66,7 @@ def test_unknown_job():
         ("storage", ["--checkpoints", "c"], "--quarantine"),
         ("ingestion", ["--checkpoints", "c"], "--quarantine"),
         ("trending_words", [], "--checkpoints"),
+        ("retry", ["--dead-letter", "d", "--quarantine", "q", "--checkpoints", "c"], "--final"),
     ],
 )
 def test_missing_arguments_are_named(capsys, job, given, missing):

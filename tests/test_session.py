@@ -33,16 +33,6 @@ def test_stored_frames_are_deleted(spark, tmp_path):
         spark.read.parquet(folder).count()
 
 
-def test_stored_frames_of_a_failed_block_are_found_again(spark, tmp_path):
-    path = str(tmp_path / "kept")
-    with pytest.raises(KeyError):
-        with stored(spark.range(3), "numbers", path):
-            raise KeyError
-    with stored(spark.range(5), "numbers", path) as kept:
-        assert kept.count() == 3
-    assert not (tmp_path / "kept").exists()
-
-
 def test_settings(spark):
     assert all(spark.conf.get(k) == v for k, v in SETTINGS.items())
     s3 = object_store_settings("http://store:9000", "key", "secret")
