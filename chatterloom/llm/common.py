@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterloom.session import scratch_path
+from chatterloom.session import delete_path, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -22,8 +22,27 @@ def store(df: DataFrame, label: str, *partition: str) -> DataFrame:
     return read_stored(df, write_scratch(df, label, *partition))
 
 
+_MADE: list[list[str]] = []
+
+
+def settled(build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``build`` returns, stored; the tables it stored on its way are deleted then."""
+    _MADE.append([])
+    try:
+        df = build()
+        path = scratch_path(df.sparkSession, label)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        made = _MADE.pop()
+    for one in made:
+        delete_path(df.sparkSession, one)
+    return read_stored(df, path)
+
+
 def write_scratch(df: DataFrame, label: str, *partition: str) -> str:
     path = scratch_path(df.sparkSession, label)
+    if _MADE:
+        _MADE[-1].append(path)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
     return path

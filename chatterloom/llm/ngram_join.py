@@ -10,7 +10,7 @@ A document's tokens are the hashes (64 bits) of its distinct shingles. Two docum
 3. Similar nodes share a group: those of equal minima under two hashes, cut into groups of bounded rows and tokens.
    Within a group one product of the matrix of members and tokens gives all overlaps. Groups of one key meet through a
    leader each, in rounds, so that a large family of near copies becomes one component by work in proportion to it;
-   then one node of each component meets others under other hashes.
+   then one node of each component meets others under another key.
 4. Across groups: by the prefix rule, two linked sets share one of the first tokens of both, as many as their sizes and
    the least overlap allow. A row of the token-group matrix is a token with the groups whose members hold it there. A
    document and a group that meet in it, and are not one component yet, are bounded: the tokens of the document in the
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterloom.llm import chunks as C
-from chatterloom.llm.common import map_arrow, store
+from chatterloom.llm.common import map_arrow, settled, store
 from chatterloom.llm.components import components
 
 _SEED = 42
@@ -53,7 +53,7 @@ class Rules:
     percent: int = 85
     group_rows: int = 64
     group_tokens: int = 1 << 18
-    keys: int = 4
+    keys: int = 2
 
     def least(self, n, m):
         """The overlap that sets of these sizes need: of both sizes as numbers, arrays or columns."""
@@ -216,14 +216,10 @@ def _within(groups: DataFrame, rules: Rules) -> DataFrame:
     return store(map_arrow(members, work, "gid bigint, node bigint, root bigint, leader boolean"), "within")
 
 
-def _key(number: int) -> Column:
-    """Equal for sets whose least tokens under two hashes are the same."""
-    return F.xxhash64(_least_hash(2 * number + 1), _least_hash(2 * number + 2))
-
-
 def _linked_by_key(nodes: DataFrame, rules: Rules, key: int) -> tuple[DataFrame, DataFrame]:
     """The groups of nodes by a key; edges ``u``, ``v`` within groups, and among the leaders of the groups of a key."""
-    groups, blocks = _cut(nodes.withColumn("key", _key(key)), rules, 0)
+    hashes = F.xxhash64(_least_hash(2 * key + 1), _least_hash(2 * key + 2))
+    groups, blocks = _cut(nodes.withColumn("key", hashes), rules, 0)
     level, found, edges, number = groups, _within(groups, rules), None, 0
     while True:
         new = found.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
@@ -237,17 +233,16 @@ def _linked_by_key(nodes: DataFrame, rules: Rules, key: int) -> tuple[DataFrame,
 
 
 def _families(nodes: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The groups of all nodes, edges, and ``node``, ``root`` of those the edges join.
+    """The groups of all nodes by the first key, edges, and ``node``, ``root`` of those that the edges join.
 
-    After the groups of the first key, the roots alone meet under other keys: what an edit of a least token has set
-    apart comes together, until few components are left to look for across groups.
+    One node of each component meets others under further keys: what an edit of a least token has set apart comes
+    together before groups are compared.
     """
     groups, edges = _linked_by_key(nodes, rules, 0)
     roots = store(components(edges), "roots")
     for key in range(1, rules.keys):
         heads = nodes.join(roots.filter("node != root").select("node").hint("merge"), "node", "left_anti")
-        _, more = _linked_by_key(store(heads, "heads"), rules, key)
-        edges = edges.unionByName(more)
+        edges = edges.unionByName(_linked_by_key(store(heads, "heads"), rules, key)[1])
         roots = store(components(edges), "roots")
     return groups, edges, roots
 
@@ -275,13 +270,14 @@ def _prefixes(groups: DataFrame, rules: Rules) -> DataFrame:
 def _candidates(groups: DataFrame, rules: Rules) -> DataFrame:
     """``gid``, ``other``: pairs of groups that may hold a link between two components."""
     spot = ["token", "low", "high"]
-    # A row of the matrix: the groups whose members hold the token there, with these members' roots.
-    matrix = store(_prefixes(groups, rules).groupBy(*spot, "gid", "root").agg(F.count(F.lit(1)).alias("members")), "matrix")
-    several = matrix.groupBy(spot).agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select(spot)
-    matrix = matrix.select(*spot, "gid", "root").join(store(several, "several").hint("merge"), spot, "left_semi")
+    # A row of the matrix: the groups whose members hold the token there, and whether these are of one root.
+    matrix = _prefixes(groups, rules).groupBy(*spot, "gid").agg(F.min("root").alias("a"), F.max("root").alias("b"))
     matrix = store(matrix, "matrix")
-    right = matrix.select(*spot, F.col("gid").alias("other"), F.col("root").alias("other_root"))
-    met = matrix.join(right.hint("merge"), spot).filter((F.col("gid") < F.col("other")) & (F.col("root") != F.col("other_root")))
+    several = matrix.groupBy(spot).agg(F.min("a").alias("a"), F.max("b").alias("b")).filter("a != b").select(spot)
+    matrix = store(matrix.join(store(several, "several").hint("merge"), spot, "left_semi"), "matrix")
+    right = matrix.select(*spot, F.col("gid").alias("other"), F.col("a").alias("other_a"), F.col("b").alias("other_b"))
+    one_root = (F.col("a") == F.col("b")) & (F.col("other_a") == F.col("other_b")) & (F.col("a") == F.col("other_a"))
+    met = matrix.join(right.hint("merge"), spot).filter((F.col("gid") < F.col("other")) & ~one_root)
     return met.select("gid", "other").distinct()
 
 
@@ -317,8 +313,7 @@ def _across(groups: DataFrame, rules: Rules) -> DataFrame:
     return store(map_arrow(pairs.select("left", "right"), work, "u bigint, v bigint"), "across")
 
 
-def similar_groups(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``n_shingles``, ``component_id`` (the smallest id that links reach) of every row."""
+def _components(docs: DataFrame, rules: Rules, id_col: str, text_col: str) -> DataFrame:
     sets = _common_tokens(C.store_chunks(docs, id_col, text_col), rules)
     fit = sets.filter(F.col("fp").isNotNull())
     known = store(fit.groupBy("fp").agg(F.min("row").alias("node")), "known")
@@ -332,3 +327,8 @@ def similar_groups(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_i
     found = of_rows.join(least.hint("merge"), "root").select("row", "component_id", F.lit(True).alias("known"))
     component = F.when(F.col("known"), F.col("component_id")).otherwise(F.col("id"))
     return sets.select("row", "id", "n").join(found.hint("merge"), "row", "left").select("id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def similar_groups(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id``, ``n_shingles``, ``component_id`` (the smallest id that links reach) of every row."""
+    return settled(lambda: _components(docs, rules, id_col, text_col), "similar")

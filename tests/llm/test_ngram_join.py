@@ -97,9 +97,9 @@ def test_edges_and_empty(spark, edge_docs, no_docs):
     assert J.similar_groups(no_docs).collect() == []
 
 
-@pytest.mark.parametrize(("edits", "linked"), [(1, True), (3, True), (5, False), (9, False)])
+@pytest.mark.parametrize(("edits", "linked"), [(1, True), (4, True), (5, False), (7, False)])
 def test_work_grows_with_a_family(spark, monkeypatch, edits, linked):
-    """Similarities of about 0.96, 0.89, 0.82 and 0.69: the overlaps computed stay in proportion to the copies."""
+    """Similarities of about 0.95, 0.82, 0.78 and 0.70: the overlaps computed stay in proportion to the copies."""
     counts = []
     for copies in (150, 300):
         done = spark.sparkContext.accumulator(0)
@@ -112,17 +112,13 @@ def test_work_grows_with_a_family(spark, monkeypatch, edits, linked):
         with monkeypatch.context() as patched:
             patched.setattr(J, "overlaps", counted)
             texts = family(0, copies, 400, edits, random.Random(edits))
-            ids = {c for _, _, c in _local(spark, texts)}
+            ids = {c for _, _, c in found(spark, list(enumerate(texts)), J.Rules(5, 80))}
         assert (len(ids) == 1) == linked
         counts.append(done.value)
     assert counts[1] > 0 or not linked
     assert counts[1] < 2.6 * counts[0] + 1000
 
 
-def _local(spark, texts):
-    return found(spark, list(enumerate(texts)))
-
-
 def test_overlaps():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, 20)) for _ in range(9)]
