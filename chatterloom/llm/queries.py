@@ -109,6 +109,23 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+ORACLE["op1_warc"] = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id,
+    array_to_string(list_transform(string_split(sha1(payload), ''),
+      lambda c: bin(('0x' || c)::INTEGER)[-4:].lpad(4, '0')), '') AS bits
+  FROM p)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + list_sum(list_transform(range(5), lambda k: CASE WHEN bits[5 * i + k + 1] = '1' THEN 16 >> k::INTEGER ELSE 0 END))::INTEGER,
+    1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to, url
+FROM h
+"""
+
+
 @_query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the strings of 50 bytes that a document with a smaller id has."""
