@@ -11,7 +11,7 @@ coordinate differs by more than the radius, and the survivors are verified on th
 * ``EXACT``: one word, radius 2. Four blocks of 16 bits; two flipped bits leave two blocks untouched, so the six pairs
   of blocks find every link. Buckets over ``bucket_rows`` are dealt again by the halves, then the quarters of their
   other blocks; after that a bucket has 8 free bits, 256 fingerprints at most. Nothing is lost and no task is large.
-* ``banded()``: links at a Jaccard similarity of the shingle sets themselves, see ``minhash.py``.
+* ``by_sets()``: links at a Jaccard similarity of the shingle sets themselves, all of them, by ``ngram_join.py``.
 
 Only distinct fingerprints are compared, and a bucket yields a spanning forest of its links, never all pairs.
 Null and blank texts have fingerprint zero, which is linked like any other; repeated rows share a component.
@@ -26,14 +26,15 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatterloom.llm import minhash
-from chatterloom.llm.common import free_name, map_pandas, store
+from chatterloom.llm import ngram_join
+from chatterloom.llm.common import free_name, map_pandas, settled, store
 from chatterloom.llm.components import components
-from chatterloom.llm.minhash import shingle_hashes
 
+_SEED = 42
 _BYTE_LANES = np.uint64(0x0101010101010101)
 _UNIT_BITS = 4  # a larger radius than this discards nothing by coordinates of one unit
 _UNIT_MASKS = (0b0001, 0b0011, 0b0110, 0b1111)  # independent over the reals
@@ -43,28 +44,41 @@ _UNIT_MASKS = (0b0001, 0b0011, 0b0110, 0b1111)  # independent over the reals
 class Plan:
     """``words`` 64-bit words from shingles of ``shingle`` words; links at ``radius`` or fewer differing bits.
 
-    ``banded``: links at a Jaccard ``similarity`` of the shingle sets, by ``minhash.py``; no word and no radius counts.
+    ``percent``: links at this Jaccard similarity of the shingle sets, by ``ngram_join.py``; no word and no radius counts.
     """
 
     shingle: int
     words: int
     radius: int
-    banded: bool
     bucket_rows: int = 256
-    similarity: float = 0.8
+    percent: int | None = None
 
 
-EXACT = Plan(shingle=3, words=1, radius=2, banded=False)
+EXACT = Plan(shingle=3, words=1, radius=2)
 
 
-def banded(shingle: int = 5, similarity: float = 0.8) -> Plan:
+def by_sets(shingle: int = 5, percent: int = 80) -> Plan:
     """A plan that links texts whose shingle sets have this Jaccard similarity."""
-    return Plan(shingle, 0, 0, True, bucket_rows=4096, similarity=similarity)
+    return Plan(shingle, 0, 0, percent=percent)
 
 
 # Fingerprints
 
 
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """XXH64 of every shingle of the whole text, repeats included."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate(([0], ends[:-1]))
+    n = max(len(words) - size + 1, 1)
+    digest = xxhash.xxh64_intdigest
+    spans = zip(starts[:n].tolist(), (ends[min(size, len(words)) - 1 :] - 1).tolist(), strict=True)
+    return np.fromiter((digest(joined[a:b], _SEED) for a, b in spans), np.uint64, n)
+
+
 def _bit_counts(values: np.ndarray) -> np.ndarray:
     """How often each of 64 bits is set in each row: byte-wide lanes add up 255 values at a time."""
     words, n = values.shape
@@ -246,6 +260,18 @@ def near_components(rows: DataFrame, plan: Plan) -> DataFrame:
     return rows.join(labels.hint("merge"), "fp")
 
 
+def _kept_rows(docs: DataFrame, plan: Plan, row: str, id_col: str, text_col: str) -> DataFrame:
+    if plan.percent is not None:
+        found = ngram_join.similar_groups(docs, ngram_join.Rules(plan.shingle, plan.percent), row, text_col)
+        # Texts without words are copies of each other; rows have no negative numbers.
+        found = found.withColumn("component_id", F.when(F.col("n_shingles") == 0, -1).otherwise(F.col("component_id")))
+    else:
+        found = near_components(fingerprints(docs, plan, row, text_col), plan)
+    ids = docs.select(F.col(row).alias("id"), F.struct(F.col(id_col).isNull(), id_col, row).alias("rank"))
+    first = found.join(ids, "id").groupBy("component_id").agg(F.min("rank").alias("rank"))
+    return first.select(F.col(f"rank.{row}").alias(row))
+
+
 def keep_one(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each component: that of the smallest id.
 
@@ -253,11 +279,5 @@ def keep_one(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str
     """
     row = free_name(docs.columns, "simhash_row")
     docs = store(docs.withColumn(row, F.monotonically_increasing_id()), "batch")
-    if plan.banded:
-        found = minhash.near_components(docs, plan.shingle, plan.similarity, plan.bucket_rows, row, text_col)
-    else:
-        found = near_components(fingerprints(docs, plan, row, text_col), plan)
-    ids = docs.select(F.col(row).alias("id"), F.struct(F.col(id_col).isNull(), id_col, row).alias("rank"))
-    first = found.join(ids, "id").groupBy("component_id").agg(F.min("rank").alias("rank"))
-    keep = first.select(F.col(f"rank.{row}").alias(row))
+    keep = settled(lambda: _kept_rows(docs, plan, row, id_col, text_col), "kept")
     return docs.join(keep, row, "left_semi").drop(row)

@@ -68,7 +68,7 @@ def _clusters(seed, free_bits, n):
 @pytest.mark.parametrize(("seed", "free_bits"), [(1, 60), (2, 12)])
 def test_hot_buckets_lose_no_link(spark, seed, free_bits):
     fps = _clusters(seed, free_bits, 700)
-    plan = S.Plan(shingle=3, words=1, radius=2, banded=False, bucket_rows=40)
+    plan = S.Plan(shingle=3, words=1, radius=2, bucket_rows=40)
     rows = spark.createDataFrame([(i, f.to_bytes(8, "big")) for i, f in enumerate(fps)], "id bigint, fp binary")
     found = {r.id: r.component_id for r in S.near_components(rows, plan).collect()}
     assert [found[i] for i in range(len(fps))] == brute_components(list(range(len(fps))), fps, 2)
@@ -93,17 +93,21 @@ def test_keep_one_of_near_copies(spark, edge_docs, no_docs):
     near = [(i, " ".join([*words[:k], "changed", *words[k + 1 :]])) for i, k in enumerate((10, 60, 150, 290))]
     far = [(9, " ".join(words[:150] + [f"v{i}" for i in range(150)])), (None, " ".join(words)), (12, "one of its own"), (12, "one of its own")]
     docs = spark.createDataFrame([(*r, "f", "k") for r in near + far], "doc_id bigint, text string, fp string, node string")
-    kept = S.keep_one(docs, S.banded())
+    kept = S.keep_one(docs, S.by_sets())
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [0, 9, 12]
-    assert S.keep_one(no_docs, S.banded()).collect() == []
-    kept = [r.doc_id for r in S.keep_one(edge_docs, S.banded()).collect()]
+    assert S.keep_one(no_docs, S.by_sets()).collect() == []
+    kept = [r.doc_id for r in S.keep_one(edge_docs, S.by_sets()).collect()]
     assert 3 in kept and not {7, 4} & set(kept) and len([k for k in kept if k in (10, 11)]) == 1
 
 
-def test_hot_band_is_dealt_in_blocks(spark):
-    words = [f"w{i * 7919 % 1000}" for i in range(400)]
-    rows = [(i, " ".join([*words[: i % 400], f"new{i}", *words[i % 400 + 1 :]])) for i in range(500)]
-    plan = S.Plan(5, 16, S.banded().radius, True, bucket_rows=60)
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert [r.doc_id for r in S.keep_one(docs, plan).collect()] == [0]
+def test_pairs_go_at_the_similarity_and_stay_below(spark):
+    def pair(number, same, own):
+        words = [f"p{number}w{i}" for i in range(same + 4)]
+        return [" ".join([*words, *(f"p{number}{side}{i}" for i in range(own))]) for side in "ab"]
+
+    at = [pair(i, 240, 30) for i in range(30)] + [pair(i, 8, 1) for i in range(30, 50)]  # exactly 0.8
+    below = [pair(i, 239, 30) for i in range(50, 80)] + [pair(i, 7, 1) for i in range(80, 100)]  # 0.799, 0.778
+    rows = [(2 * n + k, text) for n, both in enumerate(at + below) for k, text in enumerate(both)]
+    kept = {r.doc_id for r in S.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), S.by_sets()).collect()}
+    assert kept == {2 * n for n in range(100)} | {2 * n + 1 for n in range(50, 100)}
