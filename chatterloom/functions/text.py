@@ -25,7 +25,7 @@ _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 def words(title: Column, content: Column) -> Column:
     """Lower-cased words of title and content; ASCII punctuation separates."""
     text = F.lower(F.concat_ws(" ", title, content))
-    return F.split(F.regexp_replace(text, r"\p{Punct}", " "), r"\s+")
+    return F.split(text, r"[\p{Punct}\s]+")
 
 
 def is_trend_word(word: Column, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:

@@ -7,7 +7,11 @@ watermark has passed the window's end.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,17 +49,76 @@ def per_window(
     return counts.select(*bounds, *keys, into)
 
 
-def trend_words(events: DataFrame, stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
-    """(timestamp, word) of every counted word."""
-    spoken = events.select(
-        "timestamp", F.explode(words(F.col("title"), F.col("content"))).alias("word")
-    )
+#: So many windows that begin one after the other are counted as one row per key.
+_BLOCK = 4
+_PLACE = ("_block", "_pane")
+
+
+def _micros(length: str) -> int | None:
+    """A plain length of time in microseconds; None for one that only Spark can read."""
+    try:
+        return int(pd.Timedelta(length).value // 1000)
+    except ValueError:
+        return None
+
+
+@dataclass(frozen=True)
+class _Panes:
+    """Sliding windows as runs of ``run`` panes, each ``step`` microseconds long; ``_BLOCK`` windows make a block.
+
+    A row is in one pane, whatever the number of windows it is in, and the panes of a block are columns of one row per
+    key: a key that comes again in a block is shuffled once. The first panes of a block end windows of the block before,
+    so rows in them are placed there, too.
+    """
+
+    step: int
+    run: int
+
+    @classmethod
+    def of(cls, rows: DataFrame, size: str, every: str | None, time: str = "timestamp") -> _Panes | None:
+        """None where panes do not apply: on streams, whose windows close one by one, and for uneven windows."""
+        width, step = _micros(size), _micros(every or size)
+        if rows.isStreaming or dict(rows.dtypes)[time] != "timestamp" or not width or not step or width % step:
+            return None
+        return cls(step, width // step) if width // step <= _BLOCK else None
+
+    def place(self, rows: DataFrame, time: str = "timestamp") -> DataFrame:
+        """Rows that have a time, with the ``_block`` (its first microsecond) and the ``_pane`` in it."""
+        span = self.step * _BLOCK
+        at = F.unix_micros(time)
+        block = at - F.pmod(at, F.lit(span))
+        pane = F.floor(F.pmod(at, F.lit(span)) / self.step).cast("int")
+        here = F.struct(block.alias("_block"), pane.alias("_pane"))
+        before = F.struct((block - span).alias("_block"), (pane + _BLOCK).alias("_pane"))
+        places = F.when(pane < self.run - 1, F.array(here, before)).otherwise(F.array(here))
+        return rows.filter(F.col(time).isNotNull()).select("*", F.inline(places))
+
+    def count(self, placed: DataFrame, keys: Sequence[str], into: str) -> DataFrame:
+        panes = [f"_n{n}" for n in range(_BLOCK + self.run - 1)]
+        inside = [F.count(F.when(F.col("_pane") == n, 1)).alias(name) for n, name in enumerate(panes)]
+        blocks = placed.groupBy("_block", *keys).agg(*inside)
+        windows = []
+        for n in range(_BLOCK):
+            start = F.col("_block") + n * self.step
+            total = reduce(add, [F.col(name) for name in panes[n : n + self.run]])
+            end = start + self.run * self.step
+            edges = [F.timestamp_micros(x).alias(f"window_{name}") for name, x in (("start", start), ("end", end))]
+            windows.append(F.struct(*edges, total.alias(into)))
+        found = blocks.select(*keys, F.inline(F.array(*windows))).filter(F.col(into) > 0)
+        return found.select("window_start", "window_end", *keys, into)
+
+
+def trend_words(
+    events: DataFrame, stop_words: tuple[str, ...] = STOP_WORDS, *, keep: Sequence[str] = ("timestamp",)
+) -> DataFrame:
+    """(timestamp, word) of every counted word; ``keep`` names other columns to stay."""
+    spoken = events.select(*keep, F.explode(words(F.col("title"), F.col("content"))).alias("word"))
     return spoken.filter(is_trend_word(F.col("word"), stop_words))
 
 
-def trend_topics(events: DataFrame) -> DataFrame:
-    """(timestamp, topic) of every named topic, cleaned, blanks dropped."""
-    named = events.select("timestamp", F.explode("topics").alias("topic"))
+def trend_topics(events: DataFrame, *, keep: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """(timestamp, topic) of every named topic, cleaned, blanks dropped; ``keep`` names other columns to stay."""
+    named = events.select(*keep, F.explode("topics").alias("topic"))
     return named.withColumn("topic", clean_topic(F.col("topic"))).filter(F.col("topic") != "")
 
 
@@ -67,6 +130,10 @@ def trending_words(
     slide: str = SLIDE,
     watermark: str | None = WATERMARK,
 ) -> DataFrame:
+    panes = _Panes.of(events, window, slide)
+    if panes is not None:
+        spoken = trend_words(panes.place(events), stop_words, keep=_PLACE)
+        return panes.count(spoken, ["word"], "count")
     spoken = trend_words(events, stop_words)
     return per_window(spoken, ["word"], size=window, every=slide, grace=watermark)
 
@@ -78,6 +145,9 @@ def trending_topics(
     slide: str = SLIDE,
     watermark: str | None = WATERMARK,
 ) -> DataFrame:
+    panes = _Panes.of(events, window, slide)
+    if panes is not None:
+        return panes.count(trend_topics(panes.place(events), keep=_PLACE), ["topic"], "count")
     return per_window(trend_topics(events), ["topic"], size=window, every=slide, grace=watermark)
 
 

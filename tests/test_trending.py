@@ -9,6 +9,7 @@ from chatterloom.operators.retention import retain
 from chatterloom.operators.trending import (
     first_per_window,
     mark_over_cap,
+    per_window,
     trend_topics,
     trend_words,
     trending_topics,
@@ -101,3 +102,18 @@ def test_retain(spark):
     assert retain(df, 30).count() == 31
     assert retain(df, 30, as_of=T0 + timedelta(days=45)).count() == 25
     assert retain(df.filter("false"), 30).count() == 0
+
+
+def test_sliding_windows_count_each_row_once_before_the_shuffle(spark):
+    """A batch shuffles panes, of which each row has one, not the windows, and finds the same counts."""
+    events = spark.createDataFrame(
+        [(at(7 * n - 200), f"word{n % 3} other{n}", "again again") for n in range(60)] + [(None, "word0", "lost")],
+        "timestamp timestamp, title string, content string",
+    )
+    for size, slide in (("30 seconds", "15 seconds"), ("1 minute", "1 minute"), ("45 seconds", "15 seconds"), ("40 seconds", "15 seconds")):
+        found = trending_words(events, window=size, slide=slide)
+        plain = per_window(trend_words(events), ["word"], size=size, every=slide)
+        assert rows(found) == rows(plain) and found.dtypes == plain.dtypes
+    assert "Expand" not in plan_text(trending_words(events), "simple")
+    topics = events.selectExpr("timestamp", "split(title, ' ') AS topics")
+    assert rows(trending_topics(topics)) == rows(per_window(trend_topics(topics), ["topic"], size="30 seconds", every="15 seconds"))
