@@ -30,3 +30,13 @@ def test_entry_has_rows(spark):
 @pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, db, name):
     assert compare(all_queries()[name](spark, SMALL), db.sql(ORACLE[name])) == ""
+
+
+def test_streams_get_the_state_settings_in_any_session(spark):
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    spark.conf.set(key, "true")
+    try:
+        all_queries()["tumbling_counts_batch"](spark, SMALL)
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, "false")
