@@ -10,7 +10,9 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -21,6 +23,8 @@ from chatterloom.schemas import RAW_EVENT
 _MILLI = 1000  # microseconds
 #: Rows that need no state of their window are spread over so many keys.
 SPREAD = 64
+#: Up to so many rows of a window in one batch of a task stay under one key: each key costs calls for its state.
+FEW_ROWS = 64
 
 
 def _window_of(at: Column, seconds: int) -> Column:
@@ -172,11 +176,9 @@ class _Count(StatefulProcessor):
             for row in rows:
                 yield Row(window=window, n=None, payload=row.payload)
             return
-        new = sum(1 for _ in rows)
-        if self._count.exists():
-            self._count.update((self._count.get()[0] + new,))
-        else:
-            self._count.update((new,))
+        new, before = sum(1 for _ in rows), self._count.get()
+        self._count.update((new + (before[0] if before else 0),))
+        if not before:
             self._handle.registerTimer(end)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -187,14 +189,28 @@ class _Count(StatefulProcessor):
         pass
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leaves only dense windows, and rows without a time, spread; the others get key 0."""
+    for batch in batches:
+        at = batch.schema.get_field_index("spread")
+        window = batch.column("window")
+        timed = np.asarray(window.is_valid())
+        _, place, sizes = np.unique(window.fill_null(0).to_numpy(), return_inverse=True, return_counts=True)
+        sparse = timed & (sizes[place] <= FEW_ROWS)
+        spread = np.where(sparse, 0, batch.column(at).to_numpy()).astype("int32")
+        yield batch.set_column(at, "spread", pa.array(spread))
+
+
 def counted(log: DataFrame, *, window_seconds: int = 60, grace: str = "30 seconds", spread: int = 16) -> DataFrame:
     """Events per tumbling window once it is over, and every message that came after that or has no time.
 
-    Rows with ``n`` are shares of a window's count, all in one batch: a window's rows are spread over ``spread`` keys.
+    Rows with ``n`` are shares of a window's count, all in one batch: a dense window's rows are spread over ``spread``
+    keys. Which key counts a row makes no difference to the sum.
     Rows with a ``payload`` are messages: behind the watermark, or, without a ``window``, without a time.
     """
     timed = _timed(log, window_seconds, grace).select("window", "payload", _spread_of(F.col("payload"), spread).alias("spread"))
-    return timed.groupBy("window", "spread").transformWithState(
+    gathered = timed.mapInArrow(_gathered, "window bigint, payload string, spread int")
+    return gathered.groupBy("window", "spread").transformWithState(
         _Count(window_seconds), "window bigint, n bigint, payload string", "Append", "EventTime"
     )
 
@@ -214,10 +230,12 @@ class _Retry(StatefulProcessor):
         self._held = handle.getValueState("held", "payload string, until bigint")
 
     def _release(self, payload: str, now: int) -> Row:
-        tried = self._tried.get()[0] + 1 if self._tried.exists() else 1
+        before = self._tried.get()
+        tried = before[0] + 1 if before else 1
         last = tried >= self._attempts
         if last:
-            self._tried.clear()
+            if before:
+                self._tried.clear()
         else:
             until = now + self._forget
             self._tried.update((tried, until))

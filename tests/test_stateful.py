@@ -6,6 +6,7 @@ import sys
 import time
 from datetime import datetime, timedelta, timezone
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -193,3 +194,15 @@ def test_the_time_limit_is_for_all_streams(spark, path):
     assert time.monotonic() - begin < 15 and not any(q.isActive for q in queries)
     drained = streams.quarantine_log(log, path("q3"), path("c3"), trigger=DRAIN)
     assert run_together([drained], 60)
+
+
+def test_only_dense_windows_are_spread():
+    """A window of few rows is one key, so its state is asked once; rows without a time stay spread."""
+    from chatterloom.streaming.stateful import FEW_ROWS, _gathered
+
+    windows = [0] * (FEW_ROWS + 1) + [60] * FEW_ROWS + [None] * 3
+    spread = [1 + n % 5 for n in range(len(windows))]
+    columns = {"window": pa.array(windows, pa.int64()), "payload": [str(n) for n in range(len(windows))], "spread": pa.array(spread, pa.int32())}
+    (out,) = _gathered(iter([pa.RecordBatch.from_pydict(columns)]))
+    expected = [0 if w == 60 else s for w, s in zip(windows, spread, strict=True)]
+    assert out.to_pydict() == {"window": windows, "payload": columns["payload"], "spread": expected}
