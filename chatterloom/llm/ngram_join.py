@@ -16,6 +16,9 @@ A document's tokens are the hashes (64 bits) of its distinct shingles. Two docum
    document and a group that meet in it, and are not one component yet, are bounded: the tokens of the document in the
    group's union must reach the least overlap with the group's smallest set. Only groups that qualify are opened.
 
+A caller that knows families of texts that may be similar (``simhash.py``: components of fingerprints) gives them: the
+nodes of a family meet first, and its groups are those of the matrix; the minima follow as further keys.
+
 No step caps or samples anything. Links within a component that is known already are not looked for, as they change no
 component.
 
@@ -135,8 +138,9 @@ def _common_tokens(chunks: C.ChunkStore, rules: Rules) -> DataFrame:
     return store(C.with_replies(chunks, replies, judge, "row bigint, id bigint, n bigint, fp binary, tokens array<bigint>"), "sets")
 
 
-def _nodes(sets: DataFrame, known: DataFrame, rules: Rules) -> DataFrame:
-    """``node``, ``n``, ``tokens`` (those of several nodes, rare ones first) of the sets that may have a link; stored."""
+def _nodes(sets: DataFrame, known: DataFrame, rules: Rules, families: DataFrame | None) -> DataFrame:
+    """``node``, ``n``, ``tokens`` (those of several nodes, rare ones first) of the sets that may have a link, and the
+    ``family`` of the document each stands for; stored."""
     single = sets.select(F.col("row").alias("node"), "n", "tokens").join(known.select("node").hint("merge"), "node")
     each = store(single.select("node", "n", F.explode("tokens").alias("token")), "tokens")
     counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -144,7 +148,12 @@ def _nodes(sets: DataFrame, known: DataFrame, rules: Rules) -> DataFrame:
     common = each.join(store(counts, "counts").hint("merge"), "token")
     ordered = common.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     fit = ordered.filter(F.size("t") * 100 >= F.col("n") * rules.percent)
-    return store(fit.select("node", "n", F.col("t.token").alias("tokens")), "nodes")
+    fit = fit.select("node", "n", F.col("t.token").alias("tokens"))
+    if families is not None:
+        ids = sets.select(F.col("row").alias("node"), "n", "id").join(known.select("node").hint("merge"), "node")
+        found = store(ids.join(families.hint("merge"), "id").select("node", "n", "family"), "of_nodes")
+        fit = fit.join(found.hint("merge"), ["node", "n"])  # by both: the tokens are not shuffled again
+    return store(fit, "nodes")
 
 
 # Groups
@@ -216,10 +225,13 @@ def _within(groups: DataFrame, rules: Rules) -> DataFrame:
     return store(map_arrow(members, work, "gid bigint, node bigint, root bigint, leader boolean"), "within")
 
 
-def _linked_by_key(nodes: DataFrame, rules: Rules, key: int) -> tuple[DataFrame, DataFrame]:
+def _minima(number: int) -> Column:
+    return F.xxhash64(_least_hash(2 * number + 1), _least_hash(2 * number + 2))
+
+
+def _linked_by_key(nodes: DataFrame, rules: Rules, key: Column) -> tuple[DataFrame, DataFrame]:
     """The groups of nodes by a key; edges ``u``, ``v`` within groups, and among the leaders of the groups of a key."""
-    hashes = F.xxhash64(_least_hash(2 * key + 1), _least_hash(2 * key + 2))
-    groups, blocks = _cut(nodes.withColumn("key", hashes), rules, 0)
+    groups, blocks = _cut(nodes.withColumn("key", key), rules, 0)
     level, found, edges, number = groups, _within(groups, rules), None, 0
     while True:
         new = found.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
@@ -238,9 +250,10 @@ def _families(nodes: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, Dat
     One node of each component meets others under further keys: what an edit of a least token has set apart comes
     together before groups are compared.
     """
-    groups, edges = _linked_by_key(nodes, rules, 0)
+    keys = [*([F.col("family")] if "family" in nodes.columns else []), *map(_minima, range(rules.keys))][: rules.keys]
+    groups, edges = _linked_by_key(nodes, rules, keys[0])
     roots = store(components(edges), "roots")
-    for key in range(1, rules.keys):
+    for key in keys[1:]:
         heads = nodes.join(roots.filter("node != root").select("node").hint("merge"), "node", "left_anti")
         edges = edges.unionByName(_linked_by_key(store(heads, "heads"), rules, key)[1])
         roots = store(components(edges), "roots")
@@ -313,11 +326,11 @@ def _across(groups: DataFrame, rules: Rules) -> DataFrame:
     return store(map_arrow(pairs.select("left", "right"), work, "u bigint, v bigint"), "across")
 
 
-def _components(docs: DataFrame, rules: Rules, id_col: str, text_col: str) -> DataFrame:
+def _components(docs: DataFrame, rules: Rules, id_col: str, text_col: str, families: DataFrame | None) -> DataFrame:
     sets = _common_tokens(C.store_chunks(docs, id_col, text_col), rules)
     fit = sets.filter(F.col("fp").isNotNull())
     known = store(fit.groupBy("fp").agg(F.min("row").alias("node")), "known")
-    nodes = _nodes(sets, known, rules)
+    nodes = _nodes(sets, known, rules, families)
     groups, edges, roots = _families(nodes, rules)
     rooted = groups.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     roots = components(edges.unionByName(_across(store(rooted, "rooted"), rules)))
@@ -329,6 +342,11 @@ def _components(docs: DataFrame, rules: Rules, id_col: str, text_col: str) -> Da
     return sets.select("row", "id", "n").join(found.hint("merge"), "row", "left").select("id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def similar_groups(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``n_shingles``, ``component_id`` (the smallest id that links reach) of every row."""
-    return settled(lambda: _components(docs, rules, id_col, text_col), "similar")
+def similar_groups(
+    docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", families: DataFrame | None = None
+) -> DataFrame:
+    """``id``, ``n_shingles``, ``component_id`` (the smallest id that links reach) of every row.
+
+    ``families``: ``id``, ``family`` (bigint) of every row, by ids that do not repeat; they change the work, not the result.
+    """
+    return settled(lambda: _components(docs, rules, id_col, text_col, families), "similar")

@@ -75,6 +75,16 @@ def test_equals_brute_force(spark, rules):
     assert found(spark, rows, rules) == brute(rows)
 
 
+@pytest.mark.parametrize("family", ["0", "id", "id % 5"])
+def test_families_change_no_result(spark, family):
+    """All in one, each in its own, or mixed: what they bring together is compared, the rest is met across groups."""
+    rows = [(n, text) for n, (_, text) in enumerate(corpus())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    families = docs.selectExpr("doc_id as id").selectExpr("id", f"bigint({family}) as family")
+    similar = J.similar_groups(docs, SMALL_GROUPS, families=families)
+    assert sorted((tuple(r) for r in similar.collect()), key=str) == brute(rows)
+
+
 def test_documents_equal_brute_force(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     assert found(spark, rows) == brute(rows) == found(spark, rows, SMALL_GROUPS)

@@ -111,3 +111,28 @@ def test_pairs_go_at_the_similarity_and_stay_below(spark):
     rows = [(2 * n + k, text) for n, both in enumerate(at + below) for k, text in enumerate(both)]
     kept = {r.doc_id for r in S.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), S.by_sets()).collect()}
     assert kept == {2 * n for n in range(100)} | {2 * n + 1 for n in range(50, 100)}
+
+
+def test_keep_one_by_sets_compares_families_of_fingerprints_first(spark, monkeypatch):
+    """Fingerprints, distance table, buckets and verification decide which sets meet first; their groups are the matrix's."""
+    words = [f"w{i * 7919 % 1000}" for i in range(400)]
+    texts = [" ".join(words + ["x"] * i) for i in range(4)] + [" ".join(words[::-1] + ["x"] * i) for i in range(4)] + [None, " "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    linked, groups = [], []
+
+    def links(nodes, plan, of=S.links):
+        linked.append((nodes.count(), plan))
+        return of(nodes, plan)
+
+    def families(nodes, rules, of=S.ngram_join._families):
+        found = of(nodes, rules)
+        groups.append({(r.node, r.family) for r in nodes.collect()})
+        assert {r.key for r in found[0].collect()} == {family for _, family in groups[-1]}
+        return found
+
+    monkeypatch.setattr(S, "links", links)
+    monkeypatch.setattr(S.ngram_join, "_families", families)
+    plan = S.by_sets()
+    assert sorted(r.doc_id for r in S.keep_one(docs, plan).collect()) == [0, 4, 8]
+    assert linked == [(len({S.fingerprint(t, plan) for t in texts}), plan)] and (plan.words, plan.radius) == (1, 2)
+    assert len(groups) == 1 and len({family for _, family in groups[0]}) < len(groups[0]) == 8
