@@ -17,7 +17,8 @@ A document's tokens are the hashes (64 bits) of its distinct shingles. Two docum
    group's union must reach the least overlap with the group's smallest set. Only groups that qualify are opened.
 
 A caller that knows families of texts that may be similar (``simhash.py``: components of fingerprints) gives them: the
-nodes of a family meet first, and its groups are those of the matrix; the minima follow as further keys.
+nodes of a family meet under the minima of all its tokens. Families of equal minima share groups, as most families are of
+one node: a group of the matrix for each would make pairs of groups of all near copies that edits have set apart.
 
 No step caps or samples anything. Links within a component that is known already are not looked for, as they change no
 component.
@@ -163,14 +164,22 @@ def _least_hash(number: int) -> Column:
     return F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(number))))
 
 
-def _cut(rows: DataFrame, rules: Rules, number: int) -> tuple[DataFrame, int]:
-    """Nodes (``key``, ``node``, ``n``, ``tokens``) with the group ``gid`` they are in; the most groups of a key."""
+def _cut(rows: DataFrame, rules: Rules, number: int, spots: DataFrame | None) -> tuple[DataFrame, int]:
+    """Nodes (``key``, ``node``, ``n``, ``tokens``) with the group ``gid`` they are in; the most groups of a key.
+
+    Keys of one ``spot`` (``spots``: ``key``, ``spot``) count as one key.
+    """
     weights = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows_in"), F.sum(F.size("tokens")).alias("tokens_in"))
+    spot = "key"
+    if spots is not None:
+        spot, weights = "spot", store(weights.join(spots.hint("merge"), "key"), "weights")
+        whole = weights.groupBy("spot").agg(F.sum("rows_in").alias("rows_in"), F.sum("tokens_in").alias("tokens_in"))
+        weights = weights.select("key", "spot").join(store(whole, "spots").hint("merge"), "spot")
     blocks = F.ceil(F.greatest(F.col("rows_in") / rules.group_rows, F.col("tokens_in") / rules.group_tokens))
     blocks = F.least(blocks, F.ceil(F.col("rows_in") / 2))  # two sets of any size can be compared
-    weights = store(weights.select("key", blocks.alias("blocks")), "weights")
+    weights = store(weights.select(*dict.fromkeys(("key", spot)), blocks.alias("blocks")), "weights")
     dealt = rows.join(weights.hint("merge"), "key")
-    gid = F.xxhash64("key", F.pmod(F.xxhash64("node", F.lit(number)), F.col("blocks")))
+    gid = F.xxhash64(spot, F.pmod(F.xxhash64("node", F.lit(number)), F.col("blocks")))
     return store(dealt.select("key", gid.alias("gid"), "node", "n", "tokens"), "groups"), weights.agg(F.max("blocks")).first()[0] or 0
 
 
@@ -225,13 +234,13 @@ def _within(groups: DataFrame, rules: Rules) -> DataFrame:
     return store(map_arrow(members, work, "gid bigint, node bigint, root bigint, leader boolean"), "within")
 
 
-def _minima(number: int) -> Column:
-    return F.xxhash64(_least_hash(2 * number + 1), _least_hash(2 * number + 2))
+def _minima(number: int) -> list[Column]:
+    return [_least_hash(2 * number + 1), _least_hash(2 * number + 2)]
 
 
-def _linked_by_key(nodes: DataFrame, rules: Rules, key: Column) -> tuple[DataFrame, DataFrame]:
+def _linked_by_key(nodes: DataFrame, rules: Rules, key: Column, spots: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The groups of nodes by a key; edges ``u``, ``v`` within groups, and among the leaders of the groups of a key."""
-    groups, blocks = _cut(nodes.withColumn("key", key), rules, 0)
+    groups, blocks = _cut(nodes.withColumn("key", key), rules, 0, spots)
     level, found, edges, number = groups, _within(groups, rules), None, 0
     while True:
         new = found.filter("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
@@ -240,7 +249,7 @@ def _linked_by_key(nodes: DataFrame, rules: Rules, key: Column) -> tuple[DataFra
             return groups, edges
         number += 1
         leaders = level.join(found.filter("leader").select("node").hint("merge"), "node").drop("gid")
-        level, blocks = _cut(leaders, rules, number)
+        level, blocks = _cut(leaders, rules, number, spots)
         found = _within(level, rules)
 
 
@@ -250,12 +259,15 @@ def _families(nodes: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, Dat
     One node of each component meets others under further keys: what an edit of a least token has set apart comes
     together before groups are compared.
     """
-    keys = [*([F.col("family")] if "family" in nodes.columns else []), *map(_minima, range(rules.keys))][: rules.keys]
-    groups, edges = _linked_by_key(nodes, rules, keys[0])
+    if "family" in nodes.columns:
+        spots = nodes.groupBy(F.col("family").alias("key")).agg(F.xxhash64(*map(F.min, _minima(0))).alias("spot"))
+        groups, edges = _linked_by_key(nodes, rules, F.col("family"), store(spots, "spots"))
+    else:
+        groups, edges = _linked_by_key(nodes, rules, F.xxhash64(*_minima(0)))
     roots = store(components(edges), "roots")
-    for key in keys[1:]:
+    for key in range(1, rules.keys):
         heads = nodes.join(roots.filter("node != root").select("node").hint("merge"), "node", "left_anti")
-        edges = edges.unionByName(_linked_by_key(store(heads, "heads"), rules, key)[1])
+        edges = edges.unionByName(_linked_by_key(store(heads, "heads"), rules, F.xxhash64(*_minima(key)))[1])
         roots = store(components(edges), "roots")
     return groups, edges, roots
 

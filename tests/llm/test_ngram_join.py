@@ -129,6 +129,17 @@ def test_work_grows_with_a_family(spark, monkeypatch, edits, linked):
     assert counts[1] < 2.6 * counts[0] + 1000
 
 
+def test_families_of_one_share_groups(spark, monkeypatch):
+    """Near copies that no fingerprint brings together: their groups are few, as each pair of groups may be opened."""
+    groups, made = [], J._candidates
+    monkeypatch.setattr(J, "_candidates", lambda rows, rules: groups.append(rows.select("gid").distinct().count()) or made(rows, rules))
+    texts = family(0, 150, 400, 4, random.Random(2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    similar = J.similar_groups(docs, J.Rules(5, 80), families=docs.selectExpr("doc_id as id", "doc_id as family"))
+    assert {r.component_id for r in similar.collect()} == {0}
+    assert groups[0] < 150 / 8
+
+
 def test_overlaps():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, 20)) for _ in range(9)]
