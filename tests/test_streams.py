@@ -97,6 +97,21 @@ def test_streams_of_the_workload_take_several_batches(spark, path):
     assert len(with_rows) == workload.SLICES and sum(p["numInputRows"] for p in with_rows) == events.count()
 
 
+def test_files_of_a_log_grow_in_number_and_not_in_length(spark, path, monkeypatch):
+    """Copies of an event come with it; the number of micro-batches stays."""
+    monkeypatch.setattr(workload, "scratch_path", lambda _, name: path(name))
+    monkeypatch.setattr(workload, "FILE_ROWS", 20)
+    events = frames.document_events(spark, SMALL)
+    log = workload._timed_log(spark, events, copies=2)
+    query = streams.save_tumbling_counts(log, path("t"), path("c"), trigger=DRAIN)
+    run_for(query)
+    written = [name for name in os.listdir(path("log")) if name.startswith("part-")]
+    n = 2 * events.count()
+    assert len(written) == workload.SLICES * workload._files(n) > workload.SLICES * workload.FILES
+    with_rows = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(with_rows) == workload.SLICES and sum(p["numInputRows"] for p in with_rows) == n
+
+
 def test_late_rows(spark, path):
     """Lateness is judged by the watermark of the batch before."""
     land(path("log"), message("a", 0))
