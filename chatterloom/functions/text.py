@@ -19,7 +19,7 @@ LONGEST_SKIPPED_WORD = 3
 
 # What Python's str.strip() removes: Unicode white space and the four
 # information separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_EDGE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def words(title: Column, content: Column) -> Column:
@@ -43,7 +43,7 @@ def prompt_text(title: Column, content: Column) -> Column:
     joined = F.concat(
         F.coalesce(title, F.lit("")), F.lit("\n\n"), F.coalesce(content, F.lit(""))
     )
-    return F.regexp_replace(joined, _EDGE_SPACE, "")
+    return F.trim(joined, F.lit(_EDGE_SPACE))
 
 
 def unescape_ampersand(url: Column) -> Column:

@@ -54,9 +54,8 @@ def _typed(source: Column, layout: Mapping[str, str]) -> dict[str, Column]:
     return {n: TOLERANT[t](source[n]) if t in TOLERANT else source[n] for n, t in layout.items()}
 
 
-def _unusable(source: Column, layout: Mapping[str, str], prefix: str = "") -> list[Column]:
+def _unusable(source: Column, typed: Column, layout: Mapping[str, str], prefix: str = "") -> list[Column]:
     """Names of the fields whose text is there but does not fit the type."""
-    typed = _typed(source, layout)
     return [
         F.when(source[n].isNotNull() & typed[n].isNull(), F.lit(prefix + n))
         for n, t in layout.items()
@@ -84,15 +83,16 @@ def decode_tolerant(
     parsed = log.select("payload", *keep, wire_column)
 
     source, inner = F.col("wire"), F.col("wire.enrichment")
-    columns = {
-        n: F.coalesce(value, F.expr(_DEFAULTS[n])) if n in _DEFAULTS else value
-        for n, value in _typed(source, scalars).items()
-    }
-    unusable = _unusable(source, scalars)
+    columns = _typed(source, scalars)
     if enriched:
         fields = [value.alias(n) for n, value in _typed(inner, ENRICHMENT).items()]
         columns["enrichment"] = F.when(inner.isNotNull(), F.struct(*fields))
-        unusable += _unusable(inner, ENRICHMENT, "enrichment.")
+    # A column of its own, so that a value is cast once for itself and for the check of it.
+    typed = F.struct(*[value.alias(n) for n, value in columns.items()]).alias("typed")
+    parsed, typed = parsed.select("payload", *keep, "wire", typed), F.col("typed")
+    unusable = _unusable(source, typed, scalars)
+    if enriched:
+        unusable += _unusable(inner, typed["enrichment"], ENRICHMENT, "enrichment.")
     # A payload without any usable column comes back as a null struct.
     corrupt = F.when(source.isNull(), F.col("payload")).otherwise(source[CORRUPT])
     return parsed.select(
@@ -100,5 +100,7 @@ def decode_tolerant(
         *keep,
         corrupt.alias(CORRUPT),
         F.array_compact(F.array(*unusable)).alias("_miscast"),
-        *[value.alias(n) for n, value in columns.items()],
+        *[
+            (F.coalesce(typed[n], F.expr(_DEFAULTS[n])) if n in _DEFAULTS else typed[n]).alias(n) for n in columns
+        ],
     )

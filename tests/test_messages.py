@@ -4,6 +4,7 @@ from datetime import datetime
 from support import plan_text, rows
 from pyspark.sql import functions as F
 
+from chatterloom.functions.text import prompt_text
 from chatterloom.operators.decode import decode, decode_tolerant
 from chatterloom.operators.flatten import flatten_enriched, flatten_raw, to_lake_rows, to_messages
 from chatterloom.operators.validate import split_valid, with_quality_flags, with_violations
@@ -162,3 +163,15 @@ def test_flat_enriched_and_lake_layouts(spark):
     assert (stored.enrichment_entity_names, stored.enrichment_entity_types) == (["n"], ["Person"])
     assert dict(to_lake_rows(events.select("data.*")).dtypes)["enrichment_sentiment"] == "double"
     assert F.col is not None
+
+
+def test_a_value_is_cast_once(spark):
+    """For itself and for the check of it; dates are not tried as numbers first, and prompts are not searched for edges."""
+    log = spark.createDataFrame([("{}",)], "payload string")
+    plan = plan_text(decode_tolerant(log, RAW_EVENT), "simple")
+    assert plan.count("RLIKE") == 1 and plan.index("RLIKE") < plan.index("as double")
+    edges = "".join(c for c in map(chr, range(0x11000)) if c.isspace())
+    texts = [f"{edges}a{edges}b{edges}", edges, "", "a\n"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", prompt_text(F.lit(None), F.col("t")).alias("p"))
+    assert dict(map(tuple, frame.collect())) == {t: t.strip() for t in texts}
+    assert "regexp" not in plan_text(frame, "simple")
