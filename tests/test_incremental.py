@@ -93,3 +93,21 @@ def test_an_update_does_not_read_older_days(spark, path):
         incremental.update(spark, path("s"), late)
     assert {name for name, _ in asked} == {"events", "daily", "topics"}
     assert min(day for _, day in asked) >= last - timedelta(days=7) > date(2024, 1, 10)
+
+
+def test_an_update_is_written_beside_the_state_once(spark, path, monkeypatch):
+    """What counts, what no longer does and what stays are one table, the pending one."""
+    incremental.update(spark, path("s"), spark.createDataFrame(PARTS[0], SCHEMA))
+    labels, scratch = [], incremental.scratch_path
+    monkeypatch.setattr(incremental, "scratch_path", lambda spark, label: labels.append(label) or scratch(spark, label))
+    replace, held = incremental._replace, {}
+
+    def noted(rows, target, key):
+        held[target.rsplit("/", 1)[1]] = {r[0].day for r in rows.select(key).distinct().collect()}
+        replace(rows, target, key)
+
+    monkeypatch.setattr(incremental, "_replace", noted)
+    incremental.update(spark, path("s"), spark.createDataFrame(PARTS[1][:2], SCHEMA))
+    assert labels == ["part"]
+    assert held["events"] == {1, 2}  # the third, read as it is near, stays as it is
+    assert state(spark, path("s")) == expected(spark.createDataFrame(PARTS[0] + PARTS[1][:2], SCHEMA))
