@@ -112,6 +112,12 @@ def test_files_of_a_log_grow_in_number_and_not_in_length(spark, path, monkeypatc
     assert len(with_rows) == workload.SLICES and sum(p["numInputRows"] for p in with_rows) == n
 
 
+def test_replies_are_kept_small(spark, path):
+    kept_for_replay(spark.createDataFrame([(1,)], "n int"), path("r"), 0)
+    files = [name for name in os.listdir(path("r/batch_id=0")) if name.startswith("part-")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_late_rows(spark, path):
     """Lateness is judged by the watermark of the batch before."""
     land(path("log"), message("a", 0))
