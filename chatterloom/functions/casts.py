@@ -19,7 +19,7 @@ def point_in_time(text: Column) -> Column:
     """ISO-8601 text or epoch seconds / milliseconds as a timestamp."""
     number = text.try_cast("double")
     seconds = F.when(F.abs(number) > _MILLIS_FROM, number / 1000).otherwise(number)
-    # Dates first: no date is a number, and a cast that fails costs more than all the rest of a message.
+    # Dates first: no date is a number, and a cast that fails is costly.
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ])"), F.try_to_timestamp(text)).otherwise(
         F.timestamp_seconds(seconds)
     )
