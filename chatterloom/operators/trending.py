@@ -138,6 +138,33 @@ def trending_words(
     return per_window(spoken, ["word"], size=window, every=slide, grace=watermark)
 
 
+def texts_per_window(
+    events: DataFrame,
+    stop_words: tuple[str, ...] = STOP_WORDS,
+    *,
+    window: str = WINDOW,
+    slide: str = SLIDE,
+    watermark: str | None = WATERMARK,
+) -> DataFrame:
+    """The first half of ``trending_words`` for streams: how often (``texts``) each text comes in each window.
+
+    ``text`` is the counted words of an event. A stream keeps a row of state for each text of a window, not for each word,
+    of which texts have hundreds; ``words_of_texts`` counts them when the window is over. Equal texts are one row, and
+    different ones are dealt by themselves, so that no window is in one task.
+    """
+    spoken = F.filter(words(F.col("title"), F.col("content")), lambda word: is_trend_word(word, stop_words))
+    # As a generator, which splits a text once; no word holds a space.
+    texts = events.select("timestamp", F.explode(F.array(F.array_join(spoken, " "))).alias("text"))
+    return per_window(texts.filter(F.col("text") != ""), ["text"], size=window, every=slide, grace=watermark, into="texts")
+
+
+def words_of_texts(texts: DataFrame) -> DataFrame:
+    """The second half: counts of the words in whole windows of ``texts_per_window``, in a batch."""
+    bounds = ["window_start", "window_end"]
+    spoken = texts.select(*bounds, "texts", F.explode(F.split("text", " ")).alias("word"))
+    return spoken.groupBy(*bounds, "word").agg(F.sum("texts").alias("count"))
+
+
 def trending_topics(
     events: DataFrame,
     *,

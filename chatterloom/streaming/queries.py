@@ -20,10 +20,11 @@ from chatterloom.operators.rates import live_rates
 from chatterloom.operators.trending import (
     TUMBLING_GRACE,
     drop_redelivered,
+    texts_per_window,
     trending_topics,
-    trending_words,
     tumbling_counts,
     within_cap,
+    words_of_texts,
 )
 from chatterloom.operators.validate import split_checked, split_valid, with_violations
 from chatterloom.schemas import ENRICHED_EVENT, RAW_EVENT, TABLES
@@ -257,15 +258,18 @@ def save_trending_words(
     unique: bool = False,
     **windowing: str | None,
 ) -> StreamingQuery:
-    """Counts words per window; ``unique`` counts a redelivered event once."""
+    """Counts words per window; ``unique`` counts a redelivered event once.
+
+    The stream's state holds the texts of open windows; their words are counted when the watermark has passed a window.
+    """
     wanted = ["event_id", "timestamp", "title", "content"]
     events = decode(log, RAW_EVENT, wanted if unique else wanted[1:]).select("data.*")
     if unique:
         events = drop_redelivered(events)
         windowing["watermark"] = None
-    counts = trending_words(events, **windowing)
+    texts = texts_per_window(events, **windowing)
     return stream_to_table(
-        counts, "trending_words_metrics", path, checkpoint, trigger=trigger, keys_unique=True
+        texts, "trending_words_metrics", path, checkpoint, trigger=trigger, keys_unique=True, derive=words_of_texts
     )
 
 

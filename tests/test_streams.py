@@ -135,6 +135,26 @@ def test_late_rows(spark, path):
     assert first == {"hello": 2} and dropped == 2
 
 
+def test_state_of_trending_words_grows_with_texts_and_not_with_words(spark, path):
+    """A window's texts are a row of state each, equal ones one together; counts and late rows are as before."""
+    many = " ".join(f"word{n} again" for n in range(50))
+    for _ in range(2):
+        land(path("log"), message("a", 5, content=many), message("b", 6, content=many), message("c", 7, content="Hello, HELLO there"))
+    land(path("log"), message("d", 600), message("e", 601, title=None, content="the and"), message("f", timestamp=None))
+    land(path("log"), message("g", 602))
+    land(path("log"), message("late", 8, content=many))
+    query = streams.save_trending_words(text_log(spark, path("log"), maxFilesPerTrigger="1"), path("t"), path("c"), trigger=DRAIN)
+    run_for(query)
+    updated = [sum(o["numRowsUpdated"] for o in p["stateOperators"]) for p in query.recentProgress if p["numInputRows"]]
+    assert updated == [4, 4, 2, 2, 0]  # two texts, then one, in two windows each
+    table = read_table(spark, TABLES["trending_words_metrics"], path("t"))
+    for start in (-15, 0):
+        found = dict(rows(table.filter(F.col("window_start") == at(start)).select("word", "count")))
+        assert found == {"hello": 10, "again": 200, **{f"word{n}": 4 for n in range(50)}}
+    assert table.count() == 2 * 52
+    assert not table.groupBy("window_start", "word").count().filter("count > 1").count()
+
+
 def test_replies_outlive_their_batch_until_the_next_begins(spark, path):
     first = spark.createDataFrame([(1,)], "n int")
     assert rows(kept_for_replay(first, path("r"), 0)) == [(1,)]

@@ -10,11 +10,13 @@ from chatterloom.operators.trending import (
     first_per_window,
     mark_over_cap,
     per_window,
+    texts_per_window,
     trend_topics,
     trend_words,
     trending_topics,
     trending_words,
     tumbling_counts,
+    words_of_texts,
 )
 
 T0 = datetime(2024, 1, 1)
@@ -117,3 +119,14 @@ def test_sliding_windows_count_each_row_once_before_the_shuffle(spark):
     assert "Expand" not in plan_text(trending_words(events), "simple")
     topics = events.selectExpr("timestamp", "split(title, ' ') AS topics")
     assert rows(trending_topics(topics)) == rows(per_window(trend_topics(topics), ["topic"], size="30 seconds", every="15 seconds"))
+
+
+def test_words_of_texts_are_the_words_of_their_events(spark):
+    texts = [("Border, border/What's", "“quoted” مرحبا، \t long\nword"), ("border", None), (None, "the and"), (None, None), ("", " ."), ("border", None)]
+    events = posts(spark, *texts).unionByName(posts(spark, *texts, seconds=20)).unionByName(posts(spark, ("border lost", None)).withColumn("timestamp", F.lit(None).cast("timestamp")))
+    for stop_words, options in ((STOP_WORDS, {}), (("border",), {"window": "1 minute", "slide": "20 seconds"}), ((), {"window": "10 seconds", "slide": "10 seconds"})):
+        kept = texts_per_window(events, stop_words, **options)
+        found, plain = words_of_texts(kept), trending_words(events, stop_words, **options)
+        assert rows(found) == rows(plain) and found.dtypes == plain.dtypes
+    assert texts_per_window(events).agg(F.max("texts")).first()[0] == 4
+    assert plan_text(texts_per_window(events), "simple").count("split(") == 1
