@@ -11,9 +11,10 @@ coordinate differs by more than the radius, and the survivors are verified on th
 * ``EXACT``: one word, radius 2. Four blocks of 16 bits; two flipped bits leave two blocks untouched, so the six pairs
   of blocks find every link. Buckets over ``bucket_rows`` are dealt again by the halves, then the quarters of their
   other blocks; after that a bucket has 8 free bits, 256 fingerprints at most. Nothing is lost and no task is large.
-* ``by_sets()``: links at a Jaccard similarity of the shingle sets themselves, all of them. The same steps put texts into
-  families (components at radius 2), within which ``ngram_join.py`` compares sets first; links between families, which
-  fingerprints cannot find, follow from its token-group matrix.
+* ``by_sets()``: links at a Jaccard similarity of the shingle sets themselves, all of them, besides those of fingerprints.
+  The same steps put texts into families (components at radius 2), within which ``ngram_join.py`` compares sets first; links
+  between families, which fingerprints cannot find, follow from its token-group matrix. Families stay together where sets
+  differ: fingerprints count every repeat of a shingle, sets none.
 
 Only distinct fingerprints are compared, and a bucket yields a spanning forest of its links, never all pairs.
 Null and blank texts have fingerprint zero, which is linked like any other; repeated rows share a component.
@@ -46,7 +47,7 @@ _UNIT_MASKS = (0b0001, 0b0011, 0b0110, 0b1111)  # independent over the reals
 class Plan:
     """``words`` 64-bit words from shingles of ``shingle`` words; links at ``radius`` or fewer differing bits.
 
-    ``percent``: links at this Jaccard similarity of the shingle sets; those at ``radius`` only make families.
+    ``percent``: links at this Jaccard similarity of the shingle sets, too.
     """
 
     shingle: int
@@ -60,7 +61,7 @@ EXACT = Plan(shingle=3, words=1, radius=2)
 
 
 def by_sets(shingle: int = 5, percent: int = 80) -> Plan:
-    """A plan that links texts whose shingle sets have this Jaccard similarity."""
+    """A plan that links texts whose shingle sets have this Jaccard similarity, and those that ``EXACT``'s radius links."""
     return Plan(shingle, EXACT.words, EXACT.radius, percent=percent)
 
 
@@ -262,13 +263,25 @@ def near_components(rows: DataFrame, plan: Plan) -> DataFrame:
     return rows.join(labels.hint("merge"), "fp")
 
 
+def _joined(families: DataFrame, groups: DataFrame) -> DataFrame:
+    """``id``, ``component_id`` (the smallest there) of rows that have the ``family`` or the ``component_id`` in common."""
+    both = store(families.join(groups.hint("merge"), "id").select("id", "family", "component_id"), "both")
+    pairs = store(both.select("family", "component_id").distinct(), "pairs")
+    least = pairs.groupBy("family").agg(F.min("component_id").alias("v"))
+    met = pairs.join(store(least, "least").hint("merge"), "family").select(F.col("component_id").alias("u"), "v")
+    roots = store(components(met), "roots").withColumnRenamed("node", "component_id")
+    joined = both.join(roots.hint("merge"), "component_id", "left")
+    return joined.select("id", F.coalesce("root", "component_id").alias("component_id"))
+
+
 def _kept_rows(docs: DataFrame, plan: Plan, row: str, id_col: str, text_col: str) -> DataFrame:
     found = settled(lambda: near_components(fingerprints(docs, plan, row, text_col), plan).drop("fp"), "families")
     if plan.percent is not None:
         families = found.withColumnRenamed("component_id", "family")
-        found = ngram_join.similar_groups(docs, ngram_join.Rules(plan.shingle, plan.percent), row, text_col, families)
+        groups = ngram_join.similar_groups(docs, ngram_join.Rules(plan.shingle, plan.percent), row, text_col, families)
         # Texts without words are copies of each other; rows have no negative numbers.
-        found = found.withColumn("component_id", F.when(F.col("n_shingles") == 0, -1).otherwise(F.col("component_id")))
+        component = F.when(F.col("n_shingles") == 0, -1).otherwise(F.col("component_id"))
+        found = _joined(families, groups.select("id", component.alias("component_id")))
     ids = docs.select(F.col(row).alias("id"), F.struct(F.col(id_col).isNull(), id_col, row).alias("rank"))
     first = found.join(ids, "id").groupBy("component_id").agg(F.min("rank").alias("rank"))
     return first.select(F.col(f"rank.{row}").alias(row))

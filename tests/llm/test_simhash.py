@@ -136,3 +136,18 @@ def test_keep_one_by_sets_compares_families_of_fingerprints_first(spark, monkeyp
     assert sorted(r.doc_id for r in S.keep_one(docs, plan).collect()) == [0, 4, 8]
     assert linked == [(len({S.fingerprint(t, plan) for t in texts}), plan)] and (plan.words, plan.radius) == (1, 2)
     assert len(groups) == 1 and len({family for _, family in groups[0]}) < len(groups[0]) == 8
+
+
+def test_keep_one_by_sets_removes_what_fingerprints_link(spark):
+    """Texts of one much repeated passage: their fingerprints are near and their sets are not; both kinds of links chain."""
+    passage, plan = "salt pepper sugar flour butter", S.by_sets()
+    own = {side: " ".join(f"{side}{i}" for i in range(30)) for side in "abc"}
+    texts = [f"{passage} " * 300 + own["a"], f"{passage} " * 300 + own["b"], f"{passage} " * 2 + own["b"], own["c"]]
+    fps = [int.from_bytes(S.fingerprint(t, plan), "big") for t in texts]
+    sets = [set(S.shingle_hashes(t, 5).tolist()) for t in texts]
+    assert (fps[0] ^ fps[1]).bit_count() <= 2 < (fps[1] ^ fps[2]).bit_count()
+    assert 100 * len(sets[0] & sets[1]) < 80 * len(sets[0] | sets[1]) and sets[1] == sets[2]
+    odd = [None, " ", f"{passage} " * 300 + own["c"]]
+    ids = [5, 4, 1, 2, 7, 6, 8]
+    docs = spark.createDataFrame(list(zip(ids, texts + odd, strict=True)), "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in S.keep_one(docs, plan).collect()) == [1, 2, 6]
